@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality
+from . import bpe, decontaminate, language, quality, syncmers, urlfilter
 from .common import fold, table
 
 
@@ -19,6 +19,53 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
 
 
+#: The rules of op4.
+RULES = [
+    urlfilter.Rule("com", "/", "allow"),
+    urlfilter.Rule("example.com", "/en/", "block"),
+    urlfilter.Rule("www.example.com", "/en/", "allow"),
+    urlfilter.Rule("net", "/es/", "block"),
+    urlfilter.Rule("net", "/fr/", "block"),
+]
+#: The blocked domains of op4: each name under each of the three domains of the corpus.
+BLOCKED = [f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the rules first, then the blocked domains."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = spark.createDataFrame([(k,) for k in BLOCKED], "key string")
+    return urlfilter.judge_urls(pages, RULES, listed).drop("url")
+
+
+OP4_SQL = rf"""
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+rules(host, path, verdict) AS (VALUES {", ".join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in RULES)}),
+named AS (
+  SELECT page_id, p.host, p.path,
+         (SELECT max(struct_pack(n := length(r.host || r.path), name := r.host || r.path, verdict := r.verdict)) FROM rules r
+          WHERE (p.host = r.host OR suffix(p.host, '.' || r.host)) AND starts_with(p.path, r.path)) AS best
+  FROM parts p)
+SELECT page_id, host, path, best.name AS rule,
+       coalesce(best.verdict, CASE WHEN EXISTS (SELECT 1 FROM (VALUES {", ".join(f"('{k}')" for k in BLOCKED)}) AS b(k) WHERE host = k OR suffix(host, '.' || k)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM named
+"""
+
+
+def op5_syncmer_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return syncmers.fingerprint(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "spans")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from rows whose fold is not 1 of 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,9 +76,21 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from rows whose fold is not 2 of 4."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    known = language.learn(docs, fold(F.col("doc_id"), 4) != 2)
+    named = language.identify(docs.select("doc_id", "text"), known)
+    return named.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_url_filter": op4_url_filter,
+    "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
+    "op6_decontamination": op6_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL}
