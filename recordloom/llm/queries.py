@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, quality, syncmers, urlfilter
+from . import bpe, decontaminate, language, ngram_join, quality, syncmers, urlfilter
 from .common import fold, table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Link(4, 85, 100))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document under the multilingual byte-level vocabulary."""
     import public_tokenizers
@@ -85,6 +90,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
