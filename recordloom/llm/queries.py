@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, ngram_join, quality, syncmers, urlfilter
+from . import bpe, decontaminate, language, ngram_join, quality, substrings, syncmers, urlfilter
 from .common import fold, table
 
 
@@ -16,6 +16,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Link(4, 85, 100))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside 20-word windows that stand earlier elsewhere."""
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), 20, digest=True)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document under the multilingual byte-level vocabulary."""
     import public_tokenizers
@@ -91,6 +96,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_url_filter": op4_url_filter,
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
