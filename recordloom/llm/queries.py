@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, ngram_join, quality, substrings, syncmers, urlfilter
+from . import bpe, decontaminate, language, ngram_join, ppm, quality, substrings, syncmers, urlfilter
 from .common import fold, table
 
 
@@ -86,6 +86,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a byte trie and a word baseline, learned from rows whose fold is not 1 of 5."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ppm.score_documents(docs, fold(F.col("doc_id"), 5) != 1)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows whose fold is not 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
     "op6_decontamination": op6_decontamination,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_ppm_score": op9_ppm_score,
     "op10_language_id": op10_language_id,
 }
 
