@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, ngram_join, ppm, quality, substrings, syncmers, urlfilter
+from . import bpe, decontaminate, language, ngram_join, pii, ppm, quality, substrings, syncmers, urlfilter
 from .common import fold, table
 
 
@@ -76,6 +76,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "spans")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and what the labelers add."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from rows whose fold is not 1 of 3."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_syncmer_fingerprint": op5_syncmer_fingerprint,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ppm_score": op9_ppm_score,
     "op10_language_id": op10_language_id,
