@@ -1,0 +1,18 @@
+"""Session factory: adaptive execution, Arrow and UTC on; everything else is left to the cluster."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def session(app: str = "recordloom", **conf: str) -> SparkSession:
+    builder = SparkSession.builder.appName(app)
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    } | conf
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
