@@ -14,10 +14,11 @@ class; classes are joined, copies are only members.  Two sets link when
 3. Candidates that pass are verified on their whole sets.
 
 A token that many classes show does not give all pairs.  Its classes are first paired with
-one pivot; verified links join into components, and classes that are in one component
-already need no link between them.  After ``ROUNDS`` pivots, the classes of tokens that
-still show several components are paired across components.  No candidate is dropped, so
-the components are exact.
+one pivot, the most central of them; verified links join into components, and classes that
+are in one component already need no link between them.  ``PIVOTS`` other pivots follow for
+tokens that still show several components; what is left after that is paired across
+components.  The places of the shared token bound the overlap of every pair.  No pair that
+can link is dropped, so the components are exact.
 
 Defined results: null or blank text has an empty set, links with nothing and is its own
 component.  Fewer words than ``width`` make one n-gram.  Repeated rows and copies get the
@@ -41,7 +42,8 @@ from .common import WordHash, materialize, mix, ship, slices, texts, utf8
 
 ship(__name__)
 
-ROUNDS = 3
+PIVOTS = 4
+MOST_BYTES = 32 << 20
 NOWHERE = -(2**63)  # stands for a null doc_id in joins
 
 
@@ -225,7 +227,12 @@ def _ordered(sets: DataFrame, link: Link) -> DataFrame:
         rank = (lambda x: F.struct(x["df"].alias("r"), x["token"].alias("h"), x["token"])) if k == 0 else (lambda x: F.struct(F.floor(F.log2(x["df"].cast("double"))).alias("r"), F.xxhash64(x["token"], F.lit(k)).alias("h"), x["token"]))
         return F.transform(F.slice(F.array_sort(F.transform("all", rank)), F.lit(1), span), lambda x: x["token"])
 
-    return listed.select("id", F.col("n").cast("long").alias("n"), F.transform("all", lambda x: x["token"]).alias("tokens"), order(0).alias("p0"), order(1).alias("p1"), order(2).alias("p2"))
+    alone = F.col("n") - F.size("all")
+    mass = (F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + x["df"]) + alone) / F.col("n")
+    return listed.select(
+        "id", F.col("n").cast("long").alias("n"), alone.cast("long").alias("alone"), mass.alias("mass"), F.transform("all", lambda x: x["token"]).alias("tokens"),
+        order(0).alias("p0"), order(1).alias("p1"), order(2).alias("p2"),
+    )
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, link: Link) -> DataFrame:
@@ -240,40 +247,86 @@ def _verified(pairs: DataFrame, classes: DataFrame, link: Link) -> DataFrame:
     return met.where(link.den * F.col("inter") >= link.num * (F.col("na") + F.col("nb") - F.col("inter"))).select("a", "b")
 
 
+def _may_link(link: Link, n, at, other_n, other_at):
+    """Whether two sets that share a token at these places can still reach the overlap that a link needs."""
+    most = F.least(n - at, other_n - other_at)
+    sizes = link.den * F.least(n, other_n) >= link.num * F.greatest(n, other_n)
+    return sizes & (most * (link.num + link.den) >= link.num * (n + other_n))
+
+
 def linked_components(classes: DataFrame, link: Link) -> DataFrame:
     """(node, root) over the classes of ``_ordered``; classes without links are not listed."""
-    shown = materialize(classes.select("id", F.explode("p0").alias("token")))
-    edges = roots = None
-    for turn in range(ROUNDS + 1):
+    shown = classes.select("id", "n", "alone", "mass", F.posexplode("p0").alias("at", "token"))
+    shown = materialize(shown.select("id", "n", "mass", "token", (F.col("at") + F.col("alone")).alias("at")))
+    roots = None
+    for turn in range(3):
         now = shown.withColumn("comp", F.col("id"))
         if roots is not None:
-            now = shown.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("id", "token", F.coalesce("root", "id").alias("comp"))
-        place = F.struct(F.xxhash64("id", F.lit(turn)), "id", "comp")
-        several = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(place).alias("pivot")).where("lo < hi")
-        if turn < ROUNDS:
-            pairs = now.join(several.select("token", F.col("pivot.id").alias("other"), F.col("pivot.comp").alias("other_comp")), "token").where("comp <> other_comp")
+            now = shown.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("comp", F.coalesce("root", "id"))
+        what = [F.col(c) for c in ("id", "comp", "n", "at")]
+        if turn == 0:
+            # the class whose tokens are the most frequent ones stands in the middle of its group
+            pivots = [F.min(F.struct((-F.col("mass")).alias("r"), *what))]
+        else:
+            pivots = [F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("r"), *what)) for k in range(PIVOTS)]
+        several = now.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array_distinct(F.array(*pivots)).alias("pivots")).where("lo < hi")
+        if turn < 2:
+            other = several.select("token", F.explode("pivots").alias("p")).selectExpr("token", "p.id AS other", "p.comp AS other_comp", "p.n AS other_n", "p.at AS other_at")
+            apart = F.col("comp") != F.col("other_comp")
         else:
-            open_ = materialize(now.join(several.select("token"), "token", "left_semi"))
-            pairs = open_.join(open_.select("token", F.col("id").alias("other"), F.col("comp").alias("other_comp")), "token").where("comp < other_comp")
-        pairs = materialize(pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+            now = materialize(now.join(several.select("token"), "token", "left_semi"))
+            other = now.selectExpr("token", "id AS other", "comp AS other_comp", "n AS other_n", "at AS other_at")
+            apart = F.col("comp") < F.col("other_comp")
+        near = _may_link(link, F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"))
+        met = now.join(other, (now["token"] == other["token"]) & apart & near)
+        pairs = materialize(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
         if pairs.isEmpty():
-            break
+            continue
         found = _verified(pairs, classes, link)
         if roots is not None:
             found = found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
-        edges = found
-        roots = components(edges)
+        roots = components(found)
     return roots if roots is not None else classes.sparkSession.createDataFrame([], "node long, root long")
 
 
+def _likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not among ``wanted``; none of the others is lost.
+
+    A Bloom filter of the wanted keys, so that rows that a join would drop are not shuffled.
+    Where the filter would pass ``MOST_BYTES``, ``rows`` as they are.
+    """
+    n = wanted.count()
+    size = max(64, 10 * n)
+    if size // 8 > MOST_BYTES:
+        return rows
+    hashes = [F.xxhash64(key, F.lit(k)) for k in range(5)]
+    spot = wanted.select(F.explode(F.array(*[F.pmod(h, F.lit(size)) for h in hashes])).alias("spot"))
+    words = spot.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("bits")).toArrow()
+    bits = np.zeros(-(-size // 64), np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            for k in range(5):
+                at = batch.column(batch.num_columns - 5 + k).to_numpy()
+                ok &= (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            yield pa.RecordBatch.from_arrays(batch.columns[:-5], schema=pa.schema(list(batch.schema)[:-5])).filter(pa.array(ok))
+
+    probed = rows.select("*", *[F.pmod(h, F.lit(size)).alias(f"_spot{k}") for k, h in enumerate(hashes)])
+    return probed.mapInArrow(keep, rows.schema)
+
+
 def near_duplicates(docs: DataFrame, link: Link = Link()) -> DataFrame:
     """doc_id, ``n_shingles`` and ``component_id`` of each row of ``docs``."""
     signed = materialize(signatures(docs, link))
     classes = signed.where("n > 0").groupBy("cls", "key", "n").agg(F.min("doc_id").alias("first"))
     counts = shared_counts(docs, link)
     needed = F.expr(f"((({link.num}L * n + {link.den - 1}) DIV {link.den}) + 9) DIV 10")
-    alive = classes.join(counts, "key").where(F.col("shared") >= needed).select(F.coalesce("first", F.lit(NOWHERE)).alias("at"), "key")
-    text = docs.select(F.coalesce("doc_id", F.lit(NOWHERE)).alias("at"), "text").join(alive, "at")
+    alive = classes.join(counts, "key").where(F.col("shared") >= needed).select(F.coalesce(F.col("first").cast("long"), F.lit(NOWHERE)).alias("at"), "key")
+    alive = materialize(alive)
+    text = _likely(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text"), alive.select("at"), "at").join(alive, "at")
     text = text.withColumn("digest", F.xxhash64("text")).dropDuplicates(["at", "key", "digest"])
     ordered = materialize(_ordered(_sets(text, link), link))
     roots = linked_components(ordered, link)
