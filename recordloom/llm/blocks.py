@@ -16,8 +16,8 @@ ship(__name__)
 
 
 def block_count(spark: SparkSession) -> int:
-    """Several blocks for each shuffle partition, whose number follows the input."""
-    return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """A few blocks for each shuffle partition, whose number follows the input."""
+    return 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def deal(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -51,6 +52,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+    It does so when the driver's garbage is collected, which may otherwise be long after the
+    next phase has written its own.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(column: Column, modulus: int) -> Column:
     """crc32 of an id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import block_count, deal
-from .common import WordHash, materialize, mix, ship, slices, texts, utf8
+from .common import WordHash, materialize, mix, release, ship, slices, texts, utf8
 
 ship(__name__)
 
@@ -240,8 +240,10 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     if 2 * BLOCK - 1 > width:
         raise ValueError(f"windows of {width} words may hold no block of {BLOCK}")
     found = materialize(anchors(docs))
+    release(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text")
     later = materialize(repeats(rows.join(found, "at"), width))
+    release(docs.sparkSession)
     name = "kept_sha256" if digest else "kept"
     full = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text").join(later, "at", "left").drop("at")
 
