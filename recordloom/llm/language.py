@@ -7,6 +7,7 @@ costs log2 of the reference's length, and the language that needs the fewest suc
 normalised phrases wins.  The automata are flattened into one table, and numpy walks
 all segments of a batch at once, one byte of each per step.
 
+Only letters count: texts are parsed with A-Z lower-cased, runs of other ASCII as one space.
 Documents are parsed in segments of ``SEGMENT`` bytes, all of them; a phrase ends with
 its segment, alike for every language.
 
@@ -44,6 +45,17 @@ class Training:
     total: int = 24_000
 
 
+def spoken(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What texts say: A-Z lower-cased, other ASCII than letters as spaces, runs of spaces as one."""
+    data = SPOKEN[data[at[0] : at[-1]]]
+    keep = data != 32
+    keep[1:] |= data[:-1] != 32
+    return data[keep], np.append(0, np.cumsum(keep))[at - at[0]]
+
+
+SPOKEN = np.array([b + 32 if 65 <= b < 91 else b if b >= 128 or 97 <= b < 123 else 32 for b in range(256)], np.uint8)
+
+
 def automaton(text: bytes) -> list[dict[int, int]]:
     """Transitions of the suffix automaton of ``text``; state 0 is the root."""
     moves: list[dict[int, int]] = [{}]
@@ -136,7 +148,7 @@ class Languages:
 
 
 def learn(docs: DataFrame, usable, how: Training = Training()) -> Languages:
-    """Reference texts from the rows that ``usable`` (a condition) admits; lower-cases A-Z."""
+    """Reference texts from the rows that ``usable`` (a condition) admits."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable & (F.length("text") <= how.longest))
     place = F.xxhash64(F.col("doc_id"))
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -151,9 +163,10 @@ def learn(docs: DataFrame, usable, how: Training = Training()) -> Languages:
     kept = some.select("lang", place.alias("at"), "doc_id", F.encode(F.substring("text", 1, how.share), "utf-8").alias("text")).collect()
     found: dict[str, list[bytes]] = {}
     for r in sorted(kept, key=lambda r: (r["lang"], r["at"], r["doc_id"] is None, r["doc_id"] or 0, bytes(r["text"]))):
-        found.setdefault(r["lang"], []).append(bytes(r["text"])[: how.share].lower())
+        found.setdefault(r["lang"], []).append(bytes(r["text"])[: how.share])
     names = tuple(k for k in sorted(found) if any(found[k]))
-    return Languages(names, tuple(b"\n".join(found[k][: how.docs])[: how.total] for k in names))
+    joined = [np.frombuffer(b"\n".join(found[k][: how.docs]), np.uint8) for k in names]
+    return Languages(names, tuple(spoken(t, np.array([0, len(t)]))[0].tobytes()[: how.total] for t in joined))
 
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -167,15 +180,13 @@ def identify(docs: DataFrame, languages: Languages) -> DataFrame:
         known = shared.value
         parser = CrossParser(list(known.references)) if known.names else None
         cost = np.log2([max(2, len(r)) for r in known.references]) if known.names else None
-        lower = np.arange(256, dtype=np.uint8)
-        lower[65:91] += 32
 
         def judge(column: pa.Array) -> tuple[list[str], np.ndarray]:
             data, at = utf8(column)
             written = [any(map(str.isalpha, t or "")) for t in column.to_pylist()]
             if parser is None:
                 return ["und"] * len(written), np.zeros(len(written))
-            bits = parser.phrases(lower[data[at[0] : at[-1]]], at - at[0]) * cost
+            bits = parser.phrases(*spoken(data, at)) * cost
             best = bits.argmin(1)
             share = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
             ok = np.array(written, bool)
