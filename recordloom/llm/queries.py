@@ -119,4 +119,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL}
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+link AS MATERIALIZED (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(reach.b) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
+"""
+
+OP2_SQL = r"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, k, array_to_string(w[k:k + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS k FROM d WHERE len(w) >= 20)),
+later AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY g ORDER BY doc_id, k) AS nth FROM windows) WHERE nth > 1),
+gone AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS p FROM later),
+said AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT s.doc_id, string_agg(word, ' ' ORDER BY s.p) AS text FROM said s ANTI JOIN gone g ON g.doc_id = s.doc_id AND g.p = s.p GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(r.n, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1) r ON r.doc_id = d.doc_id
+"""
+
+_SAID = rf"regexp_extract_all(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP6_SQL = rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_SAID} AS w FROM documents),
+i AS (SELECT item_id, {_SAID} AS w FROM benchmark),
+win AS MATERIALIZED (SELECT DISTINCT item_id::VARCHAR AS item, array_to_string(w[k:k + 9], ' ') AS g, least(len(w), 10) AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+spots AS (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS k FROM d, (SELECT DISTINCT s FROM win) WHERE len(w) >= s),
+hit AS MATERIALIZED (SELECT doc_id, k, spots.s, item FROM spots JOIN win ON win.s = spots.s AND win.g = array_to_string(w[k:k + spots.s - 1], ' ')),
+places AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + s)) AS p FROM hit) GROUP BY 1),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item)) AS l FROM hit GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coalesce(len(l), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN places ON places.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_ngram_jaccard": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL}
