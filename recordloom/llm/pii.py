@@ -42,9 +42,17 @@ PATTERNS = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: The same matches in time linear in the text and without recursion: a run is entered at its
+#: beginning only (or where the last match ended), and nothing that it holds is given back.
+LINEAR = {
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
+    "card": r"[0-9](?:[\x20-]?+[0-9])++",
+    "phone": PATTERNS["phone"],
+}
 #: Looser forms, for candidates only.
 LOOSE = {
-    "email": r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+ ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+ ?(?:\(dot\)|\[dot\]| dot ) ?[A-Za-z]{2,}",
     "phone": r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}",
 }
 #: A text without a match of this cannot match the pattern.
@@ -96,7 +104,7 @@ def _matches(text: Column, kind: str, pattern: str, guard: str | None, strict: b
 def spans(docs: DataFrame) -> DataFrame:
     """A row for each match and one without ``kind`` for each document: ``row``, doc_id, ``digest`` of the text, kind, strict, start, end, found, left, right."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row")).withColumn("digest", F.xxhash64("text"))
-    every = [_matches(F.col("text"), k, p, GUARDS[k], True) for k, p in PATTERNS.items()]
+    every = [_matches(F.col("text"), k, p, GUARDS[k], True) for k, p in LINEAR.items()]
     every += [_matches(F.col("text"), k, p, None, False) for k, p in LOOSE.items()]
     shape = "struct<kind:string,strict:boolean,nth:int,gap:int,found:string,left:string,right:string>"
     itself = F.array(F.lit(None).cast(shape))

@@ -276,6 +276,7 @@ def luhn(d):
 PRIVATE = [
     (1, "mail a.b@c.de or x@y then 4111 1111 1111 1111 and 4111111111111112"), (2, "host 10.0.0.255, 10.0.0.256, 001.02.3.4 and 1.2.3.4.5.6.7.8"), (3, "call +1 (555) 123-4567 now, +12, +1 222 333 444 555 666 777"),
     (4, None), (5, ""), (6, "é日本 😀 a@b.co 😀 +49 30 1234567890"), (7, "0" * 400 + " " + "1." * 200), (8, "+1 (826) 555-4081 190.137.223.204"), (9, "99999999999999999999.1.1.1"),
+    (10, "a@b.c_d@e.f a@b.c.d@e.f x..y@z-.q.-.r @a.b a@ a@b a+b%c@d.e.,g@h.i@j.k"), (11, "1-2 3--4 12-34 5 6  7 1.2.3.4.5.6.7 1..2.3.4 12.3.4.5-6"), (12, "1 " * 20000 + "x" * 60000 + " a@b.c " + "7" * 30000 + ".a" * 20000 + " q@r" + ".s" * 20000),
 ] + [(20 + k, f"phone: +1 (555) 010-{1000 + k} mail u{k}@example.com ip 192.168.{k}.7") for k in range(12)]
 
 
