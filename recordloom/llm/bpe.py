@@ -184,7 +184,7 @@ class Encoder:
     follows, so chunks can be encoded apart from their documents.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 400_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 300_000) -> None:
         import re
 
         import regex
@@ -238,7 +238,7 @@ DIGESTS = [
 ]
 
 #: Documents are encoded this many bytes of text at a time.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 
 
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, fields: list[T.StructField], shape) -> DataFrame:
