@@ -110,10 +110,9 @@ def spans(docs: DataFrame) -> DataFrame:
     itself = F.array(F.lit(None).cast(shape))
     each = rows.select("doc_id", "row", "digest", F.explode(F.concat(itself, *every)).alias("m")).select("doc_id", "row", "digest", "m.*")
     order = Window.partitionBy("row", "kind", "strict").orderBy("nth")
-    end = F.sum(F.col("gap") + F.char_length("found")).over(order)
-    placed = each.where("kind IS NOT NULL").withColumn("end", end).withColumn("start", F.col("end") - F.char_length("found"))
-    alone = each.where("kind IS NULL").withColumns({"end": F.lit(None).cast("long"), "start": F.lit(None).cast("long")})
-    return placed.unionByName(alone).drop("nth", "gap")
+    # one window over all rows, so that texts are searched once; the document's own row has no end
+    placed = each.withColumn("end", F.sum(F.col("gap") + F.char_length("found")).over(order))
+    return placed.withColumn("start", F.col("end") - F.char_length("found")).drop("nth", "gap")
 
 
 def voted(found: DataFrame) -> DataFrame:
