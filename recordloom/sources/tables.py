@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.text import na_to_null, nullify
 from ..operators.validate import ValidationError
 
-#: The columns of the two registries and the other names they come under.
+#: The columns of the two registries and the other names they come under.  A name
+#: that begins with ``*`` stands for any column with that ending.
 LEFT_REQUIRED = ("ingredient_code", "std_name_ko", "std_name_en", "cas_no")
 LEFT_OPTIONAL = ("old_name_ko", "as_of_date", "source", "ingest_date", "batch_id")
 RIGHT_ALIASES: dict[str, tuple[str, ...]] = {
     "inci_name": ("inci_name", "std_name_en", "ingredient_name"),
-    "substance_id": ("substance_id", "cosing_ing_id", "ingredient_id"),
+    "substance_id": ("substance_id", "*_ing_id", "ingredient_id"),
     "cas_no": ("cas_no",),
     "function_names": ("function_names", "functions"),
     "cosmetic_restriction": ("cosmetic_restriction",),
@@ -35,7 +36,10 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def resolve(rows: DataFrame, aliases: Mapping[str, Sequence[str]], required: Sequence[str] = ()) -> DataFrame:
     """Canonical columns from the first alias that ``rows`` has; absent ones are null, NA tokens become null."""
-    found = {name: next((a for a in options if a in rows.columns), None) for name, options in aliases.items()}
+    def column(option: str) -> str | None:
+        return next((c for c in rows.columns if c == option or option[0] == "*" and c.endswith(option[1:])), None)
+
+    found = {name: next(filter(None, map(column, options)), None) for name, options in aliases.items()}
     if missing := [name for name in required if found[name] is None]:
         raise ValidationError(f"missing columns: {', '.join(missing)}")
     return rows.select(*[(na_to_null(F.col(f"`{c}`")) if c else F.lit(None).cast("string")).alias(name) for name, c in found.items()])

@@ -109,6 +109,7 @@ def test_csv_round_trip_and_latest(spark, tmp_path):
         tables.latest_file(spark, str(path), "2031")
     row = tables.load_right(tables.read_csv(spark, tables.locate(spark, "store", str(path)))).first()
     assert (row.inci_name, row.function_names, row.cas_no) == ('a "q"\nb', None, None)
+    assert tables.load_right(spark.createDataFrame([("n", "7")], "inci_name string, x_ing_id string")).first().substance_id == "7"
     with pytest.raises(ValidationError):
         tables.load_left(spark.createDataFrame([("1",)], "ingredient_code string"))
     with pytest.raises(ValueError):
