@@ -289,7 +289,7 @@ def linked_components(classes: DataFrame, link: Link) -> DataFrame:
     return roots if roots is not None else classes.sparkSession.createDataFrame([], "node long, root long")
 
 
-def _likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+def likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not among ``wanted``; none of the others is lost.
 
     A Bloom filter of the wanted keys, so that rows that a join would drop are not shuffled.
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, link: Link = Link()) -> DataFrame:
     needed = F.expr(f"((({link.num}L * n + {link.den - 1}) DIV {link.den}) + 9) DIV 10")
     alive = classes.join(counts, "key").where(F.col("shared") >= needed).select(F.coalesce(F.col("first").cast("long"), F.lit(NOWHERE)).alias("at"), "key")
     alive = materialize(alive)
-    text = _likely(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text"), alive.select("at"), "at").join(alive, "at")
+    text = likely(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text"), alive.select("at"), "at").join(alive, "at")
     text = text.withColumn("digest", F.xxhash64("text")).dropDuplicates(["at", "key", "digest"])
     ordered = materialize(_ordered(_sets(text, link), link))
     roots = linked_components(ordered, link)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from .blocks import block_count, deal
 from .common import WordHash, materialize, mix, release, ship, slices, texts, utf8
+from .ngram_join import likely
 
 ship(__name__)
 
@@ -242,7 +243,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     found = materialize(anchors(docs))
     release(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text")
-    later = materialize(repeats(rows.join(found, "at"), width))
+    later = materialize(repeats(likely(rows, found.select("at"), "at").join(found, "at"), width))
     release(docs.sparkSession)
     name = "kept_sha256" if digest else "kept"
     full = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text").join(later, "at", "left").drop("at")
