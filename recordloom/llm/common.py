@@ -52,6 +52,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized frame that nothing will read again."""
+    files = df.inputFiles()
+    if files:
+        jvm = df.sparkSession.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        if folder.getName().startswith("recordloom-"):
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more.
 

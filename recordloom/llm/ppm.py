@@ -7,14 +7,15 @@ D / (T + D) (T: occurrences, D: different bytes), and the next shorter context l
 the bytes that the longer one offered (symbol exclusion).  What no context offers is
 uniform over the bytes left.  Texts do not change the trie (pretrained).
 
-The trie is counted over all training texts on the executors.  Scoring broadcasts it; its
-size is bounded by ``MOST_GRAMS`` grams an order: if an order has more, its rarest grams go,
-by a least count that never falls from one order to the next longer one, so each kept gram's
-suffix is kept.
+No gram is left out and no table of them is held in one place.  Groups of documents ask for
+the probability of each distinct run of ORDER + 1 bytes in them; what they ask with, and how
+often the run stands in training texts, is counted in hash blocks.  The distinct runs are then
+dealt by the two bytes before the last one, which all contexts of two bytes and more share,
+so each deal holds those contexts whole; only the counts of single bytes and pairs of bytes
+(at most 2^16) are broadcast.  The probabilities go back to the groups that asked.
 
-The word baseline needs the count of every word of the corpus.  Groups of documents ask for
-the counts of their distinct words by hash and get them back, so no table of words is held
-in one place; words are told apart by 64-bit hashes.
+The word baseline needs the count of every word of the corpus.  The same groups ask for the
+counts of their distinct words by hash and get them back; words are told apart by 64-bit hashes.
 
 Defined results: null counts as empty text, whose score is 0 and whose only token is the end.
 Without training texts each byte has probability 1/256.  Repeated rows repeat their scores.
@@ -27,17 +28,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import block_count, deal
-from .common import WordHash, materialize, ship, slices, texts, utf8
+from .common import WordHash, discard, materialize, release, ship, slices, texts, utf8
 
 ship(__name__)
 
 ORDER = 4
-MOST_GRAMS = 1 << 20
 END = b" "  # no word is a space
 GROUP_DOCS = 4000
 
@@ -106,14 +107,6 @@ class Trie:
         out[alive] -= np.log10(256 - seen[alive])
         return out
 
-    def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at) - 1)
-        for a, b in slices(at, 1 << 18):
-            unique, inverse = np.unique(codes(data, at[a : b + 1]), return_inverse=True)
-            each = np.append(0, np.cumsum(self.log10(unique)[inverse]))
-            out[a:b] = each[at[a + 1 : b + 1] - at[a]] - each[at[a:b] - at[a]]
-        return out
-
 
 def _find(table: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
@@ -148,7 +141,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(send, "block int, a binary, b binary").groupBy("block").applyInArrow(meet, "code long, n long")
 
 
-def build_trie(training: DataFrame, most: int = MOST_GRAMS) -> Trie:
+def build_trie(training: DataFrame, most: int) -> Trie:
+    """A trie in one place, cut to its ``most`` frequent grams an order; scoring does not use it."""
     counted = materialize(count_grams(training))
     grams, counts, least = [], [], 1
     for k in range(ORDER + 1):
@@ -169,13 +163,76 @@ def build_trie(training: DataFrame, most: int = MOST_GRAMS) -> Trie:
     return Trie(grams, counts)
 
 
+def _key(code: np.ndarray) -> np.ndarray:
+    return code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
+
+
+def _summed(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct names, sorted, and the sum of ``n`` of each."""
+    names, spot = np.unique(names, return_inverse=True)
+    total = np.zeros(len(names), np.int64)
+    np.add.at(total, spot, n)
+    return names, total
+
+
+def _asked_grams(data: np.ndarray, at: np.ndarray, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of these texts and their occurrences in those to learn from."""
+    names, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for a, b in slices(at, 1 << 18):
+        code, used = codes(data, at[a : b + 1]), np.repeat(learn[a:b], np.diff(at[a : b + 1]))
+        for part, times in ((code[used], 1), (code[~used], 0)):
+            name, n = np.unique(part, return_counts=True)
+            names.append(name)
+            counts.append(n * times)
+    return _summed(np.concatenate(names), np.concatenate(counts))
+
+
+def _scores(data: np.ndarray, at: np.ndarray, names: np.ndarray, log10: np.ndarray) -> np.ndarray:
+    """The sum of ``log10`` over the codes of each text; ``names`` has all of them."""
+    out, table = np.zeros(len(at) - 1), pa.array(names)
+    for a, b in slices(at, 4 << 20):
+        spot = pc.index_in(pa.array(codes(data, at[a : b + 1])), value_set=table).to_numpy()
+        each = np.append(0, np.cumsum(log10[spot]))
+        out[a:b] = each[at[a + 1 : b + 1] - at[a]] - each[at[a:b] - at[a]]
+    return out
+
+
+def gram_log10(asked: DataFrame, blocks: int) -> DataFrame:
+    """``block``, ``code`` and ``log10`` (its probability) of each distinct code of ``asked``."""
+    spark = asked.sparkSession
+
+    def meet(key: tuple, group: pa.Table) -> pa.Table:
+        names, total = _summed(np.frombuffer(b"".join(group["c"].to_pylist()), np.uint64), np.frombuffer(b"".join(group["d"].to_pylist()), "<u4"))
+        return pa.table({"code": names.view(np.int64), "n": total})
+
+    counted = materialize(asked.select("block", "c", "d").groupBy("block").applyInArrow(meet, "code long, n long"))
+    pairs = counted.where("n > 0").groupBy(F.col("code").bitwiseAND(0xFFFF).alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    pair, n = _summed(pairs["code"].to_numpy().view(np.uint64), pairs["n"].to_numpy())
+    byte, m = _summed(pair & np.uint64(0xFF), n)
+    shared = spark.sparkContext.broadcast(([byte, pair], [m, n]))
+
+    def judge(key: tuple, group: pa.Table) -> pa.Table:
+        code, n = group["code"].to_numpy().view(np.uint64), group["n"].to_numpy()
+        known, times = code[n > 0], n[n > 0]
+        grams, counts = list(shared.value[0]), list(shared.value[1])
+        for k in range(2, ORDER + 1):
+            g, total = _summed(known & np.uint64((1 << 8 * (k + 1)) - 1), times)
+            grams.append(g)
+            counts.append(total)
+        block = (_key(code) % np.uint64(blocks)).astype(np.int32)
+        return pa.table({"block": block, "code": code.view(np.int64), "log10": Trie(grams, counts).log10(code)})
+
+    dealt = counted.withColumn("deal", F.pmod(F.xxhash64(F.col("code").bitwiseAND(0xFFFF00)), F.lit(blocks)))
+    return dealt.groupBy("deal").applyInArrow(judge, "block int, code long, log10 double")
+
+
 def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row; ``training`` is a condition on doc_id."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
-    shared = spark.sparkContext.broadcast(build_trie(rows.where("learn")))
-    blocks = block_count(spark)
-    groups = max(rows.count() // GROUP_DOCS, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a row goes from each group to each block and back
+    blocks, groups = 2 * partitions, max(rows.count() // GROUP_DOCS, 2 * partitions)
     rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
@@ -185,28 +242,42 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
             found.append(np.append(words.of(text.lower().split()), np.uint64(words[END])))
         h = np.concatenate(found)
         used = np.repeat(np.array(learn), [len(x) for x in found])
-        names, spot = np.unique(h, return_inverse=True)
-        n = np.bincount(spot, used, minlength=len(names)).astype("<u4")
-        order, runs = deal(names, blocks)
-        names, n = names[order], n[order]
-        return pa.table({"block": pa.array([k for k, _, _ in runs], pa.int32()), "grp": pa.array([key[0].as_py()] * len(runs), pa.int32()), "a": [names[x:y].tobytes() for _, x, y in runs], "b": [n[x:y].tobytes() for _, x, y in runs]})
-
-    def meet(key: tuple, group: pa.Table) -> pa.Table:
-        asked, who = group["a"].to_pylist(), group["grp"].to_pylist()
+        said = _summed(h, used)
+        data, at = utf8(group["text"])
+        out: dict[int, list[bytes]] = {}
+        for k, (names, n) in enumerate((said, _asked_grams(data, at, np.array(learn)))):
+            order, runs = deal(_key(names) if k else names, blocks)
+            names, n = names[order], n[order].astype("<u4")
+            for block, x, y in runs:
+                out.setdefault(block, [b""] * 4)[2 * k : 2 * k + 2] = names[x:y].tobytes(), n[x:y].tobytes()
+        a, b, c, d = (pa.array([r[k] for r in out.values()], pa.binary()) for k in range(4))
+        return pa.table({"block": pa.array(list(out), pa.int32()), "grp": pa.array([key[0].as_py()] * len(out), pa.int32()), "a": a, "b": b, "c": c, "d": d})
+
+    def meet(key: tuple, group: pa.Table, grams: pa.Table) -> pa.Table:
+        asked, who, sought = group["a"].to_pylist(), group["grp"].to_pylist(), group["c"].to_pylist()
         names, spot = np.unique(np.frombuffer(b"".join(asked), np.uint64), return_inverse=True)
         n = np.frombuffer(b"".join(group["b"].to_pylist()), "<u4")
         total = np.zeros(len(names), np.int64)
         np.add.at(total, spot, n)
         ends = np.append(0, np.cumsum([len(x) // 8 for x in asked]))
         replies = [total[s].tobytes() for s in np.split(spot, ends[1:-1])]
+        code, log10 = grams["code"].to_numpy().view(np.uint64), grams["log10"].to_numpy()
+        order = np.argsort(code)
+        code, log10 = code[order], log10[order]
+        judged = [log10[np.searchsorted(code, np.frombuffer(x, np.uint64))].tobytes() for x in sought]
         none = len(replies)
         return pa.table({
-            "grp": pa.array([*who, -1], pa.int32()), "a": pa.array([*asked, b""], pa.binary()), "b": pa.array([*replies, b""], pa.binary()),
+            "grp": pa.array([*who, -1], pa.int32()), "a": pa.array([*asked, b""], pa.binary()), "b": pa.array([*replies, b""], pa.binary()), "c": pa.array([*sought, b""], pa.binary()), "d": pa.array([*judged, b""], pa.binary()),
             "tokens": pa.array([0] * none + [int(total.sum())], pa.int64()), "kinds": pa.array([0] * none + [int((total > 0).sum())], pa.int64()),
         })
 
-    asked = rows.groupBy("grp").applyInArrow(ask, "block int, grp int, a binary, b binary")
-    replies = materialize(asked.groupBy("block").applyInArrow(meet, "grp int, a binary, b binary, tokens long, kinds long"))
+    asked = materialize(rows.groupBy("grp").applyInArrow(ask, "block int, grp int, a binary, b binary, c binary, d binary"))
+    release(spark)
+    met = asked.groupBy("block").cogroup(gram_log10(asked, blocks).groupBy("block"))
+    replies = materialize(met.applyInArrow(meet, "grp int, a binary, b binary, c binary, d binary, tokens long, kinds long"))
+    discard(asked)
+    del asked, met
+    release(spark)
     sums = replies.where("grp = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     total, kinds = int(sums.n), int(sums.v)
 
@@ -218,7 +289,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
         names, n = names[order], n[order]
         weight = np.log10(n + 0.5)
         data, at = utf8(group["text"])
-        trie = shared.value.scores(data, at)
+        trie = _scores(data, at, np.frombuffer(b"".join(got["c"].to_pylist()), np.uint64), np.frombuffer(b"".join(got["d"].to_pylist()), np.float64))
         tokens, known, base = [], [], []
         for text in texts(group["text"]):
             spot = np.searchsorted(names, np.append(words.of(text.lower().split()), np.uint64(words[END])))
@@ -229,4 +300,4 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
 
     fields = [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
     own = rows.select("grp", "doc_id", "text").groupBy("grp")
-    return own.cogroup(replies.where("grp >= 0").select("grp", "a", "b").groupBy("grp")).applyInArrow(judge, T.StructType([docs.schema["doc_id"], *fields]))
+    return own.cogroup(replies.where("grp >= 0").select("grp", "a", "b", "c", "d").groupBy("grp")).applyInArrow(judge, T.StructType([docs.schema["doc_id"], *fields]))

@@ -423,6 +423,26 @@ def test_ppm_bounded_trie(spark):
         assert np.isin(trie.grams[k] & np.uint64((1 << 8 * k) - 1), trie.grams[k - 1]).all()
 
 
+def test_ppm_keeps_every_gram(spark):
+    """More than 2^20 kinds of grams, nearly all of which stand once."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 123, 50_000, np.uint8)).decode() for _ in range(26)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    at = np.arange(27) * 50_000
+    code, grams, counts = ppm.codes(data, at), [], []
+    for k in range(ppm.ORDER + 1):
+        g, n = np.unique(code & np.uint64((1 << 8 * (k + 1)) - 1), return_counts=True)
+        grams.append(g)
+        counts.append(n)
+    assert len(grams[-1]) > 1 << 20
+    texts.append(texts[3][:300] + "and words that were not learned")
+    want = ppm.Trie(grams, counts).log10(ppm.codes(np.append(data, np.frombuffer(texts[-1].encode(), np.uint8)), np.append(at, at[-1] + len(texts[-1]))))
+    ends = np.append(at, at[-1] + len(texts[-1]))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in ppm.score_documents(rows, F.col("doc_id") < 26).collect():
+        assert r.score == pytest.approx(want[ends[r.doc_id] : ends[r.doc_id + 1]].sum(), abs=1e-6)
+
+
 def test_ppm_of_nothing(spark):
     assert ppm.score_documents(empty(spark), F.lit(True)).count() == 0
     r = ppm.score_documents(spark.createDataFrame([(1, "ab")], "doc_id long, text string"), F.lit(False)).first()
