@@ -15,11 +15,16 @@ from recordloom.llm.common import fold, materialize, table
 
 #: Near duplicates: five words, Jaccard similarity 0.8 or more.
 NEAR = ngram_join.Link(5, 80, 100)
-NOWHERE = ngram_join.NOWHERE
 
 
-def _key(column: str):
-    return F.coalesce(F.col(column).cast("long"), F.lit(NOWHERE))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, ``_row``, written so that every reading gives the same ones."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """``_row`` in the place of doc_id, so that an operator judges each row by itself."""
+    return rows.select(F.col("_row").alias("doc_id"), "text")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +35,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near duplicates; of rows that repeat a doc_id, one."""
-    found = ngram_join.near_duplicates(docs, NEAR)
-    kept = materialize(found.where("doc_id <=> component_id").select(_key("doc_id").alias("_key")))
-    left = docs.withColumn("_key", _key("doc_id")).join(kept.distinct(), "_key", "left_semi")
-    if not kept.groupBy("_key").count().where("count > 1").isEmpty():
-        left = left.dropDuplicates(["_key"])
-    return left.select(*docs.columns)
+    """One row of each group of near duplicates: of its smallest doc_id, null being the largest."""
+    rows = _numbered(docs)
+    found = ngram_join.near_duplicates(_texts(rows), NEAR).select(F.col("doc_id").alias("_row"), "component_id")
+    named = rows.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_first"))
+    kept = found.join(named, "_row").groupBy("component_id").agg(F.min("_first").alias("_first"))
+    return rows.join(kept.select("_first._row"), "_row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of any benchmark item."""
-    judged = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    hit = judged.where("contaminated").select(_key("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", _key("doc_id")).join(hit, "_key", "left_anti").select(*docs.columns)
+    rows = _numbered(docs)
+    judged = decontaminate.decontaminate(_texts(rows), table(spark, sf_dir, "benchmark"))
+    hit = judged.where("contaminated").select(F.col("doc_id").alias("_row"))
+    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -506,3 +506,21 @@ def test_pipeline(spark, sf_dir):
         if name == "decontamination":
             assert not decontaminate.decontaminate(kept, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").count()
     assert kept.where("NOT round_trip").isEmpty() and kept.count()
+
+
+def test_pipeline_of_rows_that_share_an_id(spark, tmp_path):
+    """Null and repeated ids over different texts: each row is kept or dropped by its own text."""
+    import corpus_pipeline as cp
+
+    rng = random.Random(13)
+    text = [words(rng, 40, 10**6) for _ in range(8)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[2]), (3, text[2]), (3, text[3]), (3, text[3]), (4, text[4]), (9, text[4]), (9, text[5]), (2, None), (2, None), (None, text[6]), (None, text[6])]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], SHAPE)
+    kept = cp.drop_near_duplicates(spark, docs, None)
+    want = [(None, text[0]), (None, text[1]), (3, text[2]), (3, text[3]), (4, text[4]), (9, text[5]), (2, None), (2, None), (None, text[6])]
+    assert kept.columns == docs.columns and sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    items = spark.createDataFrame([(1, text[0]), (2, text[3])], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = cp.drop_contaminated(spark, docs, str(tmp_path))
+    want = [r for r in rows if r[1] not in (text[0], text[3])]
+    assert clean.columns == docs.columns and sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(want, key=str)
