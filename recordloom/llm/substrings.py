@@ -10,12 +10,13 @@ earlier start) covers its words.  Adjoining covered windows are the maximal exac
 their words go.  Windows are judged on the input.
 
 Probes and windows meet in blocks of hash keys.  A task sends each key at most once for
-each chunk of text, so text that stands in a third of all documents is no large group.
+each chunk of text (once a text where texts of one doc_id have it at one place), so text that stands in a third of all documents is no large group.
 Words enter by 64-bit hashes, windows are told apart by 96 bits.
 
 Defined results: null text has no words; its kept text is empty.  Rows that repeat a
 doc_id count as the same document: equal words at the same place of it do not remove each
-other.  A null doc_id counts as the smallest.
+other.  Each row loses only windows of its own text: rows are told apart by doc_id and a
+64-bit hash of the text.  A null doc_id counts as the smallest.
 """
 
 from __future__ import annotations
@@ -93,27 +94,32 @@ def _read_places(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4", offset=1).astype(np.int64)
 
 
-def _table_row(chunk: int, keys: np.ndarray, begin: np.ndarray) -> tuple:
-    return (-1 - chunk % 4096, chunk, 0, keys.tobytes(), begin.tobytes())
+def _table_row(chunk: int, ids: np.ndarray, tags: np.ndarray, begin: np.ndarray) -> tuple:
+    return (-1 - chunk % 4096, chunk, 0, ids.tobytes() + tags.tobytes(), begin.tobytes())
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``at`` (document), ``text`` and ``tag``, which tells texts of one document apart."""
+    return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text", F.xxhash64("text").alias("tag"))
 
 
 def _by_document(met: DataFrame) -> DataFrame:
-    """From places in chunks to ``at`` (document) and ``places`` in it."""
+    """From places in chunks to ``at`` and ``tag`` (a text of a document) and ``places`` in it."""
 
     def resolve(key: tuple, group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         table = next(r for r in rows if r["kind"] == 0)
-        ids, begin = np.frombuffer(table["a"], np.int64), np.frombuffer(table["b"], np.int64)
+        (ids, tags), begin = np.frombuffer(table["a"], np.int64).reshape(2, -1), np.frombuffer(table["b"], np.int64)
         places = np.sort(np.concatenate([np.zeros(0, np.int64), *(_read_places(r["a"]) for r in rows if r["kind"] == 1)]))
         cut = np.searchsorted(places, begin)
-        out = [(int(ids[k]), (places[x:y] - begin[k]).astype("<u4").tobytes()) for k, (x, y) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if y > x]
-        return pa.table({"at": pa.array([i for i, _ in out], pa.int64()), "places": pa.array([p for _, p in out], pa.binary())})
+        out = [(int(ids[k]), int(tags[k]), (places[x:y] - begin[k]).astype("<u4").tobytes()) for k, (x, y) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if y > x]
+        return pa.table({"at": pa.array([i for i, _, _ in out], pa.int64()), "tag": pa.array([t for _, t, _ in out], pa.int64()), "places": pa.array([p for _, _, p in out], pa.binary())})
 
-    return met.groupBy("chunk").applyInArrow(resolve, "at long, places binary").groupBy("at").agg(F.collect_list("places").alias("places"))
+    return met.groupBy("chunk").applyInArrow(resolve, "at long, tag long, places binary").groupBy("at", "tag").agg(F.collect_set("places").alias("places"))
 
 
 def anchors(docs: DataFrame) -> DataFrame:
-    """Documents (``at``) with the places of their words where an anchor begins."""
+    """Texts (``at``, ``tag``) with the places of their words where an anchor begins."""
     blocks = block_count(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +135,7 @@ def anchors(docs: DataFrame) -> DataFrame:
             group[order] = np.cumsum(fresh) - 1
             first = order[fresh]
             several = np.bincount(group) > 1
-            out = [_table_row(chunk, rows.column(0).to_numpy(zero_copy_only=False), begin)]
+            out = [_table_row(chunk, *(rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 2)), begin)]
             # what stands twice here is anchored at once; one entry of it goes out, as a block
             local = place[several[group]]
             if len(local):
@@ -155,21 +161,20 @@ def anchors(docs: DataFrame) -> DataFrame:
         found = [(c, _places(_read_places(w)[h])) for c, w, h in zip(chunks, where, np.split(hit, ends[1:-1])) if h.any()]
         return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "kind": pa.array([1] * len(found), pa.int32()), "a": pa.array([p for _, p in found], pa.binary()), "b": pa.nulls(len(found), pa.binary())})
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text")
-    return _by_document(rows.mapInArrow(send, SENT).groupBy("block").applyInArrow(meet, MET))
+    return _by_document(_rows(docs).select("at", "text", "tag").mapInArrow(send, SENT).groupBy("block").applyInArrow(meet, MET))
 
 
 def repeats(rows: DataFrame, width: int) -> DataFrame:
-    """Documents (``at``) with the starts of their windows that stand earlier elsewhere.
+    """Texts (``at``, ``tag``) with the starts of their windows that stand earlier elsewhere.
 
-    ``rows`` has ``at``, ``text`` and ``places``, the anchors of that document.
+    ``rows`` has ``at``, ``text``, ``tag`` and ``places``, the anchors of that text.
     """
     blocks = block_count(rows.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, part, h, begin in _chunks(batches, 1):
             near = np.zeros(begin[-1] + 1, np.int64)
-            for k, listed in enumerate(part.column(2).to_pylist()):
+            for k, listed in enumerate(part.column(3).to_pylist()):
                 for raw in listed or ():
                     p = np.frombuffer(raw, "<u4").astype(np.int64)
                     np.add.at(near, begin[k] + np.maximum(p - (width - BLOCK), 0), 1)
@@ -177,7 +182,7 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
             place = np.flatnonzero((np.cumsum(near)[:-1] > 0) & _starts(begin, width))
             if not len(place):
                 continue
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            ids, tags = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             key, other = grams(h, width, 2)[place], (grams(h, width, 5)[place] >> np.uint64(32)).astype("<u4")
             owner = np.repeat(np.arange(len(ids)), np.diff(begin))[place]
             doc, start = ids[owner], place - begin[owner]
@@ -187,10 +192,17 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
             lead = order[fresh][np.cumsum(fresh) - 1]
             later = np.empty(len(key), bool)
             later[order] = (doc[order] != doc[lead]) | (start[order] != start[lead])
-            out = [_table_row(chunk, ids, begin)]
+            out = [_table_row(chunk, ids, tags, begin)]
             if later.any():
                 out.append((-1 - chunk % 4096, chunk, 1, _places(place[later]), None))
-            sent = np.sort(order[fresh])
+            first = order[~later[order]]
+            if len(first) > fresh.sum():
+                # other texts of one document have the window at the same place: each asks for itself
+                tag = tags[owner[first]]
+                turn = np.lexsort([tag, other[first], key[first]])
+                first, tag = first[turn], tag[turn]
+                first = first[np.append(True, (tag[1:] != tag[:-1]) | (other[first][1:] != other[first][:-1]) | (key[first][1:] != key[first][:-1]))]
+            sent = np.sort(first)
             turn, runs = deal(key[sent], blocks)
             sent = sent[turn]
             made = np.empty(len(sent), RECORD)
@@ -228,8 +240,6 @@ def _kept(documents: list[bytes], listed: list, width: int) -> Iterator[tuple[in
             continue
         edge = np.zeros(len(said) + 1, np.int64)
         at = np.unique(np.concatenate([np.frombuffer(r, "<u4") for r in starts]).astype(np.int64))
-        # of rows that share a doc_id, a start may lie beyond the shorter text
-        at = at[at + width <= len(said)]
         edge[at] += 1
         edge[at + width] -= 1
         gone = np.cumsum(edge)[:-1] > 0
@@ -242,11 +252,11 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
         raise ValueError(f"windows of {width} words may hold no block of {BLOCK}")
     found = materialize(anchors(docs))
     release(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text")
-    later = materialize(repeats(likely(rows, found.select("at"), "at").join(found, "at"), width))
+    near = likely(_rows(docs).select("at", "text", "tag"), found.select("tag"), "tag").join(found, ["at", "tag"])
+    later = materialize(repeats(near.select("at", "text", "tag", "places"), width))
     release(docs.sparkSession)
     name = "kept_sha256" if digest else "kept"
-    full = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text").join(later, "at", "left").drop("at")
+    full = _rows(docs).join(later, ["at", "tag"], "left").select("doc_id", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -131,6 +131,27 @@ def test_substrings_edges(spark):
         substrings.dedup_substrings(empty(spark), 18)
 
 
+def test_substrings_of_rows_that_share_an_id(spark):
+    """Null and repeated ids over different texts: each row loses only what stands earlier."""
+    rng = random.Random(12)
+    passage, other = words(rng, 30, 10**6), words(rng, 25, 10**6)
+    own = [words(rng, 60, 10**6) for _ in range(9)]
+    rows = [(None, f"{passage} {own[0]}"), (None, f"{own[1]} {passage}"), (None, own[2]), (7, f"{passage} {own[3]}"), (7, f"{passage} {own[4]}"), (7, own[5]), (8, f"{other} {own[6]}"), (8, f"{other} {own[7]}"), (9, f"{own[8]} {other}")]
+    lead = {}
+    cut = [[(tuple(t.split()[k : k + 20]), (-1 if i is None else i, k)) for k in range(len(t.split()) - 19)] for i, t in rows]
+    for g, at in (x for c in cut for x in c):
+        lead[g] = min(at, lead.get(g, at))
+    want = []
+    for (i, t), c in zip(rows, cut):
+        gone = {p for g, at in c if lead[g] != at for p in range(at[1], at[1] + 20)}
+        want.append((i, " ".join(w for p, w in enumerate(t.split()) if p not in gone)))
+    assert [k for _, k in want][:6] == [rows[0][1], *own[1:6]] and want[6:] == [rows[6], rows[7], (9, own[8])]
+    for parts in (1, 5):
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = [(r.doc_id, r.kept) for r in substrings.dedup_substrings(frame, 20).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 # 3 ----------------------------------------------------------------------------------------------
 
 
