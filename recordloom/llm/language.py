@@ -12,7 +12,9 @@ Documents are parsed in segments of ``SEGMENT`` bytes, all of them; a phrase end
 its segment, alike for every language.
 
 Bounds (parameters of ``Training``): at most ``docs`` documents a language, lowest hash
-of doc_id first, and ``share`` bytes of each, ``total`` bytes a language in all.
+of doc_id and text first, and ``share`` bytes of each, ``total`` bytes a language in all.
+A longer text gives ``PIECES`` pieces at hashed places of the whole; a language whose rows
+all miss the sample gives its lowest row.
 
 Defined results: text that is null or has no letter gives ``und`` and score 0; so does
 every text when nothing can be learned.  The score is the winner's share of
@@ -35,12 +37,12 @@ from .common import append_columns, ship, slices, utf8
 ship(__name__)
 
 SEGMENT = 512
+PIECES = 4
 
 
 @dataclass(frozen=True)
 class Training:
     docs: int = 48
-    longest: int = 50_000
     share: int = 2_000
     total: int = 24_000
 
@@ -149,8 +151,8 @@ class Languages:
 
 def learn(docs: DataFrame, usable, how: Training = Training()) -> Languages:
     """Reference texts from the rows that ``usable`` (a condition) admits."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable & (F.length("text") <= how.longest))
-    place = F.xxhash64(F.col("doc_id"))
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable)
+    place = F.xxhash64("doc_id", "text")
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Languages((), ())
@@ -160,7 +162,15 @@ def learn(docs: DataFrame, usable, how: Training = Training()) -> Languages:
         return (F.col("lang") == lang) & (place <= edge)
 
     some = rows.where(reduce(lambda a, b: a | b, (near(k, n) for k, n in sorted(counts.items()))))
-    kept = some.select("lang", place.alias("at"), "doc_id", F.encode(F.substring("text", 1, how.share), "utf-8").alias("text")).collect()
+    piece = how.share // PIECES
+    spots = [F.pmod(F.xxhash64("doc_id", "text", F.lit(k)), F.char_length("text") - piece + 1).cast("int") + 1 for k in range(PIECES)]
+    taken = F.when(F.char_length("text") <= how.share, F.col("text")).otherwise(F.concat_ws("\n", *[F.substr("text", at, F.lit(piece)) for at in spots]))
+    fields = [place.alias("at"), "doc_id", F.encode(taken, "utf-8").alias("text")]
+    kept = some.select("lang", *fields).collect()
+    missed = sorted(counts.keys() - {r["lang"] for r in kept})
+    if missed:
+        lowest = rows.where(F.col("lang").isin(missed)).select("lang", F.struct(*fields).alias("row"))
+        kept += lowest.groupBy("lang").agg(F.min("row").alias("row")).select("lang", "row.*").collect()
     found: dict[str, list[bytes]] = {}
     for r in sorted(kept, key=lambda r: (r["lang"], r["at"], r["doc_id"] is None, r["doc_id"] or 0, bytes(r["text"]))):
         found.setdefault(r["lang"], []).append(bytes(r["text"])[: how.share])

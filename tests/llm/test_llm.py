@@ -508,6 +508,21 @@ def test_language(spark, sf_dir):
     assert language.identify(frame(spark, awkward()), language.Languages((), ())).first().lang_pred == "und"
 
 
+def test_language_learns_from_long_texts_and_rows_without_ids(spark):
+    """A language of long texts only; one whose rows have no id, beyond 288 rows; words that stand late."""
+    rng = random.Random(14)
+    said = {k: [f"{k}{rng.choice(a)}{rng.choice(a)}{n}" for n in a] for k, a in (("b", "rstln"), ("x", "vwyzq"), ("m", "aeiou"))}
+    text = lambda k, n: " ".join(rng.choices(said[k], k=n))
+    rows = [(n, text("b", 15_000), "long") for n in range(3)] + [(None, text("x", 20), "none") for _ in range(400)]
+    rows += [(10 + n, "and of the " * 200 + text("m", 6_000), "late") for n in range(12)]
+    known = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert known.names == ("late", "long", "none")
+    told = language.identify(spark.createDataFrame([(k, text(k, 9)) for k in "bxm"], "lang string, text string"), known).collect()
+    assert {r.lang: r.lang_pred for r in told} == {"b": "long", "x": "none", "m": "late"}
+    alone = [(None, "one text of its own", "en")] * 400
+    assert language.learn(spark.createDataFrame(alone, "doc_id long, text string, lang string"), F.lit(True)).names == ("en",)
+
+
 # The pipeline -----------------------------------------------------------------------------------
 
 
