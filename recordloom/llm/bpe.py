@@ -177,14 +177,17 @@ class MergeReplay:
 
 
 class Encoder:
-    """Encodes documents; remembers the ids of chunks and pieces, up to ``most`` of each.
+    """Encodes documents; remembers the ids of chunks and pieces, about ``most`` bytes of each.
 
     A chunk is what stands between single spaces.  A space with no white space
     beside it always begins a new piece and nothing before it bears on what
     follows, so chunks can be encoded apart from their documents.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 300_000) -> None:
+    #: Bytes that an entry of a dictionary takes besides its text and ids.
+    ENTRY = 200
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 32 << 20) -> None:
         import re
 
         import regex
@@ -192,6 +195,7 @@ class Encoder:
         self.replay, self.pieces, self.most = MergeReplay(ranks), regex.compile(pattern).findall, most
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held = [0, 0]
         self.beside = re.compile(r"\s\s").search
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
 
@@ -201,17 +205,19 @@ class Encoder:
         return found[:1] + [" " + x for x in found[1:]]
 
     def encode(self, documents: list[str]) -> list[bytes]:
+        for k, known in enumerate((self.chunks, self.words)):
+            if self.held[k] >= self.most:
+                known.clear()
+                self.held[k] = 0
         parts = [self.parts(t) if t else [] for t in documents]
-        if len(self.chunks) >= self.most:
-            self.chunks.clear()
-        if len(self.words) >= self.most:
-            self.words.clear()
         fresh = {c for p in parts for c in p}.difference(self.chunks)
         cut = {c: self.pieces(c) for c in fresh}
         words = list({w for p in cut.values() for w in p}.difference(self.words))
         self.words.update(zip(words, self.replay.encode([w.encode() for w in words])))
+        self.held[1] += sum(self.ENTRY + len(w) for w in words)
         get = self.words.__getitem__
         self.chunks.update((c, b"".join(map(get, p))) for c, p in cut.items())
+        self.held[0] += sum(self.ENTRY + 3 * len(c) for c in cut)
         get = self.chunks.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
@@ -227,45 +233,41 @@ def _vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
     return tokens
 
 
-FIELDS = [
-    T.StructField("ids", T.BinaryType()),
-    T.StructField("decoded", T.StringType()),
-]
-DIGESTS = [
-    T.StructField("n_tokens", T.LongType()),
-    T.StructField("ids_sha256", T.StringType()),
-    T.StructField("decoded_sha256", T.StringType()),
-]
-
 #: Documents are encoded this many bytes of text at a time.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
-def _encoded(docs: DataFrame, ranks_path: str, pattern: str, fields: list[T.StructField], shape) -> DataFrame:
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, kinds: dict[str, T.DataType], shape) -> DataFrame:
+    """``docs`` with the columns ``kinds``; ``shape`` gives their values from a document, its ids and their decoding."""
     shared = docs.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
+    arrow = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary(), T.BooleanType(): pa.bool_()}
 
     def make():
-        from .common import slices, utf8
-
         encoder, vocabulary = Encoder(shared.value, pattern), _vocabulary(shared.value)
 
         def compute(column: pa.Array) -> list[pa.Array]:
-            rows = []
-            _, at = utf8(column)
-            for a, b in slices(at, BATCH_BYTES):
-                documents = [t.decode() for t in texts(column.slice(a, b - a))]
-                rows += [shape(ids, decode(ids, vocabulary)) for ids in encoder.encode(documents)]
-            kinds = {T.LongType(): pa.int64(), T.StringType(): pa.string(), T.BinaryType(): pa.binary()}
-            return [pa.array([r[k] for r in rows], kinds[f.dataType]) for k, f in enumerate(fields)]
+            documents = texts(column)
+            coded = encoder.encode([t.decode() for t in documents])
+            rows = [shape(text, ids, decode(ids, vocabulary)) for text, ids in zip(documents, coded)]
+            return [pa.array([r[k] for r in rows], arrow[kind]) for k, kind in enumerate(kinds.values())]
 
         return compute
 
-    return append_columns(docs, make, fields)
+    return append_columns(docs, make, [T.StructField(name, kind) for name, kind in kinds.items()], most=BATCH_BYTES)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` with ``ids`` (little-endian unsigned 32-bit) and ``decoded``, the text those ids give."""
-    return _encoded(docs, ranks_path, pattern, FIELDS, lambda ids, text: (ids, text.decode()))
+    return _encoded(docs, ranks_path, pattern, {"ids": T.BinaryType(), "decoded": T.StringType()}, lambda text, ids, said: (ids, said.decode()))
+
+
+def encode_verified(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``docs`` with ``n_tokens``, ``ids`` and ``round_trip``, whether the ids decode to the text.
+
+    The decoding is compared where it is made and does not travel.
+    """
+    kinds = {"n_tokens": T.LongType(), "ids": T.BinaryType(), "round_trip": T.BooleanType()}
+    return _encoded(docs, ranks_path, pattern, kinds, lambda text, ids, said: (len(ids) // 4, ids, said == text))
 
 
 def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -273,8 +275,5 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     The digests are taken where the ids are made, so ids do not travel.
     """
-
-    def shape(ids: bytes, text: bytes) -> tuple[int, str, str]:
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()
-
-    return _encoded(docs, ranks_path, pattern, DIGESTS, shape)
+    kinds = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    return _encoded(docs, ranks_path, pattern, kinds, lambda text, ids, said: (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(said).hexdigest()))

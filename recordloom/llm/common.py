@@ -102,12 +102,14 @@ def append_columns(
     make: Callable[[], Callable[[pa.Array], list]],
     fields: list[T.StructField],
     text: str = "text",
+    most: int = 4 << 20,
 ) -> DataFrame:
-    """``df`` with columns computed from its text column, batch by batch.
+    """``df`` with columns computed from its text column, slice by slice.
 
-    ``make`` runs once in each task and gives the function that maps a batch's
-    text to the new columns' arrays.  Columns of ``df`` with the names of new
-    ones are replaced.
+    ``make`` runs once in each task and gives the function that maps the texts of a slice
+    to the new columns' arrays.  A slice holds about ``most`` bytes of text (one row at
+    least) and is sent on before the next is read, so memory follows ``most``, not the
+    size of a batch.  Columns of ``df`` with the names of new ones are replaced.
     """
     names = {f.name for f in fields}
     kept = [c for c in df.columns if c not in names]
@@ -116,8 +118,9 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            new = compute(batch.column(spot))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*kept, *(f.name for f in fields)])
+            for a, b in slices(utf8(batch.column(spot))[1], most):
+                part = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(spot))], names=[*kept, *(f.name for f in fields)])
 
     frame = df.select(*kept)
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *fields]))

@@ -4,17 +4,16 @@ Labelled text of each language becomes a suffix automaton.  A document is parsed
 greedily against each automaton into the longest phrases that occur in that
 language's text; a byte that does not occur there is a phrase of its own.  A phrase
 costs log2 of the reference's length, and the language that needs the fewest such
-normalised phrases wins.  The automata are flattened into one table, and numpy walks
-all segments of a batch at once, one byte of each per step.
+normalised phrases wins.  The transitions of all automata lie in one open hash table, and
+numpy walks all segments of a batch at once, one byte of each per step.
 
 Only letters count: texts are parsed with A-Z lower-cased, runs of other ASCII as one space.
 Documents are parsed in segments of ``SEGMENT`` bytes, all of them; a phrase ends with
-its segment, alike for every language.
+its segment, alike for every language.  A row's result depends on its own text alone.
 
-Bounds (parameters of ``Training``): at most ``docs`` documents a language, lowest hash
-of doc_id and text first, and ``share`` bytes of each, ``total`` bytes a language in all.
-A longer text gives ``PIECES`` pieces at hashed places of the whole; a language whose rows
-all miss the sample gives its lowest row.
+Bounds (parameters of ``Training``): rows of a language are taken in the order of a hash of
+doc_id and text, each of them whole, until they hold ``enough`` bytes or are ``docs`` rows; a
+language whose rows all miss the sample gives its lowest row.
 
 Defined results: text that is null or has no letter gives ``und`` and score 0; so does
 every text when nothing can be learned.  The score is the winner's share of
@@ -32,19 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, ship, slices, utf8
+from .common import append_columns, ship, utf8
 
 ship(__name__)
 
 SEGMENT = 512
-PIECES = 4
 
 
 @dataclass(frozen=True)
 class Training:
     docs: int = 48
-    share: int = 2_000
-    total: int = 24_000
+    enough: int = 24_000
 
 
 def spoken(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,6 +49,8 @@ def spoken(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = SPOKEN[data[at[0] : at[-1]]]
     keep = data != 32
     keep[1:] |= data[:-1] != 32
+    begin = at[:-1][np.diff(at) > 0] - at[0]
+    keep[begin] = True  # a row's first byte stays, whatever row is before it
     return data[keep], np.append(0, np.cumsum(keep))[at - at[0]]
 
 
@@ -89,31 +88,59 @@ def automaton(text: bytes) -> list[dict[int, int]]:
 
 
 class CrossParser:
-    """The automata of several reference texts in one table.
+    """The automata of several reference texts; ``keys`` and ``moves`` are a hash table of their transitions.
 
-    An entry holds four times the place of the next state's row plus the number of
-    phrases that the step ends: none, one, or two where the byte is unknown.
+    A key is a state's number times ``wide`` plus the code of a byte.  States of all
+    references are numbered through; a reference's root comes first.
     """
 
+    SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
     def __init__(self, references: list[bytes]) -> None:
         alphabet = sorted({b for r in references for b in r})
         self.code = np.full(256, len(alphabet), np.int64)
         self.code[alphabet] = np.arange(len(alphabet))
-        wide = len(alphabet) + 1
-        self.roots, rows, base = [], [], 0
+        self.wide = len(alphabet) + 1
+        roots, keys, moves, base = [], [], [], 0
         for reference in references:
-            moves = automaton(reference)
-            grid = np.full((len(moves), wide), -1, np.int64)
-            state = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
-            grid[state, self.code[[c for m in moves for c in m]]] = [t for m in moves for t in m.values()]
-            start = np.where(grid[0] >= 0, grid[0], 0)
-            ended = np.where(grid[0] >= 0, 1, 2)
-            step = np.where(grid >= 0, (base + grid * wide) << 2, ((base + start * wide) << 2) + ended)
-            step[0] = np.where(grid[0] >= 0, step[0], (base << 2) + 1)
-            rows.append(step.reshape(-1))
-            self.roots.append(base)
-            base += grid.size
-        self.table = np.concatenate(rows).astype(np.int32 if 4 * base < 2**31 else np.int64)
+            steps = automaton(reference)
+            state = np.repeat(np.arange(len(steps)), [len(m) for m in steps])
+            keys.append((base + state) * self.wide + self.code[[c for m in steps for c in m]])
+            moves.append(base + np.array([t for m in steps for t in m.values()], np.int64))
+            roots.append(base)
+            base += len(steps)
+        self.roots = np.array(roots, np.int64)
+        self._fill(np.concatenate(keys), np.concatenate(moves))
+        #: where a phrase that begins with a byte leads; -1 if the reference does not have the byte
+        self.first = np.stack([self._next(r * self.wide + np.arange(self.wide)) for r in roots])
+
+    def _fill(self, keys: np.ndarray, moves: np.ndarray) -> None:
+        size = 1 << max(4, int(2.5 * len(keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - size.bit_length() + 1), size - 1
+        self.keys, self.moves = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        spot, left = self._spot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[spot[left]] < 0]
+            self.keys[spot[free]], self.moves[spot[free]] = keys[free], moves[free]
+            left = left[self.keys[spot[left]] != keys[left]]  # of those that meet, one stays
+            spot[left] = (spot[left] + 1) & self.last
+
+    def _spot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * self.SPREAD >> self.shift).astype(np.int64)
+
+    def _next(self, keys: np.ndarray) -> np.ndarray:
+        """The state that each transition leads to, -1 where there is none."""
+        spot = self._spot(keys)
+        found = self.keys[spot]
+        out = np.where(found == keys, self.moves[spot], -1)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        while len(left):
+            spot[left] = (spot[left] + 1) & self.last
+            found = self.keys[spot[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.moves[spot[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
 
     def phrases(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Phrases of each document under each reference."""
@@ -127,19 +154,23 @@ class CrossParser:
         owner, begin, long = owner[order], begin[order], long[order]
         active = np.searchsorted(-long, -np.arange(SEGMENT), "left")  # segments longer than t
         codes = self.code[data] if len(data) else np.zeros(0, np.int64)
-        roots = np.array(self.roots)[:, None]
-        state = np.repeat(roots, len(owner), 1)
-        count = np.zeros(state.shape, np.int64)
-        for t in range(SEGMENT):
-            m = active[t]
-            if not m:
-                break
-            v = self.table.take(state[:, :m] + codes[begin[:m] + t])
-            count[:, :m] += v & 3
-            state[:, :m] = v >> 2
-        count += state != roots
         out = np.zeros((len(size), len(self.roots)))
-        np.add.at(out, owner, count.T)
+        for k, root in enumerate(self.roots.tolist()):
+            state, count = np.full(len(owner), root), np.zeros(len(owner), np.int64)
+            for t in range(SEGMENT):
+                m = active[t]
+                if not m:
+                    break
+                code, now = codes[begin[:m] + t], state[:m]
+                then = self._next(now * self.wide + code)
+                stop = np.flatnonzero(then < 0)
+                if len(stop):
+                    fresh = self.first[k][code[stop]]
+                    # the phrase so far ends, and a byte that the reference does not have is one of its own
+                    count[stop] += (now[stop] != root).astype(np.int64) + (fresh < 0)
+                    then[stop] = np.where(fresh < 0, root, fresh)
+                state[:m] = then
+            out[:, k] = np.bincount(owner, count + (state != root), minlength=len(size))
         return out
 
 
@@ -161,22 +192,21 @@ def learn(docs: DataFrame, usable, how: Training = Training()) -> Languages:
         edge = min(int(min(1.0, 3.0 * how.docs / n) * 2**64) - 2**63, 2**63 - 1)
         return (F.col("lang") == lang) & (place <= edge)
 
-    some = rows.where(reduce(lambda a, b: a | b, (near(k, n) for k, n in sorted(counts.items()))))
-    piece = how.share // PIECES
-    spots = [F.pmod(F.xxhash64("doc_id", "text", F.lit(k)), F.char_length("text") - piece + 1).cast("int") + 1 for k in range(PIECES)]
-    taken = F.when(F.char_length("text") <= how.share, F.col("text")).otherwise(F.concat_ws("\n", *[F.substr("text", at, F.lit(piece)) for at in spots]))
-    fields = [place.alias("at"), "doc_id", F.encode(taken, "utf-8").alias("text")]
-    kept = some.select("lang", *fields).collect()
+    fields = [place.alias("at"), "doc_id", F.encode("text", "utf-8").alias("text")]
+    some = rows.where(reduce(lambda a, b: a | b, (near(k, n) for k, n in sorted(counts.items())))).select("lang", *fields)
+    kept = some.dropDuplicates(["lang", "at"]).collect()
     missed = sorted(counts.keys() - {r["lang"] for r in kept})
     if missed:
         lowest = rows.where(F.col("lang").isin(missed)).select("lang", F.struct(*fields).alias("row"))
         kept += lowest.groupBy("lang").agg(F.min("row").alias("row")).select("lang", "row.*").collect()
     found: dict[str, list[bytes]] = {}
-    for r in sorted(kept, key=lambda r: (r["lang"], r["at"], r["doc_id"] is None, r["doc_id"] or 0, bytes(r["text"]))):
-        found.setdefault(r["lang"], []).append(bytes(r["text"])[: how.share])
+    for r in sorted(kept, key=lambda r: (r["lang"], r["at"])):
+        taken = found.setdefault(r["lang"], [])
+        if len(taken) < how.docs and sum(map(len, taken)) < how.enough:
+            taken.append(bytes(r["text"]))
     names = tuple(k for k in sorted(found) if any(found[k]))
-    joined = [np.frombuffer(b"\n".join(found[k][: how.docs]), np.uint8) for k in names]
-    return Languages(names, tuple(spoken(t, np.array([0, len(t)]))[0].tobytes()[: how.total] for t in joined))
+    joined = [np.frombuffer(b"\n".join(found[k]), np.uint8) for k in names]
+    return Languages(names, tuple(spoken(t, np.array([0, len(t)]))[0].tobytes() for t in joined))
 
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -184,32 +214,21 @@ FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.D
 
 def identify(docs: DataFrame, languages: Languages) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(languages)
+    parser = CrossParser(list(languages.references)) if languages.names else None
+    shared = docs.sparkSession.sparkContext.broadcast((languages.names, parser, np.log2([max(2, len(r)) for r in languages.references])))
 
     def make():
-        known = shared.value
-        parser = CrossParser(list(known.references)) if known.names else None
-        cost = np.log2([max(2, len(r)) for r in known.references]) if known.names else None
+        known, parser, cost = shared.value
 
-        def judge(column: pa.Array) -> tuple[list[str], np.ndarray]:
-            data, at = utf8(column)
+        def compute(column: pa.Array) -> list[pa.Array]:
             written = [any(map(str.isalpha, t or "")) for t in column.to_pylist()]
             if parser is None:
-                return ["und"] * len(written), np.zeros(len(written))
-            bits = parser.phrases(*spoken(data, at)) * cost
+                return [pa.array(["und"] * len(written), pa.string()), pa.array(np.zeros(len(written)), pa.float64())]
+            bits = parser.phrases(*spoken(*utf8(column))) * cost
             best = bits.argmin(1)
             share = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
-            ok = np.array(written, bool)
-            return [known.names[b] if w else "und" for b, w in zip(best.tolist(), written)], np.where(ok, share, 0.0)
-
-        def compute(column: pa.Array) -> list[pa.Array]:
-            _, at = utf8(column)
-            names, scores = [], [np.zeros(0)]
-            for a, b in slices(at, 4 << 20):
-                n, s = judge(column.slice(a, b - a))
-                names += n
-                scores.append(s)
-            return [pa.array(names, pa.string()), pa.array(np.concatenate(scores), pa.float64())]
+            names = [known[b] if w else "und" for b, w in zip(best.tolist(), written)]
+            return [pa.array(names, pa.string()), pa.array(np.where(np.array(written, bool), share, 0.0), pa.float64())]
 
         return compute
 

@@ -6,9 +6,9 @@ overlap by 64 and cover the whole document.  The mean and the maximum over the
 chunks feed one logistic unit.  The filters are learned on single chunks, the last
 unit on whole documents.
 
-Bounds (parameters of ``Training``): at most ``docs`` labelled rows, lowest hash of
-doc_id first, none of more than ``longest`` characters, are used to learn.  Scoring
-reads every byte of every document.
+Bound (a parameter of ``Training``): at most ``docs`` labelled rows, lowest hash of doc_id
+first, are used to learn, each of them whole.  Scoring reads every byte of every document,
+and a document's score depends on its own bytes alone.
 
 Defined results: null or empty text scores as one chunk of zero bytes.  Labels with
 null quality or doc_id are ignored; with fewer than two classes to learn from, every
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, ship, slices, utf8
+from .common import append_columns, ship, utf8
 
 ship(__name__)
 
@@ -36,7 +36,6 @@ STEP, WIDE, BLOCK, REACH, STRIDE = 4, 8, 64, 4, 3  # bytes, bytes, bytes, blocks
 @dataclass(frozen=True)
 class Training:
     docs: int = 1500
-    longest: int = 20_000
     filters: int = 16
     dims: int = 6
     epochs: int = 12
@@ -55,19 +54,29 @@ class Network:
     spread: np.ndarray
     constant: float | None = None
 
-    def blocks(self, padded: np.ndarray) -> np.ndarray:
-        """Max of each filter over each block; ``padded`` is whole blocks plus STEP bytes."""
-        dims = self.embedding.shape[1]
-        half = STEP * dims
-        both = np.concatenate([self.filters[:half], self.filters[half:]], axis=1).astype(np.float32)
-        f, per = self.filters.shape[1], BLOCK // STEP
-        out = np.empty(((len(padded) - STEP) // BLOCK, f), np.float32)
-        piece = 1 << 20
-        for a in range(0, len(padded) - STEP, piece):
-            b = min(a + piece, len(padded) - STEP)
-            steps = self.embedding[padded[a : b + STEP]].reshape(-1, half) @ both
-            z = steps[:-1, :f] + steps[1:, f:]
-            out[a // BLOCK : b // BLOCK] = z.reshape(-1, per, f).max(1)
+    def blocks(self, padded: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Max of each filter over each block; ``padded`` is whole blocks of bytes.
+
+        ``ends`` are the last blocks of the documents: behind them a filter sees zero bytes,
+        whatever document follows.  Sums run in a fixed order, so that a block's values do
+        not depend on how many blocks there are.
+        """
+        f, per, dims = self.filters.shape[1], BLOCK // STEP, self.embedding.shape[1]
+        by_byte = np.einsum("bd,kdf->kbf", self.embedding, self.filters.reshape(WIDE, dims, f)).astype(np.float32)
+        steps, out = padded.reshape(-1, STEP), np.empty((len(padded) // BLOCK, f), np.float32)
+        last, nothing = np.zeros(len(out), bool), by_byte[STEP:, 0].sum(0)
+        last[ends] = True
+        piece = 1 << 12
+        for a in range(0, len(out), piece):
+            b = min(a + piece, len(out))
+            seen, behind = steps[a * per : b * per], steps[a * per + 1 : b * per + 1]
+            z, then = by_byte[0][seen[:, 0]], by_byte[STEP][behind[:, 0]]
+            for k in range(1, STEP):
+                z += by_byte[k][seen[:, k]]
+                then += by_byte[STEP + k][behind[:, k]]
+            then = np.concatenate([then, np.zeros((len(z) - len(then), f), np.float32)])
+            then.reshape(-1, per, f)[last[a:b], -1] = nothing
+            out[a:b] = (z + then).reshape(-1, per, f).max(1)
         return np.maximum(out + self.bias.astype(np.float32), 0)
 
     def features(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -75,10 +84,10 @@ class Network:
         size = np.diff(at)
         n = np.maximum(-(-size // BLOCK), 1)
         first = np.concatenate([[0], np.cumsum(n)])
-        padded = np.zeros(first[-1] * BLOCK + STEP, np.uint8)
+        padded = np.zeros(first[-1] * BLOCK, np.uint8)
         for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
             padded[first[k] * BLOCK : first[k] * BLOCK + b - a] = data[a:b]
-        pooled = self.blocks(padded)
+        pooled = self.blocks(padded, first[1:] - 1)
         top = np.maximum.reduceat(pooled, first[:-1], axis=0)
         chunks = np.maximum(-(-(n - REACH) // STRIDE), 0) + 1
         begin = np.concatenate([[0], np.cumsum(chunks)])
@@ -92,7 +101,7 @@ class Network:
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(at) - 1, self.constant)
-        z = ((self.features(data, at) - self.centre) / self.spread) @ self.weights + self.offset
+        z = ((self.features(data, at) - self.centre) / self.spread * self.weights).sum(1) + self.offset
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))
 
 
@@ -167,7 +176,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable, how: Training = Tr
     share = min(1.0, 2.0 * how.docs / max(1, total))
     edge = min(int(share * 2**64) - 2**63, 2**63 - 1)
     near = known.where(F.col("at") <= edge).orderBy("at", "doc_id", "quality").limit(4 * how.docs)
-    text = docs.select("doc_id", "text").where((F.length("text") <= how.longest) & F.col("doc_id").isNotNull() & (F.xxhash64("doc_id") <= edge))
+    text = docs.select("doc_id", "text").where(F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.xxhash64("doc_id") <= edge))
     rows = text.join(F.broadcast(near), "doc_id").orderBy("at", "doc_id", "quality", "text").limit(how.docs).select("text", "quality").collect()
     return [(r.text.encode(), r.quality) for r in rows]
 
@@ -183,9 +192,7 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
         model = shared.value
 
         def compute(column: pa.Array) -> list[pa.Array]:
-            data, at = utf8(column)
-            parts = [model.scores(data, at[a : b + 1]) for a, b in slices(at, 4 << 20)]
-            return [pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())]
+            return [pa.array(model.scores(*utf8(column)), pa.float64())]
 
         return compute
 

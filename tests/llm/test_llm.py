@@ -362,9 +362,30 @@ def test_quality_reads_the_whole_text():
     assert (x[0] != x[1]).any()
     # a piece at a time or all at once: the same
     big = np.random.default_rng(1).integers(0, 256, 3_000_000, dtype=np.uint8)
-    padded = np.zeros(-(-len(big) // quality.BLOCK) * quality.BLOCK + quality.STEP, np.uint8)
+    padded = np.zeros(-(-len(big) // quality.BLOCK) * quality.BLOCK, np.uint8)
     padded[: len(big)] = big
-    assert np.allclose(net.blocks(padded)[17000], net.blocks(padded[17000 * 64 : 17001 * 64 + 4])[0])
+    whole = net.blocks(padded, np.array([9, 17000, len(padded) // 64 - 1]))
+    assert (whole[16990:17001] == net.blocks(padded[16990 * 64 : 17001 * 64], np.array([10]))).all()
+
+
+def alone_and_together(rng):
+    """Texts that end and begin awkwardly, twice each, and orders of them."""
+    texts = [raw(t) for _, t in awkward()[:40]] + [b" lead", b"trail ", b" ", b"x" * 63, b"x" * 64, b"x" * 65, "é".encode() * 40, b" " * 70 + b"late"]
+    for _ in range(3):
+        texts = texts + [texts[rng.randrange(len(texts))] for _ in range(20)]
+        rng.shuffle(texts)
+        yield texts
+
+
+def test_quality_of_a_row_is_its_own():
+    net = quality.fit([b"good words here " * 40, b"%%% ### $$$ " * 50] * 20, [1, 0] * 20, quality.Training(epochs=3))
+    alone = {}
+    for texts in alone_and_together(random.Random(3)):
+        at = np.append(0, np.cumsum([len(t) for t in texts]))
+        for t, s in zip(texts, net.scores(np.frombuffer(b"".join(texts), np.uint8), at).tolist()):
+            if t not in alone:
+                alone[t] = net.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
+            assert s == alone[t]
 
 
 def test_quality_without_two_classes():
@@ -495,6 +516,17 @@ def test_cross_parsing():
     assert got.tolist() == [[phrases_by_hand(t, r) for r in refs] for t in texts]
 
 
+def test_language_of_a_row_is_its_own():
+    rng = random.Random(10)
+    parser, alone = language.CrossParser([words(rng, 300).encode(), b"ab cd " * 50, "é à ".encode() * 30]), {}
+    for texts in alone_and_together(rng):
+        at = np.append(0, np.cumsum([len(t) for t in texts]))
+        for t, n in zip(texts, parser.phrases(*language.spoken(np.frombuffer(b"".join(texts), np.uint8), at)).tolist()):
+            if t not in alone:
+                alone[t] = parser.phrases(*language.spoken(np.frombuffer(t, np.uint8), np.array([0, len(t)])))[0].tolist()
+            assert n == alone[t]
+
+
 def test_language(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")
     known = language.learn(docs, fold(F.col("doc_id"), 4) != 2)
