@@ -61,9 +61,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit), with whether they decode to its text."""
     import public_tokenizers
 
-    coded = bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    coded = bpe.encode_verified(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")
 
 
 STAGES = [
