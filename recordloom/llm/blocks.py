@@ -8,16 +8,28 @@ first wherever the callers can, so a frequent key is not a large block.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import ship
 
 ship(__name__)
 
 
-def block_count(spark: SparkSession) -> int:
-    """A few blocks for each shuffle partition, whose number follows the input."""
-    return 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Text that a block of keys stands for.  What a task sends to blocks is less than its text.
+BLOCK_BYTES = 8 << 20
+#: Blocks of small inputs, so that several tasks have work.
+FEWEST = 8
+
+
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts."""
+    return int(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("n")).first().n)
+
+
+def block_count(size: int) -> int:
+    """Blocks for the keys of ``size`` bytes of text: their number follows the input, their size does not."""
+    return max(FEWEST, -(-size // BLOCK_BYTES))
 
 
 def deal(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import sys
 import uuid
@@ -97,6 +99,19 @@ def texts(array: pa.Array) -> list[bytes]:
     return [bytes(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which a worker gives back the memory of its task: the process outlives the task."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def append_columns(
     df: DataFrame,
     make: Callable[[], Callable[[pa.Array], list]],
@@ -123,7 +138,7 @@ def append_columns(
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(spot))], names=[*kept, *(f.name for f in fields)])
 
     frame = df.select(*kept)
-    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *fields]))
+    return frame.mapInArrow(tidy(run), T.StructType([*frame.schema.fields, *fields]))
 
 
 def slices(at: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -150,7 +165,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """64-bit hashes of words, remembered; forgets everything when it grows too large."""
 
-    def __init__(self, most: int = 400_000) -> None:
+    def __init__(self, most: int = 200_000) -> None:
         super().__init__()
         self.most = most
 

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import block_count, deal
-from .common import WordHash, materialize, mix, ship, slices, texts, utf8
+from .blocks import block_count, deal, text_bytes
+from .common import WordHash, materialize, mix, ship, slices, texts, tidy, utf8
 
 ship(__name__)
 
@@ -106,7 +106,7 @@ def signatures(docs: DataFrame, link: Link) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), pa.array([key_of(x) for x in names], pa.int64())], names=["doc_id", "n", "cls", "key"])
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType()), T.StructField("key", T.LongType())]))
+    return rows.mapInArrow(tidy(run), T.StructType([rows.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("cls", T.BinaryType()), T.StructField("key", T.LongType())]))
 
 
 def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
@@ -115,7 +115,7 @@ def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
     A token that several classes of one batch show is known to be shared there and is sent
     once, without them; a token is thus sent at most once a batch, however frequent it is.
     """
-    blocks = block_count(docs.sparkSession)
+    blocks = block_count(text_bytes(docs))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -170,7 +170,7 @@ def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
         keys, n = np.unique(cls[chosen], return_counts=True)
         return pa.table({"key": keys.view(np.int64), "shared": n.astype(np.int64)})
 
-    sent = docs.select("text").mapInArrow(send, "block int, a binary, b binary")
+    sent = docs.select("text").mapInArrow(tidy(send), "block int, a binary, b binary")
     return sent.groupBy("block").applyInArrow(meet, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
 
 
@@ -208,7 +208,7 @@ def _sets(rows: DataFrame, link: Link) -> DataFrame:
                 ends = np.cumsum([0, *(len(s) for _, s in kept)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["id", "tokens"])
 
-    return rows.select("key", "text").mapInArrow(run, "id long, tokens array<long>")
+    return rows.select("key", "text").mapInArrow(tidy(run), "id long, tokens array<long>")
 
 
 def _ordered(sets: DataFrame, link: Link) -> DataFrame:

@@ -7,7 +7,8 @@ D / (T + D) (T: occurrences, D: different bytes), and the next shorter context l
 the bytes that the longer one offered (symbol exclusion).  What no context offers is
 uniform over the bytes left.  Texts do not change the trie (pretrained).
 
-No gram is left out and no table of them is held in one place.  Groups of documents ask for
+No gram is left out and no table of them is held in one place.  Groups of documents, dealt by
+a hash of doc_id and text, of about ``BLOCK_BYTES`` of text each, ask for
 the probability of each distinct run of ORDER + 1 bytes in them; what they ask with, and how
 often the run stands in training texts, is counted in hash blocks.  The distinct runs are then
 dealt by the two bytes before the last one, which all contexts of two bytes and more share,
@@ -33,14 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import block_count, deal
+from .blocks import block_count, deal, text_bytes
 from .common import WordHash, discard, materialize, release, ship, slices, texts, utf8
 
 ship(__name__)
 
 ORDER = 4
 END = b" "  # no word is a space
-GROUP_DOCS = 4000
 
 
 def codes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -115,54 +115,6 @@ def _find(table: np.ndarray, what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == what
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``code`` and ``n`` of all runs of ORDER + 1 bytes of the texts."""
-    blocks = block_count(docs.sparkSession)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, at = utf8(batch.column(0))
-            for a, b in slices(at, 16 << 20):
-                code, n = np.unique(codes(data, at[a : b + 1]), return_counts=True)
-                if not len(code):
-                    continue
-                order, runs = deal(code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20), blocks)
-                code, n = code[order], n[order].astype("<u4")
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in runs], pa.int32()), pa.array([code[x:y].tobytes() for _, x, y in runs]), pa.array([n[x:y].tobytes() for _, x, y in runs])], names=["block", "a", "b"])
-
-    def meet(key: tuple, group: pa.Table) -> pa.Table:
-        code = np.frombuffer(b"".join(group["a"].to_pylist()), np.uint64)
-        n = np.frombuffer(b"".join(group["b"].to_pylist()), "<u4").astype(np.int64)
-        names, spot = np.unique(code, return_inverse=True)
-        total = np.zeros(len(names), np.int64)
-        np.add.at(total, spot, n)
-        return pa.table({"code": names.view(np.int64), "n": total})
-
-    return docs.select("text").mapInArrow(send, "block int, a binary, b binary").groupBy("block").applyInArrow(meet, "code long, n long")
-
-
-def build_trie(training: DataFrame, most: int) -> Trie:
-    """A trie in one place, cut to its ``most`` frequent grams an order; scoring does not use it."""
-    counted = materialize(count_grams(training))
-    grams, counts, least = [], [], 1
-    for k in range(ORDER + 1):
-        level = counted.groupBy(F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")).agg(F.sum("n").alias("n"))
-        level = level if k < ORDER else counted
-        sizes = level.groupBy(F.least("n", F.lit(100_000)).alias("n")).count().orderBy(F.desc("n")).collect()
-        held, edge = 0, 100_001
-        for row in sizes:
-            if held + row["count"] > most:
-                break
-            held, edge = held + row["count"], row["n"]
-        least = max(least, edge if len(sizes) and edge > sizes[-1]["n"] else 1)
-        kept = level.where(F.col("n") >= least).toArrow()
-        code, n = kept["code"].to_numpy().view(np.uint64), kept["n"].to_numpy()
-        order = np.argsort(code)
-        grams.append(code[order])
-        counts.append(n[order].astype(np.int64))
-    return Trie(grams, counts)
-
-
 def _key(code: np.ndarray) -> np.ndarray:
     return code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)
 
@@ -222,7 +174,7 @@ def gram_log10(asked: DataFrame, blocks: int) -> DataFrame:
         block = (_key(code) % np.uint64(blocks)).astype(np.int32)
         return pa.table({"block": block, "code": code.view(np.int64), "log10": Trie(grams, counts).log10(code)})
 
-    dealt = counted.withColumn("deal", F.pmod(F.xxhash64(F.col("code").bitwiseAND(0xFFFF00)), F.lit(blocks)))
+    dealt = counted.withColumn("deal", F.pmod(F.xxhash64(F.col("code").bitwiseAND(0xFFFF00)), F.lit(4 * blocks)))
     return dealt.groupBy("deal").applyInArrow(judge, "block int, code long, log10 double")
 
 
@@ -230,10 +182,9 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row; ``training`` is a condition on doc_id."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a row goes from each group to each block and back
-    blocks, groups = 2 * partitions, max(rows.count() // GROUP_DOCS, 2 * partitions)
-    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int"))
+    # a row goes from each group to each block whose keys it has, and back; both are of a fixed size of text
+    groups = blocks = block_count(text_bytes(docs))
+    rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:
         words = WordHash()

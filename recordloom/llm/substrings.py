@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import block_count, deal
-from .common import WordHash, materialize, mix, release, ship, slices, texts, utf8
+from .blocks import block_count, deal, text_bytes
+from .common import WordHash, materialize, mix, release, ship, slices, texts, tidy, utf8
 from .ngram_join import likely
 
 ship(__name__)
@@ -118,9 +118,8 @@ def _by_document(met: DataFrame) -> DataFrame:
     return met.groupBy("chunk").applyInArrow(resolve, "at long, tag long, places binary").groupBy("at", "tag").agg(F.collect_set("places").alias("places"))
 
 
-def anchors(docs: DataFrame) -> DataFrame:
+def anchors(docs: DataFrame, blocks: int) -> DataFrame:
     """Texts (``at``, ``tag``) with the places of their words where an anchor begins."""
-    blocks = block_count(docs.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows, h, begin in _chunks(batches, 1):
@@ -161,15 +160,14 @@ def anchors(docs: DataFrame) -> DataFrame:
         found = [(c, _places(_read_places(w)[h])) for c, w, h in zip(chunks, where, np.split(hit, ends[1:-1])) if h.any()]
         return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "kind": pa.array([1] * len(found), pa.int32()), "a": pa.array([p for _, p in found], pa.binary()), "b": pa.nulls(len(found), pa.binary())})
 
-    return _by_document(_rows(docs).select("at", "text", "tag").mapInArrow(send, SENT).groupBy("block").applyInArrow(meet, MET))
+    return _by_document(_rows(docs).select("at", "text", "tag").mapInArrow(tidy(send), SENT).groupBy("block").applyInArrow(meet, MET))
 
 
-def repeats(rows: DataFrame, width: int) -> DataFrame:
+def repeats(rows: DataFrame, width: int, blocks: int) -> DataFrame:
     """Texts (``at``, ``tag``) with the starts of their windows that stand earlier elsewhere.
 
     ``rows`` has ``at``, ``text``, ``tag`` and ``places``, the anchors of that text.
     """
-    blocks = block_count(rows.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, part, h, begin in _chunks(batches, 1):
@@ -225,7 +223,7 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
         found = [(c, _places(_read_places(w)[x])) for c, w, x in zip(chunks, where, np.split(later, ends[1:-1])) if x.any()]
         return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "kind": pa.array([1] * len(found), pa.int32()), "a": pa.array([p for _, p in found], pa.binary()), "b": pa.nulls(len(found), pa.binary())})
 
-    return _by_document(rows.mapInArrow(send, SENT).groupBy("block").applyInArrow(meet, MET))
+    return _by_document(rows.mapInArrow(tidy(send), SENT).groupBy("block").applyInArrow(meet, MET))
 
 
 RECORD = np.dtype([("key", "<u8"), ("other", "<u4"), ("start", "<u4"), ("doc", "<i8")])
@@ -250,10 +248,13 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     """doc_id, n_words, n_removed and the kept words joined by spaces (``kept``), or with ``digest`` their sha256 (``kept_sha256``)."""
     if 2 * BLOCK - 1 > width:
         raise ValueError(f"windows of {width} words may hold no block of {BLOCK}")
-    found = materialize(anchors(docs))
+    blocks = block_count(text_bytes(docs))
+    found = materialize(anchors(docs, blocks))
     release(docs.sparkSession)
     near = likely(_rows(docs).select("at", "text", "tag"), found.select("tag"), "tag").join(found, ["at", "tag"])
-    later = materialize(repeats(near.select("at", "text", "tag", "places"), width))
+    # chunks count rows: in this order a task that is run again after a lost executor makes the same ones
+    near = near.select("at", "text", "tag", "places").sortWithinPartitions("at", "tag")
+    later = materialize(repeats(near, width, blocks))
     release(docs.sparkSession)
     name = "kept_sha256" if digest else "kept"
     full = _rows(docs).join(later, ["at", "tag"], "left").select("doc_id", "text", "places")
@@ -265,4 +266,4 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _, _ in done], pa.int64()), pa.array([r for _, r, _ in done], pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", name])
 
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField(name, T.StringType())]
-    return full.mapInArrow(run, T.StructType([docs.schema["doc_id"], *fields]))
+    return full.mapInArrow(tidy(run), T.StructType([docs.schema["doc_id"], *fields]))

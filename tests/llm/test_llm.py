@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm import bpe, decontaminate, language, ngram_join, pii, ppm, quality, substrings, syncmers, urlfilter
+from recordloom.llm import blocks, bpe, decontaminate, language, ngram_join, pii, ppm, quality, substrings, syncmers, urlfilter
 from recordloom.llm.common import fold
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
@@ -458,11 +458,13 @@ def test_ppm_sums_to_one():
         assert (10 ** trie.log10(head + np.arange(256, dtype=np.uint64))).sum() == pytest.approx(1)
 
 
-def test_ppm_bounded_trie(spark):
-    trie = ppm.build_trie(frame(spark, awkward()), most=300)
-    assert all(len(g) <= 300 for g in trie.grams) and len(trie.grams[-1])
-    for k in range(1, len(trie.grams)):
-        assert np.isin(trie.grams[k] & np.uint64((1 << 8 * k) - 1), trie.grams[k - 1]).all()
+def test_ppm_groups_follow_the_text(spark, monkeypatch):
+    """Many groups and blocks, however few partitions: the same scores; rows without ids are dealt apart."""
+    rows = [(None if k % 3 else i, t) for k, (i, t) in enumerate(awkward())]
+    told = lambda: sorted((str(r.doc_id), r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in ppm.score_documents(frame(spark, rows), F.coalesce("doc_id", F.lit(0)) % 5 != 0).collect())
+    few = told()
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 900)
+    assert blocks.block_count(30_000) == 34 and told() == few
 
 
 def test_ppm_keeps_every_gram(spark):
