@@ -2,34 +2,65 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Longest common subsequence, one machine-word-parallel step a character of ``b``."""
-    marks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        marks[c] = marks.get(c, 0) | 1 << i
-    every = (1 << len(a)) - 1
-    row = every
-    for c in b:
-        hit = row & marks.get(c, 0)
-        row = ((row + hit) | (row - hit)) & every
-    return len(a) - row.bit_count()
+#: Cells of a table of partial results that are held at once.
+CELLS = 1 << 21
+
+
+def _codes(texts: list[str], blank: int) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of texts, one row each, filled up with ``blank``; and the lengths."""
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    out = np.full((len(texts), int(size.max(initial=0))), blank, np.int32)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.int32)
+    return out, size
+
+
+def common_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs of texts, all pairs of a block in step.
+
+    A row of the usual table grows along it, so a running maximum gives the next one whole.
+    """
+    out = np.zeros(len(a), np.int64)
+    long = np.fromiter(map(len, a), np.int64, len(a))
+    order, at = np.argsort(long, kind="stable"), 0
+    while at < len(order):
+        # texts of about one length together, so that little is filled up
+        block = order[at : at + max(1, CELLS // max(1, int(long[order[-1]])))]
+        block = block[long[block] <= 2 * long[block[0]] + 8]
+        at += len(block)
+        left, size = _codes([a[k] for k in block], -1)
+        right, _ = _codes([b[k] for k in block], -2)
+        row = np.zeros((len(block), left.shape[1] + 1), np.int32)
+        for j in range(right.shape[1]):
+            met = row[:, :-1] + (left == right[:, j, None])
+            np.maximum(row[:, 1:], met, out=row[:, 1:])
+            np.maximum.accumulate(row, axis=1, out=row)
+        out[block] = row[:, -1]
+    return out
+
+
+def indel_similarities(a: list[str], b: list[str]) -> np.ndarray:
+    both = np.fromiter(map(len, a), np.int64, len(a)) + np.fromiter(map(len, b), np.int64, len(b))
+    return np.where(both > 0, (1 - (both - 2 * common_lengths(a, b)) / np.maximum(both, 1)) * 100, 100.0)
 
 
 def indel_similarity(a: str, b: str) -> float:
-    both = len(a) + len(b)
-    return (1 - (both - 2 * lcs_length(a, b)) / both) * 100 if both else 100.0
+    return float(indel_similarities([a], [b])[0])
 
 
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Arrow-batched score of two columns; null if either is null."""
-    return pd.Series([None if x is None or y is None else indel_similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    out[known] = indel_similarities(a[known].tolist(), b[known].tolist())
+    return pd.Series(out).where(known, None).astype("Float64")
 
 
 def similarity_native(a: Column, b: Column) -> Column:

@@ -5,7 +5,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from recordloom.functions.similarity import indel_similarity, lcs_length, similarity, similarity_native
+from recordloom.functions import similarity as sim
+from recordloom.functions.similarity import common_lengths, indel_similarity, similarity, similarity_native
 from recordloom.operators import match, project
 from recordloom.queries import left_registry, right_registry
 
@@ -23,7 +24,18 @@ def lcs_table(a: str, b: str) -> int:
 @settings(max_examples=300, deadline=None)
 @given(st.text("abcé", max_size=12), st.text("abcé", max_size=12))
 def test_lcs_equals_table(a, b):
-    assert lcs_length(a, b) == lcs_table(a, b)
+    assert common_lengths([a, b], [b, "a"])[0] == lcs_table(a, b)
+
+
+def test_lcs_of_blocks_of_pairs(monkeypatch):
+    """Texts of very unlike lengths, in blocks of a few pairs each."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcdé😀", k=rng.choice([0, 1, 3, 30, 90]))) for _ in range(160)]
+    a, b = texts[:80], texts[80:]
+    want = [lcs_table(x, y) for x, y in zip(a, b)]
+    assert common_lengths(a, b).tolist() == want
+    monkeypatch.setattr(sim, "CELLS", 200)
+    assert common_lengths(a, b).tolist() == want
 
 
 def test_score_of_known_pairs():
@@ -56,6 +68,14 @@ def test_blocking_loses_no_pair(spark, cutoff):
     assert want and want <= got
 
 
+def test_blocking_keeps_few_pairs(spark, sf_dir):
+    """Names of a small vocabulary share frequent pieces; hardly any such pair becomes a row."""
+    key = "key_full"
+    left = match.with_keys(left_registry(spark, sf_dir), "std_name_en", "cas_no").select(F.col(key).alias("a")).distinct()
+    right = match.with_keys(right_registry(spark, sf_dir), "inci_name", "cas_no").select(F.col(key).alias("b")).distinct()
+    assert 100 * match.candidate_pairs(left, right, 90).count() <= 2 * left.count() * right.count()
+
+
 def test_fuzzy_ties_go_to_the_first_candidate(spark):
     left = spark.createDataFrame([("abcdefghijklmnopqrst",)], "key string")
     right = spark.createDataFrame([("abcdefghijklmnopqrsx", 9), ("abcdefghijklmnopqrsy", 3)], "key string, _ord long")
