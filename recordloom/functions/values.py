@@ -36,3 +36,17 @@ def count_items(raw: Column, scalar_length: bool = False) -> Column:
     """Number of items, 0 for none.  ``scalar_length`` counts a scalar's characters instead of 1."""
     one = F.char_length(raw) if scalar_length else F.lit(1)
     return F.when(raw.isNull(), 0).when(raw.startswith("["), F.size(F.from_json(raw, "array<string>"))).otherwise(one)
+
+
+#: Ways to write "yes".
+YES = ("1", "true", "yes", "y", "on")
+
+
+def flag(text: Column, default: bool = False) -> Column:
+    """A written option as true or false; ``default`` where it is missing."""
+    return F.coalesce(F.lower(strip(text)).isin(*YES), F.lit(default))
+
+
+def run_date(given: str | None = None) -> Column:
+    """The date of a run as text: the one given, else today."""
+    return F.lit(given) if given else F.date_format(F.current_date(), "yyyy-MM-dd")

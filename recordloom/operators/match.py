@@ -172,7 +172,7 @@ def best_fuzzy(left_keys: DataFrame, right: DataFrame, cutoff: int) -> DataFrame
     pairs = candidate_pairs(left_keys.select(F.col("key").alias("a")), b.select("b"), cutoff)
     # not taken for deterministic, or it would move below the distinct and score pairs several times
     scored = pairs.withColumn("score", similarity.asNondeterministic()("a", "b")).where(F.col("score") >= cutoff).join(b, "b")
-    best = scored.groupBy("a").agg(F.max_by(F.struct("b", "score", "_ord"), F.struct("score", -F.col("_ord"))).alias("m"))
+    best = scored.groupBy("a").agg(F.min_by(F.struct("b", "score", "_ord"), F.struct(-F.col("score"), F.col("_ord"))).alias("m"))
     return best.select(F.col("a").alias("key"), F.col("m.b").alias("candidate"), F.col("m.score").alias("score"), F.col("m._ord").alias("_right_ord"))
 
 

@@ -17,12 +17,17 @@ LIMIT = 9500
 DEPTH = 6
 
 
-def prefix_counts(rows: DataFrame, row_id: str, tokens: str, longest: int = DEPTH + 1, seeds: str = ALPHABET, following: str = ALPHABET) -> DataFrame:
-    """``prefix`` and ``n``: distinct rows with some token that begins with it."""
-    token = rows.select(row_id, F.explode(tokens).alias("token"))
-    cut = token.select(row_id, F.explode(F.transform(F.sequence(F.lit(1), F.least(F.char_length("token"), F.lit(longest))), lambda k: F.substring(F.col("token"), F.lit(1), k))).alias("prefix"))
-    plain = cut.where((F.col("prefix") != "") & F.col("prefix").rlike(f"^[{seeds}][{following}]*$"))
-    return plain.distinct().groupBy("prefix").agg(F.count("*").alias("n"))
+def prefix_counts(rows: DataFrame, row_id: str, tokens: str, longest: int = DEPTH + 1, seeds: str = ALPHABET, following: str = ALPHABET, unique: bool = False) -> DataFrame:
+    """``prefix`` and ``n``: distinct rows with some token that begins with it.
+
+    A row's prefixes are made distinct inside the row.  With ``unique`` ids that is all: one
+    aggregation, which counts before it shuffles.
+    """
+    plain = F.filter(tokens, lambda t: t.rlike(f"^[{seeds}]"))
+    head = F.transform(plain, lambda t: F.regexp_extract(t, f"^[{seeds}][{following}]{{0,{longest - 1}}}", 0))
+    cut = F.flatten(F.transform(F.array_distinct(head), lambda t: F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda k: F.substring(t, F.lit(1), k))))
+    each = rows.select(row_id, F.explode(F.array_distinct(cut)).alias("prefix"))
+    return (each if unique else each.distinct()).groupBy("prefix").agg(F.count("*").alias("n"))
 
 
 def split_plan(counts: DataFrame, limit: int = LIMIT, depth: int = DEPTH, seeds: str = ALPHABET, max_seeds: int | None = None) -> DataFrame:

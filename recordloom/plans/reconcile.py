@@ -22,8 +22,21 @@ class Reconciliation:
     graph: DataFrame
     summary: DataFrame
 
+    #: What all five filter, kept in memory and on disk until ``close``.
+    routed: DataFrame
+
     def items(self):
-        return self.__dict__.items()
+        return ((k, v) for k, v in self.__dict__.items() if k != "routed")
+
+    def close(self) -> None:
+        """Release the routed frame; the tables can still be read, at the cost of matching again."""
+        self.routed.unpersist()
+
+    def __enter__(self) -> Reconciliation:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True) -> DataFrame:
@@ -54,7 +67,7 @@ def reconcile(left: DataFrame, right: DataFrame, limits: match.Thresholds = matc
     matched = project.matched(rows, keep_lineage=keep_lineage)
     return Reconciliation(
         matched, project.review(rows, keep_lineage=keep_lineage), project.unmatched(rows, keep_lineage=keep_lineage), project.graph_map(matched),
-        project.summary(rows, right, auto=limits.auto, least=limits.review, inputs=inputs),
+        project.summary(rows, right, auto=limits.auto, least=limits.review, inputs=inputs), rows,
     )
 
 
@@ -62,9 +75,9 @@ def run_and_save(spark: SparkSession, left_path: str, right_path: str, out: str,
     """Read two CSV registries, reconcile them and write the five tables; name to path."""
     left = tables.with_order(tables.load_left(tables.read_csv(spark, left_path)))
     right = tables.with_order(tables.load_right(tables.read_csv(spark, right_path)))
-    result = reconcile(left, right, limits, inputs={"left_input_path": left_path, "right_input_path": right_path})
     paths = {}
-    for name, rows in result.items():
-        paths[name] = f"{out}/{name}"
-        tables.write_csv(rows, paths[name], render=name != "summary")
+    with reconcile(left, right, limits, inputs={"left_input_path": left_path, "right_input_path": right_path}) as result:
+        for name, rows in result.items():
+            paths[name] = f"{out}/{name}"
+            tables.write_csv(rows, paths[name], render=name != "summary")
     return paths

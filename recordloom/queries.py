@@ -6,6 +6,7 @@ same parts in ten ways, each meant for another stage of the match.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,13 @@ from pyspark.sql import functions as F
 
 from .functions import text as tx
 from .functions.similarity import similarity
-from .functions.values import count_items, first_or_none, join_list
+from .functions.values import count_items, first_or_none, flag, join_list, run_date
 from .operators import match, project
 from .operators.dedupe import first_by_key
 from .operators.validate import count_verdict
-from .plans import prefixes
+from .plans import crawl, prefixes
 from .plans.reconcile import Reconciliation, reconcile
-from .sources import html, payload, tables
+from .sources import fetch, html, payload, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -226,11 +227,12 @@ for _key in match.KEYS:
     _key_query(_key)
 
 
-@query(f"WITH t AS (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents), b AS (SELECT doc_id, {sql_basic('line')} AS key_basic FROM t) SELECT doc_id, key_basic, {sql_full('key_basic')} AS key_full, {sql_paren('key_basic')} AS key_paren_removed FROM b")
-def keys_of_first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of free text: the first line of each document."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", tx.basic(F.split("text", "\n")[0]).alias("key_basic"))
-    return rows.select("doc_id", "key_basic", tx.full(F.col("key_basic")).alias("key_full"), tx.paren_removed(F.col("key_basic")).alias("key_paren_removed"))
+@query(f"WITH t AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nth FROM documents), b AS (SELECT doc_id, nth, {sql_basic('line')} AS key_basic FROM t) SELECT doc_id, nth, key_basic, {sql_full('key_basic')} AS key_full, {sql_paren('key_basic')} AS key_paren_removed FROM b")
+def keys_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of free text: every line of each document."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("nth", "line"))
+    rows = lines.select("doc_id", F.col("nth").cast("bigint").alias("nth"), tx.basic(F.col("line")).alias("key_basic"))
+    return rows.select("doc_id", "nth", "key_basic", tx.full(F.col("key_basic")).alias("key_full"), tx.paren_removed(F.col("key_basic")).alias("key_paren_removed"))
 
 
 @query("SELECT p_partkey, CASE WHEN upper(p_type) = 'STANDARD' THEN 'plain' WHEN upper(p_type) = 'PROMO' THEN 'offer' ELSE trim(p_type) END AS kind FROM part")
@@ -327,15 +329,27 @@ def mapping_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).summary
 
 
-@query(f"{FUZZY} SELECT ingredient_code, std_name_ko, std_name_en, old_name_ko, cast(null as varchar) AS left_cas_no, as_of_date FROM routed WHERE route = 'unmatched'")
+def _rendered_sql(column: str) -> str:
+    return f"CASE WHEN lower(trim({column}::VARCHAR)) NOT IN ({', '.join(repr(t) for t in tx.NULL_LIKE)}) THEN trim({column}::VARCHAR) END"
+
+
+@query(f"SELECT {_rendered_sql('event_id')} AS event_id, {_rendered_sql('t')} AS value FROM (SELECT event_id, {TOKENS} AS t FROM events)")
 def null_like_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return project.rendered(silver(spark, sf_dir).unmatched)
+    return project.rendered(table(spark, sf_dir, "events").select("event_id", F.expr(TOKENS).alias("value")))
 
 
-@query("SELECT p_partkey, (1 - levenshtein(p_brand, concat(p_brand, p_size)) / (2 * length(p_brand) + length(p_size::VARCHAR))::DOUBLE) * 100 AS score FROM part")
+@query("""WITH RECURSIVE pairs AS MATERIALIZED (SELECT DISTINCT p_name AS a, concat(p_type, ' ', p_brand) AS b FROM part),
+steps(a, b, i, line) AS (
+  SELECT a, b, 0, list_transform(range(length(b) + 1), lambda x: 0) FROM pairs
+  UNION ALL
+  SELECT a, b, i + 1, list_reduce(list_transform(range(length(b) + 1), lambda j: [j]), lambda acc, x:
+    CASE WHEN x[1] = 1 THEN [0, CASE WHEN b[1] = a[i + 1] THEN line[1] + 1 ELSE greatest(line[2], 0) END]
+    ELSE list_append(acc, CASE WHEN b[x[1]::INT] = a[i + 1] THEN line[x[1]::INT] + 1 ELSE greatest(line[x[1]::INT + 1], acc[-1]) END) END)
+  FROM steps WHERE i < length(a))
+SELECT a, b, (1 - (length(a) + length(b) - 2 * line[-1]) / (length(a) + length(b))::DOUBLE) * 100 AS score FROM steps WHERE i = length(a)""")
 def similarity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of pairs that differ by additions alone, where both edit distances agree."""
-    return table(spark, sf_dir, "part").select("p_partkey", similarity(F.col("p_brand"), F.concat("p_brand", F.col("p_size").cast("string"))).alias("score"))
+    pairs = table(spark, sf_dir, "part").select(F.col("p_name").alias("a"), F.concat_ws(" ", "p_type", "p_brand").alias("b")).distinct()
+    return pairs.select("a", "b", similarity("a", "b").alias("score"))
 
 
 # Planning ---------------------------------------------------------------------------------------
@@ -343,10 +357,10 @@ def similarity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.lower("text"), r"[^a-z0-9]+")).alias("tokens"))
-    return prefixes.prefix_counts(rows, "doc_id", "tokens", 4)
+    return prefixes.prefix_counts(rows, "doc_id", "tokens", unique=True)
 
 
-PREFIX_COUNTS = "SELECT prefix, count(DISTINCT doc_id) AS n FROM (SELECT doc_id, w[1:k] AS prefix FROM (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS w FROM documents), (SELECT unnest(range(1, 5)) AS k) WHERE k <= length(w) AND w <> '') GROUP BY 1"
+PREFIX_COUNTS = "SELECT prefix, count(DISTINCT doc_id) AS n FROM (SELECT doc_id, w[1:k] AS prefix FROM (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS w FROM documents), (SELECT unnest(range(1, 8)) AS k) WHERE k <= length(w) AND w <> '') GROUP BY 1"
 
 
 @query(PREFIX_COUNTS)
@@ -355,13 +369,13 @@ def prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PLAN = f"""WITH c AS MATERIALIZED ({PREFIX_COUNTS}), p AS (SELECT c.prefix, c.n, (SELECT count(*) FROM documents) // 10 AS cap, length(c.prefix) AS k, up.n AS above FROM c LEFT JOIN c up ON up.prefix = c.prefix[1:length(c.prefix) - 1] AND length(c.prefix) > 1)
-SELECT prefix, n, CASE WHEN n <= cap THEN 'final' ELSE 'oversized' END AS status FROM p WHERE (k = 1 OR above > cap) AND (n <= cap OR k = 4)"""
+SELECT prefix, n, CASE WHEN n <= cap THEN 'final' ELSE 'oversized' END AS status FROM p WHERE (k = 1 OR above > cap) AND (n <= cap OR k = 7)"""
 
 
 @query(PLAN)
 def prefix_split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit = table(spark, sf_dir, "documents").count() // 10
-    return prefixes.split_plan(document_prefixes(spark, sf_dir), limit, 3)
+    return prefixes.split_plan(document_prefixes(spark, sf_dir), limit)
 
 
 @query(f"SELECT prefix, n FROM ({PLAN}) WHERE status = 'final' ORDER BY prefix LIMIT 20")
@@ -376,6 +390,100 @@ def page_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.pages(totals.withColumn("pages", prefixes.page_count(F.col("total"), F.lit(0)).cast("bigint")), "pages")
 
 
+def part_plan(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("tokens"))
+    counts = prefixes.prefix_counts(rows, "p_partkey", "tokens", unique=True)
+    return rows, prefixes.split_plan(counts, table(spark, sf_dir, "part").count() // 8)
+
+
+PART_PLAN = """c AS MATERIALIZED (SELECT prefix, count(DISTINCT p_partkey) AS n FROM (SELECT p_partkey, w[1:k] AS prefix FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part), (SELECT unnest(range(1, 8)) AS k) WHERE k <= length(w)) GROUP BY 1),
+f AS MATERIALIZED (SELECT c.prefix FROM c LEFT JOIN c up ON up.prefix = c.prefix[1:length(c.prefix) - 1] AND length(c.prefix) > 1, (SELECT count(*) // 8 AS cap FROM part) WHERE c.n <= cap AND (length(c.prefix) = 1 OR up.n > cap)),
+g AS MATERIALIZED (SELECT p_partkey, concat(prefix, '*') AS query_text, row_number() OVER (PARTITION BY prefix ORDER BY p_partkey) - 1 AS nth FROM (SELECT DISTINCT p_partkey, prefix FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part) JOIN f ON starts_with(w, f.prefix)))"""
+
+
+@query(f"WITH {PART_PLAN} SELECT p_partkey, query_text, nth::INT AS nth, (nth // 100 + 1)::BIGINT AS page FROM g")
+def collection_by_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, plan = part_plan(spark, sf_dir)
+    return crawl.collect_by_plan(rows, "p_partkey", "tokens", plan, prefixes.DEPTH + 1).drop("tokens")
+
+
+@query(f"WITH {PART_PLAN} SELECT (SELECT count(*) FROM f) AS final_query_count, 0::BIGINT AS oversized_query_count, count(DISTINCT (query_text, nth // 100)) AS raw_page_count, count(*) AS raw_result_count FROM g")
+def collection_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, plan = part_plan(spark, sf_dir)
+    return crawl.collection_stats(crawl.collect_by_plan(rows, "p_partkey", "tokens", plan, prefixes.DEPTH + 1), plan)
+
+
+@query("SELECT p_partkey // 10 AS page_id, count(*) * 3 AS total, count(*) AS per_page, 3::BIGINT AS pages, unnest([2, 3])::BIGINT AS page FROM part GROUP BY 1")
+def further_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What first pages promise that state three times as many rows as they show."""
+    first = part_pages(spark, sf_dir)
+    shown = F.size(F.regexp_extract_all("html", F.lit("<tr><td> [0-9]"), F.lit(0)))
+    return crawl.further_pages(first.withColumn("html", F.concat("html", F.lit("<p>총 "), (3 * shown).cast("string"), F.lit(" 건</p>"))))
+
+
+@query("SELECT page_id, 'ALL' AS skind, '' AS sword, '' AS sword2, page_id::VARCHAR AS page FROM pages")
+def request_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "pages").select("page_id", fetch.page_params(F.col("page_id")).alias("p"))
+    return asked.select("page_id", *[F.col("p")[k].alias(k) for k in ("skind", "sword", "sword2", "page")])
+
+
+# Files ------------------------------------------------------------------------------------------
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the warehouse, which the driver and all executors share."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/recordloom-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT _ord AS at, ingredient_code, std_name_ko, std_name_en, nullif(cas_no, '-') AS cas_no, source, batch_id FROM ({LEFT_SQL})")
+def csv_sink_and_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The left registry written as CSV with a byte-order mark, read again as text, and loaded."""
+    path = scratch(spark)
+    rows = left_registry(spark, sf_dir).withColumnRenamed("_ord", "at")
+    tables.write_csv(rows.select("ingredient_code", "at", *[c for c in rows.columns if c not in ("ingredient_code", "at")]), path, mark=True)
+    read = tables.read_csv(spark, path)
+    return tables.load_left(read).select(F.col("ingredient_code").cast("bigint").alias("at"), "ingredient_code", "std_name_ko", "std_name_en", "cas_no", "source", "batch_id")
+
+
+@query("SELECT strftime(o_orderdate, '%Y-%m-01') AS ingest_date, o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
+def bronze_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions of two runs, the second replacing its own dates only; the last year is written twice."""
+    path = scratch(spark)
+    rows = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-01").alias("ingest_date"), "o_orderkey", "o_orderstatus")
+    last = rows.agg(F.max(F.left("ingest_date", F.lit(4)))).first()[0]
+    final = rows.where(F.col("ingest_date").startswith(last))
+    tables.write_bronze(final.withColumn("o_orderstatus", F.lit("?")), path)
+    tables.write_bronze(final, path)
+    return spark.read.schema("o_orderkey bigint, o_orderstatus string, ingest_date string").parquet(path).select("ingest_date", "o_orderkey", "o_orderstatus")
+
+
+@query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
+def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest CSV of a date, among files of other dates and kinds."""
+    folder = scratch(spark)
+    for name in ("2024-01-04", "2024-01-05"):
+        rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.lit(name == "2024-01-05"), F.col("n_name")).otherwise(F.lit("old")).alias("n_name"))
+        tables.write_csv(rows, f"{folder}/{name}", single=True)
+    rows.coalesce(1).write.json(f"{folder}/2024-01-05-other")
+    return tables.read_csv(spark, tables.locate(spark, "store", folder, "2024-01-05"))
+
+
+@query(PREFIX_COUNTS)
+def count_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts written as one JSON object and read again."""
+    path = scratch(spark)
+    tables.write_counts(document_prefixes(spark, sf_dir), path)
+    return tables.read_counts(spark, path)
+
+
+FLAGS = "CASE event_id % 6 WHEN 0 THEN ' Yes ' WHEN 1 THEN 'on' WHEN 2 THEN '0' WHEN 3 THEN 'TRUE' WHEN 4 THEN 'no' END"
+
+
+@query(f"SELECT event_id, coalesce(lower(trim({FLAGS})) IN ('1', 'true', 'yes', 'y', 'on'), true) AS flag, '{DATE}' AS run_date FROM events")
+def option_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", flag(F.expr(FLAGS), True).alias("flag"), run_date(DATE).alias("run_date"))
+
+
 # Semi-structured sources ------------------------------------------------------------------------
 
 
@@ -387,21 +495,30 @@ def json_array_first_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON search page for each conversation: its turns as results, the words of a text as functions."""
-    meta = F.to_json(F.struct(F.array(F.substring("text", 1, 30)).alias("inciName"), F.array(F.lit("ingredient")).alias("itemType"), F.slice(F.split("text", " "), 1, 3).alias("functionName"), F.col("role").alias("status")))
-    item = F.struct(F.concat_ws("-", "conv_id", "turn").alias("reference"), F.col("role").alias("database"), F.lit(1.5).alias("weight"), F.from_json(meta, "inciName array<string>, itemType array<string>, functionName array<string>, status string").alias("metadata"))
+    meta = {
+        "inciName": F.array("text"), "itemType": F.lit("ingredient"), "functionName": F.split("text", " "), "status": F.col("role"), "casNo": F.array(F.concat("role", F.lit(" ")), F.lit("x")),
+        "annexNo": F.array("role", "role"), "otherRestrictions": F.array().cast("array<string>"), "substanceId": F.col("turn").cast("string"),
+    }
+    item = F.struct(F.concat_ws("-", "conv_id", "turn").alias("reference"), F.col("role").alias("database"), F.lit(1.5).alias("weight"), F.struct(*[v.alias(k) for k, v in meta.items()]).alias("metadata"))
     pages = table(spark, sf_dir, "conversations").where("text IS NOT NULL").groupBy("conv_id").agg(F.collect_list(item).alias("results"))
     page = F.struct(F.lit("1.0").alias("apiVersion"), F.size("results").alias("totalResults"), F.lit(1).alias("pageNumber"), F.lit(100).alias("pageSize"), F.col("results"))
     return pages.select(F.col("conv_id").cast("string").alias("query_text"), F.to_json(page).alias("payload"))
 
 
-TURNS = r"SELECT conv_id, turn, role, text, list_filter(list_transform(string_split(text, ' ')[1:3], lambda w: regexp_replace(w, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')), lambda w: w <> '') AS f, len(string_split(text, ' ')[1:3]) AS k FROM conversations WHERE text IS NOT NULL"
+TURNS = rf"SELECT conv_id, turn, role, text, list_filter(list_transform(string_split(text, ' '), lambda w: regexp_replace(w, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda w: w <> '') AS f, len(string_split(text, ' ')) AS k FROM conversations WHERE text IS NOT NULL"
+#: Every one of the 44 columns; those not named here are null in these pages.
+FLAT = {
+    "query_text": "conv_id::VARCHAR", "api_version": "'1.0'", "page_number": "'1'", "page_size": "'100'", "total_results": "count(*) OVER (PARTITION BY conv_id)", "reference_uuid": "concat_ws('-', conv_id, turn)",
+    "database": "role", "weight": "'1.5'", "inci_name": f"nullif({_stripped('text')}, '')", "function_names": "nullif(array_to_string(f, ' | '), '')", "function_count": "k::INT", "item_type": "'ingredient'", "status": "role",
+    "cas_no": "role", "annex_no": "concat(role, ' | ', role)", "substance_id": "turn::VARCHAR", "source": "'b'", "ingest_date": f"'{DATE}'", "batch_id": f"'b_{DATE}'",
+    "raw_metadata": """to_json(struct_pack(inciName := [text], itemType := 'ingredient', functionName := string_split(text, ' '), status := role, casNo := [concat(role, ' '), 'x'], annexNo := [role, role], otherRestrictions := []::VARCHAR[], substanceId := turn::VARCHAR))::VARCHAR""",
+}
+FLAT_COLUMNS = ("query_text", *payload.ENVELOPE, *payload.ITEM, *payload.FIRST, *payload.JOINED, "function_count", "raw_metadata", "source", "ingest_date", "batch_id")
 
 
-@query(f"""SELECT conv_id::VARCHAR AS query_text, count(*) OVER (PARTITION BY conv_id) AS total_results, concat_ws('-', conv_id, turn) AS reference_uuid, role AS "database", nullif({_stripped('text[1:30]')}, '') AS inci_name, nullif(array_to_string(f, ' | '), '') AS function_names,
-  k::INT AS function_count, 'ingredient' AS item_type, role AS status, cast(null as varchar) AS cas_no, 'b_{DATE}' AS batch_id FROM ({TURNS})""")
+@query("SELECT " + ", ".join(FLAT.get(c, "cast(null as varchar)") + f' AS "{c}"' for c in FLAT_COLUMNS) + f" FROM ({TURNS})")
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = payload.bronze(conversation_pages(spark, sf_dir), "b", DATE)
-    return rows.select("query_text", "total_results", "reference_uuid", "database", "inci_name", "function_names", "function_count", "item_type", "status", "cas_no", "batch_id")
+    return payload.bronze(conversation_pages(spark, sf_dir), "b", DATE)
 
 
 @query("SELECT conv_id, count(*)::INT AS function_count FROM conversations WHERE text IS NOT NULL GROUP BY 1")
@@ -444,12 +561,6 @@ def html_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.table_rows(part_pages(spark, sf_dir)).drop("row")
 
 
-@query("SELECT o_orderstatus, max(month) AS month, arg_max(n, month) AS n FROM (SELECT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY ALL) GROUP BY 1")
-def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    months = table(spark, sf_dir, "orders").groupBy("o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
-    return months.groupBy("o_orderstatus").agg(F.max("month").alias("month"), F.max_by("n", "month").alias("n"))
-
-
 @query("""SELECT o_orderkey, expected, got, message IS NULL AS is_valid, coalesce(message, 'OK') AS message FROM (SELECT o_orderkey, 4::BIGINT AS expected, count(l_orderkey) AS got,
   CASE WHEN count(l_orderkey) = 0 THEN 'no rows' WHEN count(l_orderkey) <> 4 THEN concat('count mismatch: expected 4, got ', count(l_orderkey)) END AS message FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1)""")
 def validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

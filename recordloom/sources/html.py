@@ -10,10 +10,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import as_of_date
+
 #: Words of a result table's header; the two lists differ in one word.
 TABLE_MARKS = ("성분코드", "국문명", "영문명", "INCI", "코드", "CAS No", "구명칭")
 HEADER_MARKS = ("성분코드", "국문명", "영문명", "INCI", "번호", "CAS No", "구명칭")
-DATE = re.compile(r"\d{4}[-.]\d{2}[-.]\d{2}")
 FIELDS = ("ingredient_code", "std_name_ko", "std_name_en", "cas_no", "old_name_ko", "as_of_date")
 
 
@@ -68,34 +69,33 @@ class _Page(HTMLParser):
         self.open[-1].parts.append(data)
 
 
-def parse_page(html: str) -> tuple[str, list[tuple[str | None, ...]] | None]:
-    """Title and rows of the result table; None for rows if there is no table."""
+def read_page(html: str) -> tuple[str, list[list[str]] | None]:
+    """Title, and the cells of each row of the result table; None for rows if there is no table."""
     page = _Page()
     page.feed(html)
     page.close()
-    titles, tables = page.root.all("title"), page.root.all("table")
+    titles, found = page.root.all("title"), page.root.all("table")
     title = one_line(titles[0].text()) if titles else ""
-    if not tables:
-        return title, None
-    chosen = next((t for t in tables if any(m in one_line(t.text()) for m in TABLE_MARKS)), tables[0])
-    rows = []
-    for tr in chosen.all("tr"):
-        cells = [one_line(c.text()) for c in tr.all("td", "th")]
-        if not cells or any(m in " ".join(cells) for m in HEADER_MARKS):
-            continue
-        code = cells[0].replace(",", "")
-        if not re.fullmatch(r"\d+", code):
-            continue
-        names = [c or None for c in cells[1:5]] + [None] * 4
-        dated = next((c for c in cells[5:] if DATE.search(c)), None)
-        rows.append((code, *names[:4], dated.replace(".", "-") if dated else None))
-    return title, rows
+    named = (t for t in found if any(m in one_line(t.text()) for m in TABLE_MARKS))
+    chosen = next(named, found[0] if found else None)
+    return title, chosen and [[one_line(c.text()) for c in row.all("td", "th")] for row in chosen.all("tr")]
+
+
+def record(cells: Column) -> Column:
+    """The six fields of a row of cells; null for a row that is no record: a header, or one without a number in front."""
+    code = F.replace(F.get(cells, F.lit(0)), F.lit(","), F.lit(""))
+    heading = F.array_join(cells, " ").rlike("|".join(map(re.escape, HEADER_MARKS)))
+    named = [F.nullif(F.get(cells, F.lit(k + 1)), F.lit("")) for k in range(4)]
+    fields = [c.alias(name) for c, name in zip((code, *named, as_of_date(cells)), FIELDS)]
+    return F.when(code.rlike(r"(?U)^\d+$") & ~heading, F.struct(*fields))
 
 
 def table_rows(pages: DataFrame, page: str = "page_id", html: str = "html", strict: bool = False) -> DataFrame:
-    """A row for each data row of each page: the page, its place there and six text fields.
+    """A row for each data row of each page: the page, its place in the table and six text fields.
 
-    A page without a table gives no rows; with ``strict`` it is an error that names its title.
+    Pages are cut into cells in Arrow batches; which rows are records and what their fields
+    are is decided in the JVM.  A page without a table gives no rows; with ``strict`` it is an
+    error that names its title.
     """
     kind = pages.schema[page].dataType.simpleString()
 
@@ -103,13 +103,14 @@ def table_rows(pages: DataFrame, page: str = "page_id", html: str = "html", stri
         for batch in batches:
             out = []
             for number, text in zip(batch[page], batch[html]):
-                title, rows = parse_page(text or "")
+                title, rows = read_page(text or "")
                 if rows is None and strict:
                     raise ValueError(f"no result table in page {number}; its title: {title}")
-                out += [(number, i, *row) for i, row in enumerate(rows or ())]
-            yield pd.DataFrame(out, columns=[page, "row", *FIELDS])
+                out += [(number, i, cells) for i, cells in enumerate(rows or ())]
+            yield pd.DataFrame(out, columns=[page, "row", "cells"])
 
-    return pages.select(page, html).mapInPandas(run, f"{page} {kind}, row int, " + ", ".join(f"{f} string" for f in FIELDS))
+    cut = pages.select(page, html).mapInPandas(run, f"{page} {kind}, row int, cells array<string>")
+    return cut.select(page, "row", record(F.col("cells")).alias("record")).where("record IS NOT NULL").select(page, "row", "record.*")
 
 
 def page_title(html: Column) -> Column:

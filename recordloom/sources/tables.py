@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from ..functions.text import na_to_null, nullify
 from ..operators.validate import ValidationError
 
-#: The columns of the two registries and the other names they come under.  A name
-#: that begins with ``*`` stands for any column with that ending.
+#: The columns of the two registries and the other names they come under.  Callers
+#: whose files use further names pass their own table to ``load_right``.
 LEFT_REQUIRED = ("ingredient_code", "std_name_ko", "std_name_en", "cas_no")
 LEFT_OPTIONAL = ("old_name_ko", "as_of_date", "source", "ingest_date", "batch_id")
 RIGHT_ALIASES: dict[str, tuple[str, ...]] = {
     "inci_name": ("inci_name", "std_name_en", "ingredient_name"),
-    "substance_id": ("substance_id", "*_ing_id", "ingredient_id"),
+    "substance_id": ("substance_id", "ingredient_id"),
     "cas_no": ("cas_no",),
     "function_names": ("function_names", "functions"),
     "cosmetic_restriction": ("cosmetic_restriction",),
@@ -31,15 +31,12 @@ RIGHT_ALIASES: dict[str, tuple[str, ...]] = {
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns as text; quoted line breaks and doubled quotes are read, a byte-order mark is not."""
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"', encoding="UTF-8")
 
 
 def resolve(rows: DataFrame, aliases: Mapping[str, Sequence[str]], required: Sequence[str] = ()) -> DataFrame:
     """Canonical columns from the first alias that ``rows`` has; absent ones are null, NA tokens become null."""
-    def column(option: str) -> str | None:
-        return next((c for c in rows.columns if c == option or option[0] == "*" and c.endswith(option[1:])), None)
-
-    found = {name: next(filter(None, map(column, options)), None) for name, options in aliases.items()}
+    found = {name: next((c for c in options if c in rows.columns), None) for name, options in aliases.items()}
     if missing := [name for name in required if found[name] is None]:
         raise ValidationError(f"missing columns: {', '.join(missing)}")
     return rows.select(*[(na_to_null(F.col(f"`{c}`")) if c else F.lit(None).cast("string")).alias(name) for name, c in found.items()])
@@ -49,13 +46,17 @@ def load_left(rows: DataFrame) -> DataFrame:
     return resolve(rows, {c: (c,) for c in (*LEFT_REQUIRED, *LEFT_OPTIONAL)}, LEFT_REQUIRED)
 
 
-def load_right(rows: DataFrame) -> DataFrame:
-    return resolve(rows, RIGHT_ALIASES, ("inci_name",))
+def load_right(rows: DataFrame, aliases: Mapping[str, Sequence[str]] = RIGHT_ALIASES) -> DataFrame:
+    """The registry under its canonical names; ``aliases`` has the names to look for, best first."""
+    return resolve(rows, aliases, ("inci_name",))
 
 
 def with_order(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``_ord``, their order in files read whole."""
-    return rows.withColumn("_ord", F.monotonically_increasing_id())
+    """``rows`` with ``_ord``: the file's path and the place in it, of files that are read whole.
+
+    However files are packed into tasks, rows compare by path first and then as they stand.
+    """
+    return rows.withColumn("_ord", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place")))
 
 
 def latest_file(spark: SparkSession, folder: str, date: str | None = None, suffix: str = ".csv") -> str:
@@ -79,9 +80,11 @@ def locate(spark: SparkSession, mode: str, path: str, date: str | None = None) -
     raise ValueError(f"unknown input mode {mode!r}")
 
 
-def write_csv(rows: DataFrame, path: str, single: bool = False, render: bool = True) -> None:
-    """CSV with a header; ``render`` writes every way of saying "no value" as null."""
+def write_csv(rows: DataFrame, path: str, single: bool = False, render: bool = True, mark: bool = False) -> None:
+    """CSV with a header; ``render`` writes every way of saying "no value" as null, ``mark`` begins files with a byte-order mark."""
     out = rows.select(*[nullify(F.col(c)).alias(c) for c in rows.columns]) if render else rows
+    if mark:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
     (out.coalesce(1) if single else out).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
@@ -95,3 +98,21 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """Recorded counts, one JSON object of ``prefix*`` to number, as rows."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,bigint>").alias("m"))
     return raw.select(F.explode("m").alias("query", "n")).select(F.regexp_replace("query", r"\*$", "").alias("prefix"), "n")
+
+
+def write_counts(counts: DataFrame, path: str) -> None:
+    """Counts (``prefix``, ``n``) as one JSON object, for ``read_counts``; as many as a plan has prefixes."""
+    whole = counts.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat("prefix", F.lit("*")).alias("query"), "n"))))).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)
+
+
+def count_key(query: str, fields: Mapping[str, object] | None = None) -> str:
+    """The name under which a count is kept: the query, and the sorted form fields if there are any."""
+    return f"{query}__FORM__{sorted(fields.items())}" if fields else query
+
+
+def copy_object(spark: SparkSession, source: str, target: str) -> None:
+    """Copy one file between any two stores that Hadoop reaches; frames are written to a store as they are."""
+    jvm, conf = spark.sparkContext._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)

@@ -1,14 +1,18 @@
+import collections
+import http.server
 import json
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
+from recordloom.functions.values import run_date
 from recordloom.operators.validate import ValidationError, gate, require_columns, validate
-from recordloom.plans import prefixes
+from recordloom.plans import crawl, prefixes
 from recordloom.plans.reconcile import bronze_from_pages, bronze_from_payloads, run_and_save
 from recordloom.queries import left_registry, right_registry
-from recordloom.sources import html, payload, tables
+from recordloom.sources import fetch, html, payload, tables
 from recordloom.streaming.incremental import each_arrival
 
 
@@ -53,11 +57,88 @@ PAGE = """<html><head><title> T&amp;x </title></head><table><tr><td>menu</td></t
 <tr><td>x1</td><td>no</td></tr><tr><td>7<td>short</tr><tr><td>8</td><td>INCI name</td></tr></table></html>"""
 
 
-def test_result_table():
-    title, rows = html.parse_page(PAGE)
-    assert title == "T&x"
-    assert rows == [("1234", "가 나", "A & B", None, "old", "2024-01-05"), ("7", "short", None, None, None, None)]
-    assert html.parse_page("<title>gone</title>") == ("gone", None)
+def test_result_table(spark):
+    title, rows = html.read_page(PAGE)
+    assert title == "T&x" and rows[1][:3] == ["1,234", "가 나", "A & B"]
+    got = html.table_rows(spark.createDataFrame([(1, PAGE), (2, None), (3, "<title>gone</title>")], "page_id long, html string")).orderBy("row").collect()
+    assert [tuple(r)[2:] for r in got] == [("1234", "가 나", "A & B", None, "old", "2024-01-05"), ("7", "short", None, None, None, None)]
+    assert html.read_page("<title>gone</title>") == ("gone", None)
+    with pytest.raises(Exception, match="its title: gone"):
+        html.table_rows(spark.createDataFrame([(3, "<title>gone</title>")], "page_id long, html string"), strict=True).collect()
+
+
+def test_further_pages(spark):
+    first = spark.createDataFrame([(1, PAGE + "<p>총 7 건</p>"), (2, PAGE + "<p>총 2 건</p>")], "page_id long, html string")
+    assert [tuple(r) for r in crawl.further_pages(first).orderBy("page").collect()] == [(1, 7, 2, 4, 2), (1, 7, 2, 4, 3), (1, 7, 2, 4, 4)]
+    with pytest.raises(Exception, match="no total on page 1"):
+        crawl.further_pages(spark.createDataFrame([(1, PAGE)], "page_id long, html string")).collect()
+
+
+def test_collection_stops_at_oversized_queries(spark):
+    rows = spark.createDataFrame([(i, ["same"]) for i in range(5)], "id long, tokens array<string>")
+    plan = prefixes.split_plan(prefixes.prefix_counts(rows, "id", "tokens"), 3, 3)
+    with pytest.raises(ValidationError, match="oversized queries remain: 1"):
+        crawl.collect_by_plan(rows, "id", "tokens", plan, 4)
+    whole = prefixes.split_plan(prefixes.prefix_counts(rows, "id", "tokens"), 5, 3)
+    got = crawl.collect_by_plan(rows, "id", "tokens", whole, 4, page_size=2)
+    assert [(r.query_text, r.id, r.page, r.nth) for r in got.orderBy("id").collect()] == [("s*", i, i // 2 + 1, i) for i in range(5)]
+    assert tuple(crawl.collection_stats(got, whole).first()) == (1, 0, 3, 5)
+
+
+@pytest.fixture
+def server():
+    """Answers /page with a page of Korean text, /search with the query it was sent; each fails first."""
+    seen = collections.Counter()
+
+    class Answers(http.server.BaseHTTPRequestHandler):
+        def reply(self, body: bytes, kind: str) -> None:
+            seen[self.path] += 1
+            self.send_response(503 if seen[self.path] == 1 else 404 if "gone" in self.path else 200)
+            self.send_header("Content-Type", kind)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def do_GET(self) -> None:
+            self.reply(f"총 1 건 {self.headers['User-Agent']}".encode("cp949"), "text/html; charset=iso-8859-1")
+
+        def do_POST(self) -> None:
+            sent = self.rfile.read(int(self.headers["Content-Length"]))
+            self.reply(sent.split(b"\r\n\r\n")[1].split(b"\r\n")[0], "application/json")
+
+        def log_message(self, *_) -> None:
+            pass
+
+    running = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=running.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{running.server_port}", seen
+    running.shutdown()
+
+
+def test_fetching(spark, server):
+    url, seen = server
+    how = fetch.Patience(attempts=2, longest=0.01, jitter=0.01)
+    asked = spark.createDataFrame([(1,), (2,)], "page int").withColumns({"url": F.lit(f"{url}/page"), "params": fetch.page_params(F.col("page")), "headers": F.create_map(*[F.lit(x) for kv in fetch.page_headers("me").items() for x in kv])})
+    assert {(r.page, r.response) for r in fetch.responses(asked, how).collect()} == {(1, "총 1 건 me"), (2, "총 1 건 me")}
+    assert sorted(seen.values()) == [2, 2] and any("skind=ALL&sword=&sword2=&page=2" in k for k in seen)
+    found = fetch.responses(fetch.search_requests(spark.createDataFrame([("ab*", 3)], "query_text string, page int"), f"{url}/search", "key", 100, "me", "inciName", "ingredient"), how)
+    assert json.loads(found.first().response) == {"bool": {"must": [{"text": {"query": "ab*", "fields": ["inciName"], "defaultOperator": "AND"}}, {"term": {"itemType": "ingredient"}}]}}
+    with pytest.raises(RuntimeError, match="no answer"):
+        fetch.ask(f"{url}/gone", None, None, None, how)
+    assert 2 <= fetch.Patience().wait(1) <= 2.7 and fetch.Patience().wait(9) <= 20.7
+    assert fetch.search_body("*", "f") == {"bool": {"must": []}}
+
+
+def test_small_parts(spark, tmp_path):
+    assert tables.count_key("a*") == "a*" and tables.count_key("a*", {"b": 1, "a": 2}) == "a*__FORM__[('a', 2), ('b', 1)]"
+    assert spark.range(1).select(run_date().alias("d")).first().d == spark.sql("select cast(current_date() as string) d").first().d
+    (tmp_path / "x.txt").write_text("text")
+    tables.copy_object(spark, f"file://{tmp_path}/x.txt", f"file://{tmp_path}/y.txt")
+    assert (tmp_path / "y.txt").read_text() == "text"
+    for name in ("a", "b"):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.csv").write_text("k,v\n" + "".join(f"{name}{i},1\n" for i in range(3)))
+    rows = tables.with_order(tables.read_csv(spark, f"{tmp_path}/in"))
+    assert [r.k for r in rows.orderBy("_ord").collect()] == ["a0", "a1", "a2", "b0", "b1", "b2"]
 
 
 def test_bronze_from_pages(spark):
@@ -109,7 +190,9 @@ def test_csv_round_trip_and_latest(spark, tmp_path):
         tables.latest_file(spark, str(path), "2031")
     row = tables.load_right(tables.read_csv(spark, tables.locate(spark, "store", str(path)))).first()
     assert (row.inci_name, row.function_names, row.cas_no) == ('a "q"\nb', None, None)
-    assert tables.load_right(spark.createDataFrame([("n", "7")], "inci_name string, x_ing_id string")).first().substance_id == "7"
+    other = spark.createDataFrame([("n", "7")], "inci_name string, x_ing_id string")
+    assert tables.load_right(other).first().substance_id is None
+    assert tables.load_right(other, tables.RIGHT_ALIASES | {"substance_id": ("substance_id", "x_ing_id")}).first().substance_id == "7"
     with pytest.raises(ValidationError):
         tables.load_left(spark.createDataFrame([("1",)], "ingredient_code string"))
     with pytest.raises(ValueError):
