@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,11 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new path in the shared folder that the cluster names.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests) one is set here.
+    That is ``spark.checkpoint.dir``, or the checkpoint directory of the context.  Only where
+    neither is set and everything runs in one process (tests) a folder is chosen here; on a
+    cluster each executor would write to its own disk, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = "file:///tmp/checkpoints"
+        context = spark.sparkContext._jsc.sc()
+        root = context.getCheckpointDir().get() if context.getCheckpointDir().isDefined() else None
+        if not root and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = root or "file:///tmp/checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 

@@ -68,11 +68,12 @@ def occurrences(docs: DataFrame, prefix: DataFrame, small: bool) -> DataFrame:
     """
     rows = docs.select("doc_id", words_of(F.col("text")).alias("said"), F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumn("n_words", F.size("said"))
+    if not small:
+        return _far_occurrences(rows, prefix)
     each = rows.select("doc_id", "row", "n_words", "said", F.posexplode(F.concat(F.array(F.lit("")), F.col("said"))).alias("at", "prefix"))
     # the empty word stands for the document itself
     itself = prefix.sparkSession.createDataFrame([("", 0, 0, None, None)], prefix.schema)
-    table = prefix.unionByName(itself)
-    joined = each.join(F.broadcast(table) if small else table, "prefix")
+    joined = each.join(F.broadcast(prefix.unionByName(itself)), "prefix")
     start = F.col("at") - 1 - F.col("offset")
     fits = (start >= 0) & (start + F.col("size") <= F.col("n_words"))
     same = F.when(fits, F.slice("said", start + 1, F.col("size")) == F.col("words")).otherwise(F.lit(False))
@@ -81,6 +82,20 @@ def occurrences(docs: DataFrame, prefix: DataFrame, small: bool) -> DataFrame:
     return kept.select("doc_id", "row", "n_words", F.when(real, start).alias("start"), F.when(real, F.col("size")).alias("size"), "items")
 
 
+def _far_occurrences(rows: DataFrame, prefix: DataFrame) -> DataFrame:
+    """The same by a join of two shuffled sides: a word travels with the words that a window around it can reach."""
+    reach = prefix.agg(F.coalesce(F.max("size"), F.lit(1)).alias("n")).first().n - 1
+    begin = F.greatest(F.col("at") - reach, F.lit(0))
+    each = rows.select("doc_id", "row", "n_words", "said", F.posexplode("said").alias("at", "prefix"))
+    each = each.select("doc_id", "row", "n_words", "at", "prefix", begin.alias("begin"), F.slice("said", begin + 1, F.col("at") - begin + reach + 1).alias("near"))
+    start = F.col("at") - F.col("offset")
+    fits = (start >= 0) & (start + F.col("size") <= F.col("n_words"))
+    same = F.when(fits, F.slice("near", start - F.col("begin") + 1, F.col("size")) == F.col("words")).otherwise(F.lit(False))
+    found = each.join(prefix, "prefix").where(same).select("doc_id", "row", "n_words", start.cast("int").alias("start"), "size", "items")
+    itself = rows.select("doc_id", "row", "n_words", F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("size"), F.lit(None).cast(found.schema["items"].dataType).alias("items"))
+    return found.unionByName(itself)
+
+
 def covered(spans: Column) -> Column:
     """Number of places inside any of the [start, start + size) spans; ``spans`` is sorted by start."""
     begin = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))

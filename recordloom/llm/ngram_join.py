@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import block_count, deal, text_bytes
-from .common import WordHash, materialize, mix, ship, slices, texts, tidy, utf8
+from .common import WordHash, discard, materialize, mix, ship, slices, texts, tidy, utf8
 
 ship(__name__)
 
@@ -185,6 +185,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "hi").select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
         small = materialize(small.select("e.hi", "e.lo").where("hi <> lo").distinct())
         nodes = small.groupBy("hi").agg(F.count("*").alias("n"))
+        discard(pairs)
         ended = small.select(F.col("lo").alias("hi")).distinct().join(nodes.select("hi"), "hi", "left_semi").isEmpty() and nodes.where("n > 1").isEmpty()
         pairs = small
         if ended:
@@ -282,10 +283,14 @@ def linked_components(classes: DataFrame, link: Link) -> DataFrame:
         pairs = materialize(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
         if pairs.isEmpty():
             continue
-        found = _verified(pairs, classes, link)
-        if roots is not None:
-            found = found.union(roots.select(F.col("root").alias("a"), F.col("node").alias("b")))
+        found, before = _verified(pairs, classes, link), roots
+        if before is not None:
+            found = found.union(before.select(F.col("root").alias("a"), F.col("node").alias("b")))
         roots = components(found)
+        for done in (pairs, before):
+            if done is not None:
+                discard(done)
+    discard(shown)
     return roots if roots is not None else classes.sparkSession.createDataFrame([], "node long, root long")
 
 
@@ -293,13 +298,13 @@ def likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """``rows`` without most of those whose ``key`` is not among ``wanted``; none of the others is lost.
 
     A Bloom filter of the wanted keys, so that rows that a join would drop are not shuffled.
-    Where the filter would pass ``MOST_BYTES``, ``rows`` as they are.
+    It never holds more than ``MOST_BYTES``: beyond ten bits a key it asks fewer hashes and lets
+    more rows through.
     """
     n = wanted.count()
-    size = max(64, 10 * n)
-    if size // 8 > MOST_BYTES:
-        return rows
-    hashes = [F.xxhash64(key, F.lit(k)) for k in range(5)]
+    size = min(max(64, 10 * n), 8 * MOST_BYTES)
+    probes = max(1, min(5, round(0.7 * size / max(1, n))))
+    hashes = [F.xxhash64(key, F.lit(k)) for k in range(probes)]
     spot = wanted.select(F.explode(F.array(*[F.pmod(h, F.lit(size)) for h in hashes])).alias("spot"))
     words = spot.groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("bits")).toArrow()
     bits = np.zeros(-(-size // 64), np.int64)
@@ -309,10 +314,10 @@ def likely(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = np.ones(batch.num_rows, bool)
-            for k in range(5):
-                at = batch.column(batch.num_columns - 5 + k).to_numpy()
+            for k in range(probes):
+                at = batch.column(batch.num_columns - probes + k).to_numpy()
                 ok &= (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-            yield pa.RecordBatch.from_arrays(batch.columns[:-5], schema=pa.schema(list(batch.schema)[:-5])).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-probes], schema=pa.schema(list(batch.schema)[:-probes])).filter(pa.array(ok))
 
     probed = rows.select("*", *[F.pmod(h, F.lit(size)).alias(f"_spot{k}") for k, h in enumerate(hashes)])
     return probed.mapInArrow(keep, rows.schema)
@@ -329,7 +334,9 @@ def near_duplicates(docs: DataFrame, link: Link = Link()) -> DataFrame:
     text = likely(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NOWHERE)).alias("at"), "text"), alive.select("at"), "at").join(alive, "at")
     text = text.withColumn("digest", F.xxhash64("text")).dropDuplicates(["at", "key", "digest"])
     ordered = materialize(_ordered(_sets(text, link), link))
+    discard(alive)
     roots = linked_components(ordered, link)
+    discard(ordered)
     rooted = materialize(classes.join(roots, F.col("key") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "key").alias("root")))
     named = rooted.groupBy("root").agg(F.min("first").alias("component"))
     out = signed.join(rooted.join(named, "root").select("cls", "component"), "cls", "left")

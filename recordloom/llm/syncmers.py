@@ -31,7 +31,8 @@ K, S = 5, 2  # tokens
 CHAR_K, CHAR_S, SHORT = 8, 3, 512  # characters
 CELL = 64
 TOKENS = r"[^\x20\x09-\x0D]{1,16}"
-RANGES = 2047
+#: Ranges of doc_id: no fewer, no more, and of about this much text between.
+FEWEST, MOST, RANGE_BYTES = 2047, 65535, 16 << 20
 LEAST = -(2**63)
 
 
@@ -95,10 +96,17 @@ def with_likeness(rows: DataFrame, other: str, out: str) -> DataFrame:
     return rows.withColumn(out, F.coalesce(f"{out}_c", f"{out}_t")).drop(f"{out}_c", f"{out}_t")
 
 
-def with_next(docs: DataFrame, key: str = "doc_id", ranges: int = RANGES) -> DataFrame:
-    """``docs`` (with a column ``text``) with ``next_text``, the text of the document that follows."""
+def with_next(docs: DataFrame, key: str = "doc_id", ranges: int | None = None) -> DataFrame:
+    """``docs`` (with a column ``text``) with ``next_text``, the text of the document that follows.
+
+    The number of ranges follows the bytes of text, up to ``MOST``; beyond that a range grows,
+    and sorting it spills.
+    """
     spark = docs.sparkSession
     place = F.coalesce(F.col(key).cast("long"), F.lit(LEAST))
+    if ranges is None:
+        size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+        ranges = min(MOST, max(FEWEST, size // RANGE_BYTES))
     edges = docs.select(F.percentile_approx(place, [(i + 1) / (ranges + 1) for i in range(ranges)], 100_000).alias("edges")).first().edges or []
     edges = sorted(set(edges))
     bounds = F.lit(edges) if edges else F.array().cast("array<bigint>")

@@ -6,8 +6,9 @@ universe that the first lets through; the third the listed keys that the second
 through, and so on until a level lets nothing wrong through.  Over that universe the
 cascade then answers membership exactly, and pages are judged without a join.
 
-The filters are broadcast.  Their size follows the list, not the corpus, and is checked:
-a list whose filters would pass ``MOST_BYTES`` is judged by a join of keys instead.
+The filters are broadcast.  Their size is foretold from the keys that are listed and the
+share of the others that pass by chance: where it would pass ``MOST_BYTES``, the keys are
+split by hash into shards with a cascade each, which judge the pages one after the other.
 
 Defined results: a null url, or one without ``://``, has empty host and path.  No rule
 fits an empty host, and the method allows it.  Repeated rows repeat their verdict.
@@ -137,8 +138,6 @@ def build_cascade(universe: DataFrame, most: int = 64) -> Cascade:
         n = wrong.count()
         if n == 0 and level:
             return cascade
-        if n * BITS // 8 > MOST_BYTES:
-            raise OverflowError(f"level {level} of the cascade would hold {n} keys")
         cascade = Cascade([*cascade.levels, _level(wrong, level, n)])
     raise ValueError("two keys share a 64-bit hash; no cascade can tell them apart")
 
@@ -155,25 +154,33 @@ def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
     universe = materialize(keys.join(marked, "key", "left").select("key", F.xxhash64("key").alias("hash"), F.coalesce("listed", F.lit(False)).alias("listed")))
     name, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    parts = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    try:
-        shared = pages.sparkSession.sparkContext.broadcast(build_cascade(universe))
-    except OverflowError:
-        hit = universe.where("listed").select("key")
-        bad = hosts.select("host", F.explode(keys_of(F.col("host"))).alias("key")).join(hit, "key").select("host").distinct().withColumn("blocked", F.lit(True))
-        judged = parts.join(bad, "host", "left").withColumn("blocked", F.coalesce("blocked", F.lit(False)))
-    else:
-
-        def member(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                column = batch.column(len(batch.columns) - 1)
-                flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                hit = np.append(0, np.cumsum(shared.value.listed(flat)))
-                ends = np.append(0, np.cumsum([0 if x is None else x for x in column.value_lengths().to_pylist()])).astype(np.int64)
-                blocked = hit[ends[1:]] > hit[ends[:-1]]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(blocked)], names=[*batch.schema.names[:-1], "blocked"])
-
-        hashed = parts.withColumn("blocked", F.transform(keys_of(F.col("host")), lambda k: F.xxhash64(k)))
-        judged = hashed.mapInArrow(member, T.StructType([*parts.schema.fields, T.StructField("blocked", T.BooleanType())]))
+    # the columns of pages travel as one, so that no name of theirs can clash
+    own = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(None).cast("string")
+    parts = pages.select(own.alias("own"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    judged = parts.withColumns({"blocked": F.lit(False), "keys": F.transform(keys_of(F.col("host")), lambda k: F.xxhash64(k))})
+    sizes = universe.agg(F.count_if("listed").alias("listed"), F.count("*").alias("all")).first()
+    shards = max(1, -(-max(sizes.listed, sizes.all // 100) * BITS // 8 // MOST_BYTES))
+    for shard in range(shards):
+        mine = universe.where(F.pmod("hash", F.lit(shards)) == shard) if shards > 1 else universe
+        shared = pages.sparkSession.sparkContext.broadcast(build_cascade(mine))
+        judged = judged.mapInArrow(_members(shared, shard, shards), judged.schema)
+        if shard + 1 < shards:
+            judged = materialize(judged)  # one shard's filters in memory at a time
     other = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
-    return judged.select(*kept, "host", "path", name.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
+    return judged.select(*[F.col(f"own.`{c}`").alias(c) for c in kept], "host", "path", name.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
+
+
+def _members(shared, shard: int, shards: int):
+    """Marks rows with a listed key in this shard; the last two columns are ``blocked`` and ``keys``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(batch.num_columns - 1)
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            found = shared.value.listed(flat.view(np.uint64)) & (flat % shards == shard)
+            hit = np.append(0, np.cumsum(found))
+            ends = np.append(0, np.cumsum([0 if x is None else x for x in column.value_lengths().to_pylist()])).astype(np.int64)
+            blocked = batch.column(batch.num_columns - 2).to_numpy(zero_copy_only=False) | (hit[ends[1:]] > hit[ends[:-1]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(blocked), column], schema=batch.schema)
+
+    return run

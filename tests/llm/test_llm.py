@@ -15,7 +15,10 @@ from recordloom.llm import blocks, bpe, decontaminate, language, ngram_join, pii
 from recordloom.llm.common import fold
 
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ("score", "ids", "key", "at", "cls", "row", "kind", "component", "token")
+CLASH = (
+    "score", "ids", "key", "at", "cls", "row", "kind", "component", "token", "tag", "places", "grp", "learn", "said", "n_words", "prefix", "offset", "size", "words", "tokens", "chars", "edited", "next_text",
+    "_place", "_bucket", "_head", "_before", "_spot", "_row", "_first", "hash", "digest", "blocked", "block", "spans", "base", "start", "end", "n_tokens", "round_trip", "component_id", "lang_pred",
+)
 
 
 def words(rng, n, k=40):
@@ -210,11 +213,15 @@ def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     assert (cascade.listed(rows["hash"].to_numpy().view(np.uint64)) == rows["listed"].to_numpy()).all()
 
 
-def test_urls_beyond_the_bound_join_instead(spark, monkeypatch):
-    pages = spark.createDataFrame([(1, "x://a.bad.org/"), (2, "x://good.org/")], "page_id long, url string")
-    monkeypatch.setattr(urlfilter, "MOST_BYTES", -1)
-    got = {r.page_id: r.verdict for r in urlfilter.judge_urls(pages, [], spark.createDataFrame([("bad.org",)], "key string")).collect()}
-    assert got == {1: "block", 2: "allow"}
+def test_urls_in_shards(spark, monkeypatch):
+    urls = [(k, f"x://{'abc'[k % 3]}.s{k}.org/") for k in range(200)]
+    pages = spark.createDataFrame(urls, "page_id long, url string").withColumns({c: F.lit(c) for c in ("blocked", "keys", "own", "hash", "listed")})
+    listed = spark.createDataFrame([(f"s{k}.org",) for k in range(0, 200, 7)], "key string")
+    monkeypatch.setattr(urlfilter, "MOST_BYTES", 16)
+    out = urlfilter.judge_urls(pages, [], listed)
+    assert out.columns == [*pages.columns, "host", "path", "rule", "verdict"]
+    assert {r.page_id: r.verdict for r in out.collect()} == {k: "allow" if k % 7 else "block" for k, _ in urls}
+    assert {(r.blocked, r.keys, r.own) for r in out.collect()} == {("blocked", "keys", "own")}
     assert urlfilter.judge_urls(pages.limit(0), [], spark.createDataFrame([], "key string")).count() == 0
 
 
