@@ -181,11 +181,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable, how: Training = Tr
     return [(r.text.encode(), r.quality) for r in rows]
 
 
-FIELDS = [T.StructField("score", T.DoubleType())]
-
-
-def score_documents(docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` with ``score``, the network's probability of label 1."""
+def score_documents(docs: DataFrame, net: Network, out: str = "score") -> DataFrame:
+    """``docs`` with ``out``, the network's probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def make():
@@ -196,4 +193,4 @@ def score_documents(docs: DataFrame, net: Network) -> DataFrame:
 
         return compute
 
-    return append_columns(docs, make, FIELDS)
+    return append_columns(docs, make, [T.StructField(out, T.DoubleType())])

@@ -258,6 +258,62 @@ def test_closed_syncmers_do_not_depend_on_context(spark):
     assert b <= a and len(b) > 15
 
 
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def chained(*values):
+    """Spark's hash of texts (bytes) and 64-bit numbers: each is hashed with the hash before it as seed."""
+    import xxhash
+
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v if isinstance(v, bytes) else (v % 2**64).to_bytes(8, "little"), seed)
+    return signed(seed)
+
+
+def fingerprint_by_hand(text):
+    """(tokens, characters or None): anchors (place, hash) of a text."""
+
+    def anchors(hashes, k, s):
+        if len(hashes) < k:
+            return [(0, chained(*hashes))] if hashes else []
+        inner = [chained(*hashes[i : i + s]) for i in range(len(hashes) - s + 1)]
+        at = [i for i in range(len(hashes) - k + 1) if min(inner[i], inner[i + k - s]) <= min(inner[i + 1 : i + k - s])]
+        return [(i, chained(*hashes[i : i + k])) for i in at]
+
+    tokens = [m.group().encode() for m in re.finditer(r"[^ \t-\r]{1,16}", text)]
+    chars = anchors([chained(c.encode()) for c in text], syncmers.CHAR_K, syncmers.CHAR_S) if 0 < len(text) < syncmers.SHORT else None
+    return anchors([chained(t) for t in tokens], syncmers.K, syncmers.S), chars
+
+
+def written_by_hand(found):
+    line = lambda anchors: " ".join(f"{i}.{h % 2**32:x}" for i, h in anchors)
+    return line(found[0]) + ("" if found[1] is None else "|" + line(found[1]))
+
+
+def likeness_by_hand(a, b):
+    a, b = (a[1], b[1]) if a[1] is not None and b[1] is not None else (a[0], b[0])
+    own, other = ({(h, i // syncmers.CELL) for i, h in x} for x in (a, b))
+    around = {(h, c + d) for h, c in other for d in (0, -1, 1)}
+    both = min(len(own & around), len(other))
+    union = len(own) + len(other) - both
+    return both / union if union else 1.0
+
+
+def test_fingerprints_by_hand(spark):
+    rows = sorted(awkward()[:-1])
+    texts = [t or "" for _, t in rows]
+    got = {r.doc_id: r for r in syncmers.fingerprint(frame(spark, rows)).collect()}
+    for k, (i, _) in enumerate(rows):
+        text, nxt = texts[k], texts[(k + 1) % len(texts)]
+        edited = text[: len(text) - len(text) // 2] + nxt[: len(text) // 2]
+        own, other, after = map(fingerprint_by_hand, (text, edited, nxt))
+        r = got[i]
+        assert (r.fingerprint, r.edited_fingerprint) == (written_by_hand(own), written_by_hand(other)), text[:50]
+        assert (r.near_edited, r.near_next) == pytest.approx((likeness_by_hand(own, other), likeness_by_hand(own, after)))
+
+
 # 6 ----------------------------------------------------------------------------------------------
 
 
@@ -462,6 +518,21 @@ def test_quality_of_a_row_is_its_own():
             assert s == alone[t]
 
 
+def test_quality_of_tables_is_that_of_texts(spark):
+    net = quality.fit([b"good words here " * 40, b"%%% ### $$$ " * 50] * 20, [1, 0] * 20, quality.Training(epochs=3))
+    rows = awkward()
+    for parts in (1, 3):
+        for r in quality.score_documents(frame(spark, rows).repartition(parts), net).collect():
+            t = raw(r.text)
+            assert r.score == net.scores(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0]
+
+
+def test_quality_learns_from_long_texts(spark):
+    docs = spark.createDataFrame([(1, "good " * 30_000), (2, "% # " * 40_000), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    assert sorted((len(t), y) for t, y in quality.training_rows(docs, labels, F.lit(True))) == [(150_000, 1), (160_000, 0)]
+
+
 def test_quality_without_two_classes():
     assert quality.fit([], []).scores(np.zeros(0, np.uint8), np.array([0, 0]))[0] == 0.5
     assert quality.fit([b"a"], [1]).scores(np.zeros(0, np.uint8), np.array([0, 0]))[0] == 1.0
@@ -616,6 +687,22 @@ def test_language(spark, sf_dir):
     assert language.identify(frame(spark, awkward()), language.Languages((), ())).first().lang_pred == "und"
 
 
+def test_language_by_hand(spark):
+    """Predictions and scores of whole tables, from phrases that are counted one by one."""
+    rng = random.Random(31)
+    said = {k: "".join(rng.choices(a, k=400)).strip() for k, a in (("aa", "abc é "), ("bb", "abcx "), ("cc", "xyz "))}
+    known = language.Languages(tuple(said), tuple(t.encode() for t in said.values()))
+    rows = awkward() + [(900 + k, "".join(rng.choices("abcxyz é.,1\n", k=rng.choice([1, 5, 60, 1300])))) for k in range(60)]
+    plain = lambda t: re.sub(rb" +", b" ", bytes(language.SPOKEN[b] for b in raw(t)))
+    for r in language.identify(frame(spark, rows), known).collect():
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        bits = [phrases_by_hand(plain(r.text), x.encode()) * math.log2(len(x.encode())) for x in said.values()]
+        assert r.lang_pred == known.names[bits.index(min(bits))]
+        assert r.score == pytest.approx(1 / sum(2 ** max(-1000, min(bits) - b) for b in bits))
+
+
 def test_language_learns_from_long_texts_and_rows_without_ids(spark):
     """A language of long texts only; one whose rows have no id, beyond 288 rows; words that stand late."""
     rng = random.Random(14)
@@ -668,3 +755,35 @@ def test_pipeline_of_rows_that_share_an_id(spark, tmp_path):
     clean = cp.drop_contaminated(spark, docs, str(tmp_path))
     want = [r for r in rows if r[1] not in (text[0], text[3])]
     assert clean.columns == docs.columns and sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted(want, key=str)
+
+
+STAGE_ROWS = [(None, "one text about nothing much at all today"), (None, "one text about nothing much at all today"), (3, None), (3, ""), (3, "mail a@b.co and some more words"), (3, "mail a@b.co and some more words"), (4, "x " * 30_000), (5, "éà 日本 " * 50)]
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_on_awkward_tables(spark, sf_dir, k):
+    """Null and repeated ids, null, empty and long texts, repeated rows, clashing columns, no rows: defined results, never an error."""
+    import corpus_pipeline as cp
+
+    name, stage = cp.STAGES[k]
+    names = (*CLASH, "doc", "first", "named", "contaminated", "_id", "_hash", "kept", "ends")
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in STAGE_ROWS], SHAPE).withColumns({c: F.lit(f"own {c}") for c in names})
+    out = stage(spark, docs, sf_dir)
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+    if name == "byte_bpe":
+        assert out.count() == len(STAGE_ROWS) and out.where("NOT round_trip").isEmpty() and out.where("n_tokens = 0").count() == 2
+        return
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert all(r[c] == f"own {c}" for r in got for c in names)
+    want = {
+        "quality": None,  # whichever rows it keeps, equal texts stay or go together
+        "near_duplicates": [(None, STAGE_ROWS[0][1]), (3, None), (3, ""), STAGE_ROWS[4], *STAGE_ROWS[6:]],
+        "decontamination": STAGE_ROWS, "pii": [(i, t and t.replace("a@b.co", "[email]")) for i, t in STAGE_ROWS],
+    }[name]
+    kept = collections.Counter((r.doc_id, r.text) for r in got)
+    if want is None:
+        every = collections.Counter(STAGE_ROWS)
+        assert all(every[x] == n for x, n in kept.items())
+    else:
+        assert kept == collections.Counter(want)
