@@ -39,9 +39,20 @@ class Reconciliation:
         self.close()
 
 
-def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True) -> DataFrame:
-    """Rows of HTML result pages: counted before dedupe, first row of each code, blank text null, with lineage."""
-    rows = html.table_rows(pages, strict=True)
+def _landed(rows: DataFrame, folder: str | None) -> DataFrame:
+    """``rows``, written to a folder and read from there, if one is given: what made them then runs once."""
+    if folder is None:
+        return rows
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True, landing: str | None = None) -> DataFrame:
+    """Rows of HTML result pages: counted before dedupe, first row of each code, blank text null, with lineage.
+
+    Pages are parsed for the count and again for the result, or once into the folder ``landing``.
+    """
+    rows = _landed(html.table_rows(pages, strict=True), landing)
     gate(validate(rows, expected if expected is not None else -1, strict and expected is not None))
     ordered = rows.withColumn("_ord", F.struct("page_id", "row"))
     first = first_by_key(ordered, "ingredient_code").select(*[clean(F.col(f)).alias(f) for f in html.FIELDS])
@@ -52,9 +63,9 @@ def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected:
 BRONZE_REQUIRED = ("inci_name", "item_type", "source", "ingest_date", "batch_id")
 
 
-def bronze_from_payloads(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True) -> DataFrame:
-    """Flattened results of JSON pages, validated."""
-    rows = payload.bronze(pages, source, ingest_date)
+def bronze_from_payloads(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True, landing: str | None = None) -> DataFrame:
+    """Flattened results of JSON pages, validated; parsed once if there is a folder ``landing``."""
+    rows = _landed(payload.bronze(pages, source, ingest_date), landing)
     gate(validate(rows, expected if expected is not None else -1, strict and expected is not None, BRONZE_REQUIRED))
     return rows
 

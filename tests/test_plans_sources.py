@@ -141,6 +141,19 @@ def test_small_parts(spark, tmp_path):
     assert [r.k for r in rows.orderBy("_ord").collect()] == ["a0", "a1", "a2", "b0", "b1", "b2"]
 
 
+def test_bronze_lands_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(t):
+        seen.add(1)
+        return t
+
+    pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string").withColumn("html", told("html"))
+    assert bronze_from_pages(pages, "a", "2024-01-05", 2, landing=f"{tmp_path}/landing").count() == 2
+    assert seen.value == 1
+
+
 def test_bronze_from_pages(spark):
     pages = spark.createDataFrame([(2, PAGE.replace("가 나", "late")), (1, PAGE)], "page_id long, html string")
     rows = bronze_from_pages(pages, "a", "2024-01-05", 4).collect()
