@@ -187,7 +187,7 @@ class Encoder:
     #: Bytes that an entry of a dictionary takes besides its text and ids.
     ENTRY = 200
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 32 << 20) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 48 << 20) -> None:
         import re
 
         import regex
@@ -214,10 +214,10 @@ class Encoder:
         cut = {c: self.pieces(c) for c in fresh}
         words = list({w for p in cut.values() for w in p}.difference(self.words))
         self.words.update(zip(words, self.replay.encode([w.encode() for w in words])))
-        self.held[1] += sum(self.ENTRY + len(w) for w in words)
+        self.held[1] += self.ENTRY * len(words) + sum(map(len, words))
         get = self.words.__getitem__
-        self.chunks.update((c, b"".join(map(get, p))) for c, p in cut.items())
-        self.held[0] += sum(self.ENTRY + 3 * len(c) for c in cut)
+        self.chunks.update({c: get(p[0]) if len(p) == 1 else b"".join(map(get, p)) for c, p in cut.items()})
+        self.held[0] += self.ENTRY * len(cut) + 3 * sum(map(len, cut))
         get = self.chunks.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
@@ -234,7 +234,7 @@ def _vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
 
 
 #: Documents are encoded this many bytes of text at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, kinds: dict[str, T.DataType], shape) -> DataFrame:
