@@ -25,6 +25,7 @@ from .common import materialize
 
 WINDOW = 10
 MOST_WINDOWS = 400_000
+SALTS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -55,7 +56,10 @@ def prefixes(docs: DataFrame, windows: DataFrame, bound: int = MOST_WINDOWS) ->
     seen = docs.select(F.explode(words_of(F.col("text"))).alias("word"))
     frequency = seen.join(F.broadcast(words) if small else words, "word").groupBy("word").agg(F.count("*").alias("n"))
     ranked = windows.select("words", "size", "items", F.posexplode("words").alias("offset", "word"))
-    ranked = ranked.join(frequency, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # a word that many windows hold is dealt to several tasks, each with a copy of its count
+    ranked = ranked.withColumn("salt", F.pmod(F.xxhash64("words"), F.lit(SALTS)))
+    copies = frequency.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    ranked = ranked.join(copies, ["word", "salt"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # a word that no document has rules its window out: as the rarest it never joins
     best = ranked.groupBy("words", "size").agg(F.min(F.struct("n", "word", "offset")).alias("rarest"), F.first("items").alias("items"))
     return materialize(best.select(F.col("rarest.word").alias("prefix"), F.col("rarest.offset").alias("offset"), "size", "words", "items").where(F.col("rarest.n") > 0)), small
