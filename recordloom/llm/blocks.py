@@ -8,7 +8,7 @@ first wherever the callers can, so a frequent key is not a large block.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ship
@@ -16,9 +16,8 @@ from .common import ship
 ship(__name__)
 
 
-#: Text that a block of keys stands for.  What a task sends to blocks is less than its text.
-BLOCK_BYTES = 8 << 20
-#: Blocks of small inputs, so that several tasks have work.
+#: Most and least text that a block of keys stands for.  What a task sends to blocks is less than its text.
+MOST_BYTES, LEAST_BYTES = 8 << 20, 256 << 10
 FEWEST = 8
 
 
@@ -27,9 +26,15 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long").alias("n")).first().n)
 
 
-def block_count(size: int) -> int:
-    """Blocks for the keys of ``size`` bytes of text: their number follows the input, their size does not."""
-    return max(FEWEST, -(-size // BLOCK_BYTES))
+def block_count(spark: SparkSession, size: int, spread: int = 3) -> int:
+    """Blocks for the keys of ``size`` bytes of text.
+
+    A block never stands for more than ``MOST_BYTES``, so at scale their number follows the
+    input.  Smaller inputs get up to ``spread`` blocks a shuffle partition, so that all tasks
+    have work, as long as a block stands for ``LEAST_BYTES``.
+    """
+    wanted = spread * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(FEWEST, -(-size // MOST_BYTES), min(wanted, -(-size // LEAST_BYTES)))
 
 
 def deal(keys: np.ndarray, blocks: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:

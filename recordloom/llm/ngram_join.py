@@ -115,7 +115,7 @@ def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
     A token that several classes of one batch show is known to be shared there and is sent
     once, without them; a token is thus sent at most once a batch, however frequent it is.
     """
-    blocks = block_count(text_bytes(docs))
+    blocks = block_count(docs.sparkSession, text_bytes(docs))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -157,7 +157,7 @@ def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
         left = np.frombuffer(b"".join(group["a"].to_pylist()), np.uint64)
         right = np.frombuffer(b"".join(group["b"].to_pylist()), np.uint64)
         if key[0].as_py() < 0:
-            return pa.table({"key": left.view(np.int64), "shared": right.view(np.int64)})
+            return packed(left, right.view(np.int64))
         order = np.lexsort([right, left])
         token, cls = left[order], right[order]
         fresh = np.append(True, token[1:] != token[:-1])
@@ -167,11 +167,23 @@ def shared_counts(docs: DataFrame, link: Link) -> DataFrame:
         several = (cls[begin] == 0) | (cls[begin] != cls[end])
         fresh_class = fresh | np.append(True, cls[1:] != cls[:-1])
         chosen = several[np.cumsum(fresh) - 1] & fresh_class & (cls != 0)
-        keys, n = np.unique(cls[chosen], return_counts=True)
-        return pa.table({"key": keys.view(np.int64), "shared": n.astype(np.int64)})
+        return packed(*np.unique(cls[chosen], return_counts=True))
+
+    def packed(keys: np.ndarray, n: np.ndarray) -> pa.Table:
+        """Counts of classes, an array for each block of classes: a class is a row only once they are summed."""
+        order, runs = deal(keys, 4 * blocks)
+        keys, n = keys[order], n[order].astype("<u4")
+        return pa.table({"block": pa.array([k for k, _, _ in runs], pa.int32()), "a": pa.array([keys[x:y].tobytes() for _, x, y in runs], pa.binary()), "b": pa.array([n[x:y].tobytes() for _, x, y in runs], pa.binary())})
+
+    def total(key: tuple, group: pa.Table) -> pa.Table:
+        keys, spot = np.unique(np.frombuffer(b"".join(group["a"].to_pylist()), np.int64), return_inverse=True)
+        n = np.zeros(len(keys), np.int64)
+        np.add.at(n, spot, np.frombuffer(b"".join(group["b"].to_pylist()), "<u4"))
+        return pa.table({"key": keys, "shared": n})
 
     sent = docs.select("text").mapInArrow(tidy(send), "block int, a binary, b binary")
-    return sent.groupBy("block").applyInArrow(meet, "key long, shared long").groupBy("key").agg(F.sum("shared").alias("shared"))
+    met = sent.groupBy("block").applyInArrow(meet, "block int, a binary, b binary")
+    return met.groupBy("block").applyInArrow(total, "key long, shared long")
 
 
 def components(edges: DataFrame) -> DataFrame:

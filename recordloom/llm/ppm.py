@@ -8,7 +8,7 @@ the bytes that the longer one offered (symbol exclusion).  What no context offer
 uniform over the bytes left.  Texts do not change the trie (pretrained).
 
 No gram is left out and no table of them is held in one place.  Groups of documents, dealt by
-a hash of doc_id and text, of about ``BLOCK_BYTES`` of text each, ask for
+a hash of doc_id and text, of at most about ``MOST_BYTES`` of text each, ask for
 the probability of each distinct run of ORDER + 1 bytes in them; what they ask with, and how
 often the run stands in training texts, is counted in hash blocks.  The distinct runs are then
 dealt by the two bytes before the last one, which all contexts of two bytes and more share,
@@ -183,7 +183,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
     # a row goes from each group to each block whose keys it has, and back; both are of a fixed size of text
-    groups = blocks = block_count(text_bytes(docs))
+    groups = blocks = block_count(spark, text_bytes(docs), 2)
     rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
 
     def ask(key: tuple, group: pa.Table) -> pa.Table:

@@ -248,7 +248,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     """doc_id, n_words, n_removed and the kept words joined by spaces (``kept``), or with ``digest`` their sha256 (``kept_sha256``)."""
     if 2 * BLOCK - 1 > width:
         raise ValueError(f"windows of {width} words may hold no block of {BLOCK}")
-    blocks = block_count(text_bytes(docs))
+    blocks = block_count(docs.sparkSession, text_bytes(docs))
     found = materialize(anchors(docs, blocks))
     release(docs.sparkSession)
     near = likely(_rows(docs).select("at", "text", "tag"), found.select("tag"), "tag").join(found, ["at", "tag"])

@@ -608,8 +608,8 @@ def test_ppm_groups_follow_the_text(spark, monkeypatch):
     rows = [(None if k % 3 else i, t) for k, (i, t) in enumerate(awkward())]
     told = lambda: sorted((str(r.doc_id), r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in ppm.score_documents(frame(spark, rows), F.coalesce("doc_id", F.lit(0)) % 5 != 0).collect())
     few = told()
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", 900)
-    assert blocks.block_count(30_000) == 34 and told() == few
+    monkeypatch.setattr(blocks, "MOST_BYTES", 900)
+    assert blocks.block_count(spark, 30_000) == 34 and told() == few
 
 
 def test_ppm_keeps_every_gram(spark):
