@@ -53,22 +53,30 @@ def scratch(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 
 
+#: Tables that ``materialize`` has written and ``discard`` has not deleted: paths by their last names.
+_written: dict[str, str] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path)
+    _written[path.rpartition("/")[2]] = path
     return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files of a materialized frame that nothing will read again."""
-    files = df.inputFiles()
-    if files:
-        jvm = df.sparkSession.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        if folder.getName().startswith("recordloom-"):
-            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    """Delete all tables of ``materialize`` that ``df`` reads; nothing may read them, or ``df``, again.
+
+    Files that others have written stay, wherever they lie.
+    """
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 2)[-2] for f in df.inputFiles() if f.count("/") > 1}:
+        path = _written.pop(name, None)
+        if path:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:

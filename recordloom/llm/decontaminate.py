@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 WINDOW = 10
 MOST_WINDOWS = 400_000
@@ -62,7 +62,9 @@ def prefixes(docs: DataFrame, windows: DataFrame, bound: int = MOST_WINDOWS) ->
     ranked = ranked.join(copies, ["word", "salt"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     # a word that no document has rules its window out: as the rarest it never joins
     best = ranked.groupBy("words", "size").agg(F.min(F.struct("n", "word", "offset")).alias("rarest"), F.first("items").alias("items"))
-    return materialize(best.select(F.col("rarest.word").alias("prefix"), F.col("rarest.offset").alias("offset"), "size", "words", "items").where(F.col("rarest.n") > 0)), small
+    found = materialize(best.select(F.col("rarest.word").alias("prefix"), F.col("rarest.offset").alias("offset"), "size", "words", "items").where(F.col("rarest.n") > 0))
+    discard(windows)
+    return found, small
 
 
 def occurrences(docs: DataFrame, prefix: DataFrame, small: bool) -> DataFrame:

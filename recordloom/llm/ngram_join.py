@@ -293,7 +293,10 @@ def linked_components(classes: DataFrame, link: Link) -> DataFrame:
         near = _may_link(link, F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"))
         met = now.join(other, (now["token"] == other["token"]) & apart & near)
         pairs = materialize(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
+        if turn == 2:
+            discard(now)
         if pairs.isEmpty():
+            discard(pairs)
             continue
         found, before = _verified(pairs, classes, link), roots
         if before is not None:
@@ -350,6 +353,7 @@ def near_duplicates(docs: DataFrame, link: Link = Link()) -> DataFrame:
     roots = linked_components(ordered, link)
     discard(ordered)
     rooted = materialize(classes.join(roots, F.col("key") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "key").alias("root")))
+    discard(roots)
     named = rooted.groupBy("root").agg(F.min("first").alias("component"))
     out = signed.join(rooted.join(named, "root").select("cls", "component"), "cls", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -224,10 +224,11 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
 
     asked = materialize(rows.groupBy("grp").applyInArrow(ask, "block int, grp int, a binary, b binary, c binary, d binary"))
     release(spark)
-    met = asked.groupBy("block").cogroup(gram_log10(asked, blocks).groupBy("block"))
-    replies = materialize(met.applyInArrow(meet, "grp int, a binary, b binary, c binary, d binary, tokens long, kinds long"))
-    discard(asked)
-    del asked, met
+    judged = gram_log10(asked, blocks)
+    met = asked.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(meet, "grp int, a binary, b binary, c binary, d binary, tokens long, kinds long")
+    replies = materialize(met)
+    discard(met)
+    del asked, judged, met
     release(spark)
     sums = replies.where("grp = -1").agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("v")).first()
     total, kinds = int(sums.n), int(sums.v)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import block_count, deal, text_bytes
-from .common import WordHash, materialize, mix, release, ship, slices, texts, tidy, utf8
+from .common import WordHash, discard, materialize, mix, release, ship, slices, texts, tidy, utf8
 from .ngram_join import likely
 
 ship(__name__)
@@ -255,6 +255,7 @@ def dedup_substrings(docs: DataFrame, width: int = 20, digest: bool = False) ->
     # chunks count rows: in this order a task that is run again after a lost executor makes the same ones
     near = near.select("at", "text", "tag", "places").sortWithinPartitions("at", "tag")
     later = materialize(repeats(near, width, blocks))
+    discard(near)
     release(docs.sparkSession)
     name = "kept_sha256" if digest else "kept"
     full = _rows(docs).join(later, ["at", "tag"], "left").select("doc_id", "text", "places")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, mix, ship
+from .common import discard, materialize, mix, ship
 
 ship(__name__)
 
@@ -165,7 +165,9 @@ def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
         shared = pages.sparkSession.sparkContext.broadcast(build_cascade(mine))
         judged = judged.mapInArrow(_members(shared, shard, shards), judged.schema)
         if shard + 1 < shards:
-            judged = materialize(judged)  # one shard's filters in memory at a time
+            before, judged = judged, materialize(judged)  # one shard's filters in memory at a time
+            discard(before)
+    discard(universe)
     other = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(*[F.col(f"own.`{c}`").alias(c) for c in kept], "host", "path", name.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
 
