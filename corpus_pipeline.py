@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import bpe, decontaminate, ngram_join, pii, quality
-from recordloom.llm.common import fold, materialize, table
+from recordloom.llm.common import discard, fold, materialize, table
 
 #: Near duplicates: five words, Jaccard similarity 0.8 or more.
 NEAR = ngram_join.Link(5, 80, 100)
@@ -109,10 +109,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``.  The tables between them go once the next one is written."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = materialize(docs)
+            lazy, docs = docs, materialize(docs)
+            # the tables of this stage and the rows it began with; the input itself stays
+            discard(lazy)
+            discard(before)
     return docs
