@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, language, ngram_join, pii, ppm, quality, substrings, syncmers, urlfilter
+from . import bpe, decontaminate, dialogue, infill, language, media, ngram_join, pii, ppm, quality, substrings, syncmers, urlfilter
 from .common import fold, table
 
 
@@ -106,6 +106,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into lines, its middle moved to the end, and rebuilt from that."""
+    return infill.report(table(spark, sf_dir, "documents"))
+
+
+def op12_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a GIF picture, read back, with its colour histogram."""
+    return media.report(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation, after faults were dealt out among its rows."""
+    return dialogue.repair(dialogue.damage(table(spark, sf_dir, "conversations"))).conversations
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_substring_dedup": op2_substring_dedup,
@@ -117,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_ppm_score": op9_ppm_score,
     "op10_language_id": op10_language_id,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_gif_media": op12_gif_media,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 OP1_SQL = rf"""
@@ -154,4 +172,59 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN places ON places.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_ngram_jaccard": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL}
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:least(x, y)], '') AS pre, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(u[greatest(x, y) + 1:], '') AS suf FROM k)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def _edit(way: str, cost: str, edit: str, line: str | None = None) -> str:
+    """A way (cost, edits, lines) with one more edit; null stays null."""
+    lines = f"list_append({way}.l, {line})" if line else f"{way}.l"
+    return f"CASE WHEN {way} IS NOT NULL THEN struct_pack(c := {way}.c + {cost}, a := {way}.a || '{edit}', l := {lines}) END"
+
+
+def _least(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _stays(before: str, initial: str, role: str) -> list[str]:
+    """Ways by which a row follows the state ``before``: kept with the right initial, or with another role."""
+    keep = f"CASE WHEN left(role, 1) = '{initial}' AND f NOT IN (1, 2) THEN {_edit(before, 'extra', 'K', chr(39).join(['role || ', ':', ' || text']))} END"
+    return [keep] + ([f"CASE WHEN f NOT IN (1, 2) THEN {_edit(before, '1 + extra', 'R', f'{chr(39)}{role}:{chr(39)} || text')} END"] if role else [])
+
+
+#: crc32 bit by bit; then the four states' cheapest ways row after row (n: nothing, s: system, u: user, a: assistant).
+OP13_SQL = rf"""
+WITH RECURSIVE fated AS MATERIALIZED (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::UBIGINT)),
+      lambda acc, x: list_reduce(list_concat([xor(acc, x)], [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda b, z: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384::UBIGINT) ELSE b >> 1 END)), 4294967295::UBIGINT) % 20 AS fate
+  FROM conversations),
+said AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM fated WHERE fate <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM said),
+r AS MATERIALIZED (
+  SELECT *, CASE f WHEN 3 THEN 5 ELSE 0 END AS extra, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                   WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS f FROM placed)),
+ways(conv_id, i, n, s, u, a) AS (
+  SELECT conv_id, 0::BIGINT, struct_pack(c := 0::BIGINT, a := '', l := []::VARCHAR[]), NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]), NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]), NULL::STRUCT(c BIGINT, a VARCHAR, l VARCHAR[]) FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {_edit("n", "2", "D")}, {_least(_edit("s", "2", "D"), *_stays("n", "s", ""))}, {_least(_edit("u3", "2", "D"), *_stays("n", "u", "user"), *_stays("s", "u", "user"), *_stays("a2", "u", "user"))}, {_least(_edit("a2", "2", "D"), *_stays("u3", "a", "assistant"))}
+  FROM (SELECT *, {_least("u2", _edit("a2", "5", "I", "'user:'"))} AS u3 FROM (SELECT *, {_least("a", _edit("u2", "5", "I", "'assistant:'"))} AS a2 FROM (
+    SELECT w.conv_id, r.i, r.role, r.text, r.f, r.extra, w.n, w.s, w.a, {_least("w.u", _edit("w.n", "5", "I", "'user:'"), _edit("w.s", "5", "I", "'user:'"), _edit("w.a", "5", "I", "'user:'"))} AS u2
+    FROM ways w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1)))),
+best AS (
+  SELECT conv_id, {_least("n", "a", _edit("u", "5", "I", "'assistant:'"), "CASE WHEN s IS NOT NULL THEN struct_pack(c := s.c + 10, a := s.a || 'II', l := s.l || ['user:', 'assistant:']) END")} AS b
+  FROM ways w WHERE i = (SELECT count(*) FROM r WHERE r.conv_id IS NOT DISTINCT FROM w.conv_id)),
+sums AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (f = 1) AS blank, count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY 1)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, b.c::BIGINT AS cost, b.a AS audit, sha256(array_to_string(b.l, chr(10))) AS repaired_sha256
+FROM (SELECT conv_id, unnest([b]) AS b FROM best) b LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op1_ngram_jaccard": OP1_SQL, "op2_substring_dedup": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_decontamination": OP6_SQL, "op11_fill_in_middle": OP11_SQL, "op13_conversation_repair": OP13_SQL}
