@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.similarity import similarity
 from .dedupe import first_by_key
+from .fuzzy import candidate_pairs
 
 #: (key column, label), best first.
 STAGES: tuple[tuple[str, str], ...] = (
@@ -55,13 +56,12 @@ def _payload(right: DataFrame, name: str, payload: Sequence[str], out: str) -> D
     return right.select(F.col("_ord").alias("_right_ord"), whole.alias(out))
 
 
-def cascade(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str], stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
-    """``left`` with the hit of the first stage that has one.
+def cascade_keys(left: DataFrame, right: DataFrame, name: str, stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
+    """``_ord`` of each left row that an exact stage matches, its first such ``stage`` and the ``_right_ord`` that it hits.
 
     Stages do not depend on each other, so both sides become (stage, key) rows and meet in
-    one equi-join; the least stage with a named hit wins.  Only keys and order numbers travel;
-    the payload joins the winners.  Keys that many rows share are left to the adaptive skew
-    join.  Left rows are told apart by ``_ord``.
+    one equi-join; the least stage with a named hit wins.  Only keys and order numbers travel.
+    Keys that many rows share are left to the adaptive skew join.  Left rows are told apart by ``_ord``.
     """
     order = F.array(*[F.struct(F.lit(i).alias("stage"), F.col(k).alias("key")) for i, (k, _) in enumerate(stages)])
     spread_left = left.select("_ord", F.explode(order).alias("s")).select("_ord", "s.stage", "s.key").where("key IS NOT NULL")
@@ -69,10 +69,18 @@ def cascade(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str]
     # the first row of a key decides, and only then its name is looked at
     first = spread_right.groupBy("stage", "key").agg(F.min("first").alias("f")).where("f.named").select("stage", "key", F.col("f._ord").alias("_right_ord"))
     best = spread_left.join(first, ["stage", "key"]).groupBy("_ord").agg(F.min(F.struct("stage", "_right_ord")).alias("b"))
-    joined = left.join(best, "_ord", "left").withColumn("_right_ord", F.col("b._right_ord")).join(_payload(right, name, payload, "hit"), "_right_ord", "left")
-    label = F.element_at(F.array(*[F.lit(t) for _, t in stages]), F.col("b.stage") + 1)
-    found = F.col("b").isNotNull()
-    return joined.withColumns({"match_type": F.when(found, label), "match_score": F.when(found, F.lit(100.0))}).drop("b", "_right_ord")
+    return best.select("_ord", "b.stage", "b._right_ord")
+
+
+def _label(stages: Sequence[tuple[str, str]]) -> Column:
+    return F.element_at(F.array(*[F.lit(t) for _, t in stages]), F.col("stage") + 1)
+
+
+def cascade(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str], stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
+    """``left`` with the hit of the first stage that has one; the payload joins the winners."""
+    joined = left.join(cascade_keys(left, right, name, stages), "_ord", "left").join(_payload(right, name, payload, "hit"), "_right_ord", "left")
+    found = F.col("stage").isNotNull()
+    return joined.withColumns({"match_type": F.when(found, _label(stages)), "match_score": F.when(found, F.lit(100.0))}).drop("stage", "_right_ord")
 
 
 @dataclass(frozen=True)
@@ -85,84 +93,6 @@ class Thresholds:
         return min(self.auto, self.review)
 
 
-def _edits(m: Column, n: Column, cutoff: int) -> Column:
-    """Most insertions and deletions that a pair of these lengths may need; as even or odd as ``m + n``."""
-    most = F.floor((m + n) * (100 - cutoff) / 100.0 + 1e-6).cast("int")
-    return most - F.pmod(most - m - n, F.lit(2))
-
-
-#: Bits of a signature: two words.
-BITS = 128
-
-
-def _word(bits: str, which: int) -> Column:
-    """One word of 64 bits with those set that a column lists."""
-    one = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(k, F.lit(64)).cast("int"))
-    # never null, which keeps the optimizer from filtering on it, that is from computing it twice
-    return F.coalesce(F.aggregate(F.filter(bits, lambda k: F.floor(k / 64) == which), F.lit(0).cast("bigint"), lambda acc, k: acc.bitwiseOR(one(k))), F.lit(0).cast("bigint"))
-
-
-def _with_signatures(rows: DataFrame, text: str, to: str) -> DataFrame:
-    """``rows`` with a struct ``to``: two words of bits of the text's characters, two of its pairs of characters.
-
-    The second of two equal parts counts as another part.  Parts that differ may share a bit,
-    so two signatures differ in no more bits than the texts differ in parts.  Each step is a
-    column of its own, so that nothing is computed again for each element.
-    """
-    letters = F.array_remove(F.split(text, ""), "")
-    pairs = F.when(F.char_length(text) > 1, F.transform(F.sequence(F.lit(1), F.char_length(text) - 1), lambda i: F.substring(F.col(text), i, F.lit(2)))).otherwise(F.array().cast("array<string>"))
-    rows = rows.withColumns({"_l": F.sort_array(letters), "_p": F.sort_array(pairs)})
-    bits = lambda c: F.transform(c, lambda x, i: F.pmod(F.xxhash64(x, i + 1 - F.array_position(c, x)), F.lit(BITS)).cast("int"))
-    rows = rows.withColumns({"_lb": bits("_l"), "_pb": bits("_p")}).drop("_l", "_p")
-    return rows.withColumn(to, F.struct(*[_word(f"_{c}b", k).alias(f"{c}{k}") for c in "lp" for k in (0, 1)])).drop("_lb", "_pb")
-
-
-def _differing(a: str, b: str, of: str) -> Column:
-    return F.bit_count(F.col(f"{a}.{of}0").bitwiseXOR(F.col(f"{b}.{of}0"))) + F.bit_count(F.col(f"{a}.{of}1").bitwiseXOR(F.col(f"{b}.{of}1")))
-
-
-def candidate_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
-    """Pairs (a, b) of distinct texts that can score ``cutoff`` or more; none that can is missing.
-
-    For every length of a partner a right text is cut into one piece more than the edits that
-    the pair may need, so the partner holds at least one piece unchanged, near its place
-    (pigeonhole).  Pieces of right texts meet equal stretches of left texts in an equi-join on
-    a hash of lengths, piece and place.  What meets must also pass two bounds inside the join,
-    on signatures: an edit changes one character of the text and at most three pairs of
-    characters.  So pairs that share a frequent piece by chance are never rows.
-    """
-    if not 50 < cutoff <= 100:
-        raise ValueError("the cutoff must lie above 50, up to 100")
-    share = (100 - cutoff) / 100.0
-    most = lambda n: F.floor(n * (1 + share) / (1 - share) + 1e-6).cast("int")  # noqa: E731  longest partner
-    least = lambda n: F.ceil(n * (1 - share) / (1 + share) - 1e-6).cast("int")
-    pieces = lambda m, n: F.least(_edits(m, n, cutoff) + 1, n)
-    begin = lambda i: F.floor(F.col("n") * i / F.col("p")).cast("int")  # noqa: E731  where piece i begins
-    key = lambda piece: F.xxhash64("n", "p", "i", piece)
-    start, end = begin(F.col("i")), begin(F.col("i") + 1)
-    numbers = F.explode(F.sequence(F.lit(0), F.col("p") - 1)).alias("i")
-
-    # lengths are aggregates: conditions on them stay above the exchange and do not repeat what made the texts
-    size = lambda rows, text, to: rows.groupBy(text).agg(F.max(F.char_length(text)).alias(to)).where(F.col(to) > 0)
-    b = _with_signatures(size(right, "b", "n"), "b", "sb")
-    parts = F.array_distinct(F.transform(F.sequence(least(F.col("n")), most(F.col("n"))), lambda m: pieces(m, F.col("n"))))
-    shown = b.select("b", "sb", "n", F.explode(parts).alias("p")).select("*", numbers)
-    shown = shown.select("b", "sb", key(F.substring(F.col("b"), start + 1, end - start)).alias("key"))
-
-    lengths = b.select("n").distinct()
-    a = _with_signatures(size(left, "a", "m"), "a", "sa")
-    probes = a.select("a", "sa", "m", F.explode(F.sequence(least(F.col("m")), most(F.col("m")))).alias("n")).join(F.broadcast(lengths), "n")
-    probes = probes.withColumns({"d": _edits(F.col("m"), F.col("n"), cutoff), "p": pieces(F.col("m"), F.col("n"))}).where("d >= 0").select("*", numbers)
-    # places shift by the insertions less the deletions before the piece
-    low = F.greatest(start - F.floor((F.col("d") - (F.col("m") - F.col("n"))) / 2).cast("int"), F.lit(0))
-    high = F.least(start + F.floor((F.col("d") + (F.col("m") - F.col("n"))) / 2).cast("int"), F.col("m") - (end - start))
-    probes = probes.withColumns({"low": low, "high": high, "start": start, "size": end - start}).where("low <= high")
-    stretches = F.array_distinct(F.transform(F.sequence("low", "high"), lambda at: F.substring(F.col("a"), at + 1, F.col("size"))))
-    probes = probes.select("a", "sa", "d", "n", "p", "i", F.explode(stretches).alias("piece")).select("a", "sa", "d", key(F.col("piece")).alias("key"))
-    near = (_differing("sa", "sb", "l") <= F.col("d")) & (_differing("sa", "sb", "p") <= 3 * F.col("d"))
-    return probes.join(shown, (probes["key"] == shown["key"]) & near).select("a", "b").distinct()
-
-
 def best_fuzzy(left_keys: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     """For each distinct text ``key``, the best ``candidate`` of the right side and its score, if that reaches ``cutoff``.
 
@@ -180,18 +110,18 @@ def routed(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str],
     """``left`` with one ``status`` a row - matched, review or unmatched - and its hit, label and score.
 
     The exact cascade goes first; one fuzzy pass over distinct keys of what is left decides
-    the rest.
+    the rest.  Both give order numbers of the right side, and its payload is joined once at the end.
     """
-    exact = cascade(left, right, name, payload)
-    rest = exact.where("hit IS NULL").select(F.col("key_full").alias("key"))
-    best = best_fuzzy(rest, right.select(F.col("key_full").alias("key"), "_ord"), limits.cutoff)
-    found = best.join(_payload(right, name, payload, "near"), "_right_ord").select("key", "candidate", "score", "near")
-    joined = exact.join(found, (F.col("key_full") == F.col("key")) & F.col("hit").isNull(), "left").drop("key")
-    auto, review = F.col("score") >= limits.auto, F.col("score") >= limits.review
-    return joined.withColumns({
-        "status": F.when(F.col("hit").isNotNull() | auto, "matched").when(review, "review").otherwise("unmatched"),
-        "match_type": F.coalesce("match_type", F.when(auto, F.lit("fuzzy_auto"))),
-        "match_score": F.coalesce("match_score", F.when(auto, F.col("score"))),
-        "candidate_score": F.when(F.col("hit").isNull() & ~F.coalesce(auto, F.lit(False)) & review, F.col("score")),
-        "hit": F.coalesce("hit", F.when(auto | review, F.col("near"))),
-    }).drop("near", "score")
+    exact = cascade_keys(left, right, name)
+    rest = left.join(exact, "_ord", "left_anti").select(F.col("key_full").alias("key"))
+    near = best_fuzzy(rest, right.select(F.col("key_full").alias("key"), "_ord"), limits.cutoff).withColumnRenamed("_right_ord", "_near_ord")
+    joined = left.join(exact, "_ord", "left").join(near, (F.col("key_full") == F.col("key")) & F.col("stage").isNull(), "left").drop("key")
+    found, auto, review = F.col("stage").isNotNull(), F.col("score") >= limits.auto, F.col("score") >= limits.review
+    joined = joined.withColumns({
+        "status": F.when(found | auto, "matched").when(review, "review").otherwise("unmatched"),
+        "match_type": F.when(found, _label(STAGES)).when(auto, "fuzzy_auto"),
+        "match_score": F.when(found, F.lit(100.0)).when(auto, F.col("score")),
+        "candidate_score": F.when(~found & ~F.coalesce(auto, F.lit(False)) & review, F.col("score")),
+        "_right_ord": F.when(found, F.col("_right_ord")).when(auto | review, F.col("_near_ord")),
+    }).drop("stage", "score", "_near_ord")
+    return joined.join(_payload(right, name, payload, "hit"), "_right_ord", "left").drop("_right_ord")

@@ -22,15 +22,16 @@ class Reconciliation:
     graph: DataFrame
     summary: DataFrame
 
-    #: What all five filter, kept in memory and on disk until ``close``.
-    routed: DataFrame
+    #: What all five filter, and the keyed sides that it is made of, kept in memory and on disk until ``close``.
+    kept: tuple[DataFrame, ...]
 
     def items(self):
-        return ((k, v) for k, v in self.__dict__.items() if k != "routed")
+        return ((k, v) for k, v in self.__dict__.items() if k != "kept")
 
     def close(self) -> None:
-        """Release the routed frame; the tables can still be read, at the cost of matching again."""
-        self.routed.unpersist()
+        """Release what is kept; the tables can still be read, at the cost of matching again."""
+        for rows in self.kept:
+            rows.unpersist()
 
     def __enter__(self) -> Reconciliation:
         return self
@@ -72,13 +73,13 @@ def bronze_from_payloads(pages: DataFrame, source: str, ingest_date: str, expect
 
 def reconcile(left: DataFrame, right: DataFrame, limits: match.Thresholds = match.Thresholds(), keep_lineage: bool = False, fold: bool = True, inputs: dict[str, str] | None = None) -> Reconciliation:
     """Five tables from two registries with ``_ord``; the routed frame is persisted, as all five filter it."""
-    keyed = match.with_keys(left, "std_name_en", "cas_no", fold)
-    other = match.with_keys(right, "inci_name", "cas_no", fold)
+    keyed = match.with_keys(left, "std_name_en", "cas_no", fold).persist()
+    other = match.with_keys(right, "inci_name", "cas_no", fold).persist()
     rows = match.routed(keyed, other, "inci_name", project.PAYLOAD, limits).persist()
     matched = project.matched(rows, keep_lineage=keep_lineage)
     return Reconciliation(
         matched, project.review(rows, keep_lineage=keep_lineage), project.unmatched(rows, keep_lineage=keep_lineage), project.graph_map(matched),
-        project.summary(rows, right, auto=limits.auto, least=limits.review, inputs=inputs), rows,
+        project.summary(rows, right, auto=limits.auto, least=limits.review, inputs=inputs), (rows, keyed, other),
     )
 
 

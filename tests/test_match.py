@@ -1,3 +1,5 @@
+import math
+import os
 import random
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import similarity as sim
 from recordloom.functions.similarity import common_lengths, indel_similarity, similarity, similarity_native
-from recordloom.operators import match, project
+from recordloom.operators import fuzzy, match, project
 from recordloom.queries import left_registry, right_registry
 
 
@@ -63,17 +65,64 @@ def test_blocking_loses_no_pair(spark, cutoff):
         return t
 
     left, right = sorted({edit(t) for t in base} | {edit(t) for t in base}), sorted(set(base))
-    got = {(r.a, r.b) for r in match.candidate_pairs(spark.createDataFrame([(x,) for x in left], "a string"), spark.createDataFrame([(x,) for x in right], "b string"), cutoff).collect()}
+    got = {(r.a, r.b) for r in fuzzy.candidate_pairs(spark.createDataFrame([(x,) for x in left], "a string"), spark.createDataFrame([(x,) for x in right], "b string"), cutoff).collect()}
     want = {(a, b) for a in left for b in right if indel_similarity(a, b) >= cutoff}
     assert want and want <= got
 
 
-def test_blocking_keeps_few_pairs(spark, sf_dir):
-    """Names of a small vocabulary share frequent pieces; hardly any such pair becomes a row."""
+@pytest.mark.parametrize("cutoff", [85, 90])
+def test_blocking_of_long_and_odd_texts(spark, cutoff):
+    """Texts of many edits, of characters that only one side has, and of characters beyond 16 bits; by projections and by pieces."""
+    rng = random.Random(cutoff)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789 -\\]^[é가나😀😁"
+    base = ["".join(rng.choices(letters, k=rng.choice([1, 2, 9, 40, 90, 180]))) for _ in range(50)] + ["😀" * 20, "😀" * 19 + "😁", "a" * 30]
+
+    def edit(t: str) -> str:
+        for _ in range(rng.randint(0, max(1, len(t) // 9))):
+            k = rng.randint(0, len(t))
+            t = t[:k] + rng.choice(letters + "Ω漢") + t[k + rng.randint(0, 1) :]
+        return t
+
+    left, right = sorted({edit(t) for t in base for _ in range(3)}), sorted(set(base))
+    sides = spark.createDataFrame([(x,) for x in left], "a string"), spark.createDataFrame([(x,) for x in right], "b string")
+    got = {(r.a, r.b) for r in fuzzy.candidate_pairs(*sides, cutoff).collect()}
+    want = {(a, b) for a in left for b in right if indel_similarity(a, b) >= cutoff}
+    assert len(want) > 60 and want <= got
+    assert fuzzy.candidate_pairs(sides[0].where("false"), sides[1], cutoff).count() == 0
+    assert fuzzy.candidate_pairs(sides[0], sides[1].where("false"), cutoff).count() == 0
+
+
+def test_characters_are_dealt_by_what_they_tell(spark):
+    rows = spark.createDataFrame([("xa1",), ("xb1",), ("xc2",), ("xaa2",)], "b string")
+    letters, longest = fuzzy.survey(rows, "b")
+    assert longest == 4 and [c for c, _ in letters] == ["a", "1", "2", "b", "c"]  # x tells nothing
+    assert letters[0][1] == pytest.approx(1.5 * math.log(2)) and letters[1][1] == pytest.approx(math.log(2))
+    assert fuzzy.deal(letters, 2) == ["ab", "12c"]
+
+
+def registries(spark, sf_dir):
     key = "key_full"
     left = match.with_keys(left_registry(spark, sf_dir), "std_name_en", "cas_no").select(F.col(key).alias("a")).distinct()
     right = match.with_keys(right_registry(spark, sf_dir), "inci_name", "cas_no").select(F.col(key).alias("b")).distinct()
-    assert 100 * match.candidate_pairs(left, right, 90).count() <= 2 * left.count() * right.count()
+    return left, right
+
+
+def test_few_pairs_are_compared(spark):
+    """Names of a small vocabulary: what is compared inside the join stays below 2 % of all pairs, and no key has 1 % of it."""
+    shares = []
+    for sf in os.environ.get("TEST_SIZES", "0.01").split(","):
+        left, right = registries(spark, f"/root/testdata/sf{sf}")
+        total, hottest = fuzzy.comparisons(left, right, 90).agg(F.sum("pairs"), F.max("pairs")).first()
+        shares.append(total / (left.count() * right.count()))
+        print(sf, "compared", total, f"{shares[-1]:.3%}", "hottest key", hottest)
+        assert shares[-1] < 0.02 and hottest < 0.01 * total
+    assert shares == sorted(shares, reverse=True)
+
+
+def test_blocking_keeps_few_pairs(spark, sf_dir):
+    """Hardly any pair that only shares a key becomes a row."""
+    left, right = registries(spark, sf_dir)
+    assert 100 * fuzzy.candidate_pairs(left, right, 90).count() <= 2 * left.count() * right.count()
 
 
 def test_fuzzy_ties_go_to_the_first_candidate(spark):
