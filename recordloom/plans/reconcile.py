@@ -12,6 +12,8 @@ from ..operators import match, project
 from ..operators.dedupe import first_by_key
 from ..operators.validate import gate, validate
 from ..sources import html, payload, tables
+from ..sources.store import landed
+from .publish import counted, publish
 
 
 @dataclass(frozen=True)
@@ -42,10 +44,14 @@ class Reconciliation:
 
 def _landed(rows: DataFrame, folder: str | None) -> DataFrame:
     """``rows``, written to a folder and read from there, if one is given: what made them then runs once."""
-    if folder is None:
-        return rows
-    rows.write.mode("overwrite").parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    return rows if folder is None else landed(rows, folder)
+
+
+def _cleaned(rows: DataFrame, source: str, ingest_date: str) -> DataFrame:
+    """First row of each code, blank text null, with lineage."""
+    ordered = rows.withColumn("_ord", F.struct("page_id", "row"))
+    first = first_by_key(ordered, "ingredient_code").select(*[clean(F.col(f)).alias(f) for f in html.FIELDS])
+    return project.with_lineage(first, source, ingest_date)
 
 
 def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected: int | None = None, strict: bool = True, landing: str | None = None) -> DataFrame:
@@ -55,9 +61,13 @@ def bronze_from_pages(pages: DataFrame, source: str, ingest_date: str, expected:
     """
     rows = _landed(html.table_rows(pages, strict=True), landing)
     gate(validate(rows, expected if expected is not None else -1, strict and expected is not None))
-    ordered = rows.withColumn("_ord", F.struct("page_id", "row"))
-    first = first_by_key(ordered, "ingredient_code").select(*[clean(F.col(f)).alias(f) for f in html.FIELDS])
-    return project.with_lineage(first, source, ingest_date)
+    return _cleaned(rows, source, ingest_date)
+
+
+def publish_pages(pages: DataFrame, path: str, source: str, ingest_date: str, expected: int | None = None, strict: bool = True) -> int:
+    """Publish the rows of HTML result pages under their date, in one pass; the rows on the pages are counted, before dedupe."""
+    raw = counted(html.table_rows(pages, strict=True))
+    return publish(_cleaned(raw[0], source, ingest_date), path, ingest_date, expected, strict, raw=raw)
 
 
 #: Columns that a result table must have.
@@ -71,6 +81,11 @@ def bronze_from_payloads(pages: DataFrame, source: str, ingest_date: str, expect
     return rows
 
 
+def publish_payloads(pages: DataFrame, path: str, source: str, ingest_date: str, expected: int | None = None, strict: bool = True) -> int:
+    """Publish the flattened results of JSON pages under their date, in one pass."""
+    return publish(payload.bronze(pages, source, ingest_date), path, ingest_date, expected, strict, BRONZE_REQUIRED)
+
+
 def reconcile(left: DataFrame, right: DataFrame, limits: match.Thresholds = match.Thresholds(), keep_lineage: bool = False, fold: bool = True, inputs: dict[str, str] | None = None) -> Reconciliation:
     """Five tables from two registries with ``_ord``; the routed frame is persisted, as all five filter it."""
     keyed = match.with_keys(left, "std_name_en", "cas_no", fold).persist()
@@ -83,12 +98,19 @@ def reconcile(left: DataFrame, right: DataFrame, limits: match.Thresholds = matc
     )
 
 
-def run_and_save(spark: SparkSession, left_path: str, right_path: str, out: str, limits: match.Thresholds = match.Thresholds()) -> dict[str, str]:
-    """Read two CSV registries, reconcile them and write the five tables; name to path."""
-    left = tables.with_order(tables.load_left(tables.read_csv(spark, left_path)))
-    right = tables.with_order(tables.load_right(tables.read_csv(spark, right_path)))
+def run_and_save(
+    spark: SparkSession, left_path: str, right_path: str, out: str, limits: match.Thresholds = match.Thresholds(), mode: str = "local", date: str | None = None
+) -> dict[str, str]:
+    """Read two CSV registries, reconcile them and write the five tables; name to path.
+
+    The paths are files (``local``), or folders of a store whose newest CSV is taken, of a date if one is given.
+    """
+    found = {side: tables.located(spark, mode, path, date) for side, path in (("left", left_path), ("right", right_path))}
+    left = tables.with_order(tables.load_left(tables.read_csv(spark, found["left"].path)))
+    right = tables.with_order(tables.load_right(tables.read_csv(spark, found["right"].path)))
+    inputs = {f"{side}_{what}": value for side, at in found.items() for what, value in (("source_mode", at.mode), ("input_path", at.path), ("store_key", at.key))}
     paths = {}
-    with reconcile(left, right, limits, inputs={"left_input_path": left_path, "right_input_path": right_path}) as result:
+    with reconcile(left, right, limits, inputs=inputs) as result:
         for name, rows in result.items():
             paths[name] = f"{out}/{name}"
             tables.write_csv(rows, paths[name], render=name != "summary")

@@ -6,7 +6,6 @@ same parts in ten ways, each meant for another stage of the match.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +16,12 @@ from .functions.similarity import similarity
 from .functions.values import count_items, first_or_none, flag, join_list, run_date
 from .operators import match, project
 from .operators.dedupe import first_by_key
-from .operators.validate import count_verdict
-from .plans import crawl, prefixes
-from .plans.reconcile import Reconciliation, reconcile
+from .operators.validate import ValidationError, count_verdict
+from .plans import crawl, frontier, prefixes, publish
+from .plans.reconcile import Reconciliation, publish_pages, publish_payloads, reconcile, run_and_save
 from .sources import fetch, html, payload, tables
+from .sources.counts import CountLog
+from .sources.store import landed, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -293,8 +294,12 @@ def fuzzy_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed(spark, sf_dir).select("ingredient_code", "status", "match_type", "candidate_score")
 
 
+#: Where the summary says its inputs come from.
+INPUTS = {"left_source_mode": "local", "left_input_path": "part", "left_store_key": "", "right_source_mode": "store", "right_input_path": "in/part", "right_store_key": "part"}
+
+
 def silver(spark: SparkSession, sf_dir: str) -> Reconciliation:
-    return reconcile(left_registry(spark, sf_dir), right_registry(spark, sf_dir))
+    return reconcile(left_registry(spark, sf_dir), right_registry(spark, sf_dir), inputs=INPUTS)
 
 
 GRAPH_COLUMNS = """x.ingredient_code, x.std_name_ko, x.std_name_en, x.old_name_ko, CASE WHEN x.o IS NOT NULL THEN x.cas_no END AS left_cas_no, r.inci_name AS canonical_inci_name, r.substance_id AS right_substance_id,
@@ -323,12 +328,28 @@ def graph_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).graph
 
 
-@query(f"""{FUZZY} SELECT count(*) AS left_total, (SELECT count(*) FROM r) AS right_total, count(*) FILTER (route = 'matched') AS matched_final_total, count(*) FILTER (route = 'unmatched') AS unmatched_left_total,
+@query(f"""{FUZZY} SELECT {", ".join(f"'{v}' AS {k}" for k, v in INPUTS.items())}, count(*) AS left_total, (SELECT count(*) FROM r) AS right_total, count(*) FILTER (route = 'matched') AS matched_final_total, count(*) FILTER (route = 'unmatched') AS unmatched_left_total,
   count(*) FILTER (route = 'review') AS fuzzy_review_total, round(count(*) FILTER (route = 'matched') / nullif(count(*), 0)::DOUBLE * 100, 2) AS match_rate_vs_left, 95::INT AS fuzzy_auto_threshold, 90::INT AS fuzzy_review_threshold FROM routed""")
 def mapping_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver(spark, sf_dir).summary
 
 
+@query(f"""{FUZZY} SELECT unnest(['matched', 'review', 'unmatched', 'graph', 'summary']) AS name, unnest([count(*) FILTER (route = 'matched'), count(*) FILTER (route = 'review'), count(*) FILTER (route = 'unmatched'), count(*) FILTER (route = 'matched'), 1]) AS n,
+  unnest([sum(o) FILTER (route = 'matched' AND o IS NOT NULL) + sum(fo) FILTER (route = 'matched' AND o IS NULL), sum(fo) FILTER (route = 'review'), 0, sum(o) FILTER (route = 'matched' AND o IS NOT NULL) + sum(fo) FILTER (route = 'matched' AND o IS NULL), 0])::BIGINT AS substances FROM routed""")
+def saved_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both registries as CSV files, reconciled and saved; rows of each table read again, and the sum of the right side's numbers in it."""
+    folder = scratch(spark)
+    for name, rows in (("left", left_registry(spark, sf_dir)), ("right", right_registry(spark, sf_dir))):
+        tables.write_csv(rows.orderBy("_ord").drop("_ord"), f"{folder}/{name}", single=True, render=False)
+    out = None
+    for name, path in run_and_save(spark, f"{folder}/left", f"{folder}/right", f"{folder}/out", mode="store").items():
+        rows = tables.read_csv(spark, path)
+        number = F.regexp_extract("right_substance_id", "[0-9]+", 0).cast("bigint") if "right_substance_id" in rows.columns else F.lit(0).cast("bigint")
+        counted = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(number), F.lit(0)).alias("substances")).select(F.lit(name).alias("name"), "n", "substances")
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 def _rendered_sql(column: str) -> str:
     return f"CASE WHEN lower(trim({column}::VARCHAR)) NOT IN ({', '.join(repr(t) for t in tx.NULL_LIKE)}) THEN trim({column}::VARCHAR) END"
 
@@ -375,7 +396,49 @@ SELECT prefix, n, CASE WHEN n <= cap THEN 'final' ELSE 'oversized' END AS status
 @query(PLAN)
 def prefix_split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     limit = table(spark, sf_dir, "documents").count() // 10
-    return prefixes.split_plan(document_prefixes(spark, sf_dir), limit)
+    return prefixes.split_plan(landed(document_prefixes(spark, sf_dir)), limit)  # read twice
+
+
+def counting_service(spark: SparkSession, sf_dir: str) -> frontier.Ask:
+    """Answers as a search service would: for each prefix that is asked the documents that have a word with it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.lower("text"), r"[^a-z0-9]+")).alias("tokens"))
+    heads = F.filter(F.array_distinct(F.transform("tokens", lambda t: F.left(t, F.lit(prefixes.DEPTH + 1)))), lambda t: t != "")
+    index = landed(docs.select("doc_id", heads.alias("heads")))
+
+    def ask(wanted: DataFrame) -> DataFrame:
+        sizes = [r.k for r in wanted.select(F.char_length("prefix").alias("k")).distinct().collect()]  # lengths of prefixes: seven at most
+        cut = F.array_distinct(F.flatten(F.array(*[F.transform(F.filter("heads", lambda t: F.char_length(t) >= k), lambda t: F.left(t, F.lit(k))) for k in sizes])))
+        found = index.select("doc_id", F.explode(cut).alias("prefix")).join(wanted, "prefix", "left_semi").groupBy("prefix").agg(F.count("*").alias("n"))
+        return wanted.join(found, "prefix", "left")
+
+    return ask
+
+
+@query(PLAN)
+def remote_split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same plan from a service that is asked for open prefixes only, level by level."""
+    limit = table(spark, sf_dir, "documents").count() // 10
+    return frontier.split_plan_by_asking(counting_service(spark, sf_dir), CountLog(spark, scratch(spark)), limit, batch=5000)
+
+
+@query(f"""WITH c AS MATERIALIZED ({PREFIX_COUNTS}), o AS (SELECT length(prefix) AS level, count(*) AS over FROM c WHERE n > (SELECT count(*) FROM documents) // 10 GROUP BY 1)
+SELECT k AS level, CASE WHEN k = 1 THEN 36 ELSE 36 * up.over END::BIGINT AS asked, coalesce(o.over, 0) AS over FROM (SELECT unnest(range(1, 8)) AS k) LEFT JOIN o ON o.level = k LEFT JOIN o up ON up.level = k - 1 WHERE k = 1 OR up.over > 0""")
+def split_plan_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many prefixes a plan asks for, by length."""
+    limit, log = table(spark, sf_dir, "documents").count() // 10, CountLog(spark, scratch(spark))
+    frontier.ask_frontier(counting_service(spark, sf_dir), log, limit, batch=5000)
+    return frontier.requests_by_level(frontier.recorded(log), limit)
+
+
+@query("SELECT p_partkey::VARCHAR AS key, CASE WHEN p_partkey % 3 = 0 THEN p_partkey * 10 ELSE p_size END::BIGINT AS n FROM part")
+def count_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of counts that are partly counted again, compacted; the last count of each key."""
+    log, rows = CountLog(spark, scratch(spark)), table(spark, sf_dir, "part")
+    log.append(rows.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("key"), F.lit(1).alias("n")), 1)
+    log.append(rows.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("key"), F.col("p_size").alias("n")), 3)
+    log.append(rows.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("key"), (F.col("p_partkey") * 10).alias("n")), 2)
+    log.compact()
+    return log.known()
 
 
 @query(f"SELECT prefix, n FROM ({PLAN}) WHERE status = 'final' ORDER BY prefix LIMIT 20")
@@ -430,11 +493,6 @@ def request_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Files ------------------------------------------------------------------------------------------
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the warehouse, which the driver and all executors share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/recordloom-{uuid.uuid4().hex}"
-
-
 @query(f"SELECT _ord AS at, ingredient_code, std_name_ko, std_name_en, nullif(cas_no, '-') AS cas_no, source, batch_id FROM ({LEFT_SQL})")
 def csv_sink_and_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The left registry written as CSV with a byte-order mark, read again as text, and loaded."""
@@ -445,26 +503,24 @@ def csv_sink_and_loader(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_left(read).select(F.col("ingredient_code").cast("bigint").alias("at"), "ingredient_code", "std_name_ko", "std_name_en", "cas_no", "source", "batch_id")
 
 
-@query("SELECT strftime(o_orderdate, '%Y-%m-01') AS ingest_date, o_orderkey, o_orderstatus FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
+@query("SELECT strftime(o_orderdate, '%Y-%m-01') AS ingest_date, o_orderkey, CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderstatus ELSE '?' END AS o_orderstatus FROM orders")
 def bronze_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions of two runs, the second replacing its own dates only; the last year is written twice."""
+    """All orders by month, then the months of even years once more: a second run replaces its own dates only."""
     path = scratch(spark)
     rows = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-01").alias("ingest_date"), "o_orderkey", "o_orderstatus")
-    last = rows.agg(F.max(F.left("ingest_date", F.lit(4)))).first()[0]
-    final = rows.where(F.col("ingest_date").startswith(last))
-    tables.write_bronze(final.withColumn("o_orderstatus", F.lit("?")), path)
-    tables.write_bronze(final, path)
+    tables.write_bronze(rows.withColumn("o_orderstatus", F.lit("?")), path)
+    tables.write_bronze(rows.where(F.left("ingest_date", F.lit(4)).cast("int") % 2 == 0), path)
     return spark.read.schema("o_orderkey bigint, o_orderstatus string, ingest_date string").parquet(path).select("ingest_date", "o_orderkey", "o_orderstatus")
 
 
 @query("SELECT n_nationkey::VARCHAR AS n_nationkey, n_name FROM nation")
 def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest CSV of a date, among files of other dates and kinds."""
+    """The newest CSV of a date: one of three, neither first nor last by name, among files of other dates and kinds."""
     folder = scratch(spark)
-    for name in ("2024-01-04", "2024-01-05"):
-        rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.lit(name == "2024-01-05"), F.col("n_name")).otherwise(F.lit("old")).alias("n_name"))
+    for name in ("2024-01-05/a", "2024-01-05/c", "2024-01-05/b", "2024-01-06/d"):
+        rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.lit(name == "2024-01-05/b"), F.col("n_name")).otherwise(F.lit(name)).alias("n_name"))
         tables.write_csv(rows, f"{folder}/{name}", single=True)
-    rows.coalesce(1).write.json(f"{folder}/2024-01-05-other")
+    table(spark, sf_dir, "nation").coalesce(1).write.json(f"{folder}/2024-01-05/e")
     return tables.read_csv(spark, tables.locate(spark, "store", folder, "2024-01-05"))
 
 
@@ -543,8 +599,9 @@ STATED = "CASE page_id % 4 WHEN 0 THEN concat('총 ', {n}, ' 건') WHEN 1 THEN c
 
 @query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN 100 + page_id % 900 WHEN 1 THEN 1000 + 100 + page_id % 900 WHEN 2 THEN 100 + page_id % 900 END::BIGINT AS total FROM pages")
 def html_total_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total that each page states, after all else that stands on it."""
     stated = STATED.format(n="cast(100 + page_id % 900 as string)")
-    return table(spark, sf_dir, "pages").select("page_id", tx.total_count(F.concat(F.lit("<p>"), F.expr(stated), F.lit("</p>"))).alias("total"))
+    return table(spark, sf_dir, "pages").select("page_id", tx.total_count(F.concat(F.coalesce("html", F.lit("")), F.lit("<p>"), F.expr(stated), F.lit("</p>"))).alias("total"))
 
 
 def part_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -570,6 +627,41 @@ def validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "expected", "got", problem.isNull().alias("is_valid"), F.coalesce(problem, F.lit("OK")).alias("message"))
 
 
+@query("""SELECT p_partkey::VARCHAR AS ingredient_code, '가&나' AS std_name_ko, p_name AS std_name_en, cast(null as varchar) AS cas_no, p_brand AS old_name_ko, '2024-01-05' AS as_of_date, 'a' AS source, '2024-01-05' AS ingest_date, 'a_2024-01-05' AS batch_id,
+  (SELECT concat('count mismatch: expected ', count(*) + 1, ', got ', count(*)) FROM part) AS refused FROM part""")
+def published_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages published under a date in one pass; a run for another date that misses its count leaves no row and this message."""
+    path, pages, n = scratch(spark), part_pages(spark, sf_dir), table(spark, sf_dir, "part").count()
+    publish_pages(pages, path, "a", DATE, n)
+    refused = None
+    try:
+        publish_pages(pages, path, "a", "2024-01-06", n + 1)
+    except ValidationError as e:
+        refused = str(e)
+    return publish.read_published(spark, path).withColumn("refused", F.lit(refused))
+
+
+@query(f"""SELECT concat_ws('-', conv_id, turn) AS reference_uuid, nullif({_stripped('text')}, '') AS inci_name, 'ingredient' AS item_type, '{DATE}' AS ingest_date, 'b_{DATE}' AS batch_id,
+  'no rows' AS empty, (SELECT concat('count mismatch: expected 0, got ', count(*)) FROM conversations WHERE text IS NOT NULL) AS differs, 'missing columns: item_type' AS without FROM conversations WHERE text IS NOT NULL""")
+def published_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages published under a date, and the messages of three runs that are refused: empty, miscounted, without a column."""
+    path, pages = scratch(spark), conversation_pages(spark, sf_dir)
+    publish_payloads(pages, path, "b", DATE, table(spark, sf_dir, "conversations").where("text IS NOT NULL").count())
+    rows = publish.read_published(spark, path)
+    tries = {
+        "empty": lambda: publish_payloads(pages.where("false"), path, "b", "2024-01-06", 0),
+        "differs": lambda: publish_payloads(pages, path, "b", "2024-01-07", 0),
+        "without": lambda: publish.publish(rows.drop("item_type"), path, "2024-01-08", required=("inci_name", "item_type", "source")),
+    }
+    refused = {}
+    for name, run in tries.items():
+        try:
+            run()
+        except ValidationError as e:
+            refused[name] = str(e)
+    return publish.read_published(spark, path).select("reference_uuid", "inci_name", "item_type", "ingest_date", "batch_id", *[F.lit(refused.get(k)).alias(k) for k in tries])
+
+
 @query("SELECT p_name AS inci_name, p_partkey::VARCHAR AS substance_id, cast(null as varchar) AS cas_no, p_type AS function_names, cast(null as varchar) AS status FROM part")
 def alias_schema_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = table(spark, sf_dir, "part").select(F.col("p_name").alias("ingredient_name"), F.col("p_partkey").cast("string").alias("ingredient_id"), F.col("p_type").alias("functions"), F.lit("x").alias("other"))

@@ -49,6 +49,10 @@ class Patience:
         return min(2.0**attempt, self.longest) + random.uniform(0, self.jitter)
 
 
+#: For the search service: only answers that say "busy", and requests without an answer, are tried again.
+SEARCHING = Patience(jitter=0.0, only=BUSY)
+
+
 def page_headers(user_agent: str) -> dict[str, str]:
     return {"User-Agent": user_agent} | PAGE_HEADERS
 
@@ -107,7 +111,7 @@ def responses(requests: DataFrame, how: Patience = Patience(), out: str = "respo
 
 
 def search_body(text: str, field: str, item_type: str | None = None, extra: tuple[dict, ...] = ()) -> dict:
-    """A conjunction as the search service reads it: words of ``text`` in ``field``, the type, and more clauses."""
+    """A conjunction as the search service reads it (fixed values of its wire format): words of ``text`` in ``field``, the type, and more clauses."""
     words = [{"text": {"query": text, "fields": [field], "defaultOperator": "AND"}}] if text and text != "*" else []
     kind = [{"term": {"itemType": item_type}}] if item_type else []
     return {"bool": {"must": [*words, *kind, *extra]}}

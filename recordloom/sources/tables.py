@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,15 +72,29 @@ def latest_file(spark: SparkSession, folder: str, date: str | None = None, suffi
     return row.path
 
 
-def locate(spark: SparkSession, mode: str, path: str, date: str | None = None) -> str:
-    """A path to read: given (``local``) or the newest object of a folder in a store (``store``)."""
+@dataclass(frozen=True)
+class Located:
+    """An input: how it was found, the path to read, and its name below the folder of a store."""
+
+    mode: str
+    path: str
+    key: str = ""
+
+
+def located(spark: SparkSession, mode: str, path: str, date: str | None = None) -> Located:
+    """The given path (``local``) or the newest object of a folder in a store (``store``)."""
     if mode == "local":
-        return path
+        return Located(mode, path)
     if mode == "store":
-        return latest_file(spark, path, date)
+        newest = latest_file(spark, path, date)
+        return Located(mode, newest, newest.rpartition(f"{path.rstrip('/').rpartition('/')[2]}/")[2])
     raise ValueError(f"unknown input mode {mode!r}")
 
 
+def locate(spark: SparkSession, mode: str, path: str, date: str | None = None) -> str:
+    return located(spark, mode, path, date).path
+
+
 def write_csv(rows: DataFrame, path: str, single: bool = False, render: bool = True, mark: bool = False) -> None:
     """CSV with a header; ``render`` writes every way of saying "no value" as null, ``mark`` begins files with a byte-order mark."""
     out = rows.select(*[nullify(F.col(c)).alias(c) for c in rows.columns]) if render else rows
@@ -90,24 +105,37 @@ def write_csv(rows: DataFrame, path: str, single: bool = False, render: bool = T
 
 def write_bronze(rows: DataFrame, path: str, form: str = "parquet") -> None:
     """Under ``ingest_date=`` folders, replacing only the dates that ``rows`` has."""
-    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date")
+    # few files a date, and a date of very many rows in several
+    out = rows.hint("rebalance", "ingest_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date")
     out.csv(path, header=True, quote='"', escape='"') if form == "csv" else out.parquet(path)
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Recorded counts, one JSON object of ``prefix*`` to number, as rows."""
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,bigint>").alias("m"))
-    return raw.select(F.explode("m").alias("query", "n")).select(F.regexp_replace("query", r"\*$", "").alias("prefix"), "n")
+    """Recorded counts, a JSON object of ``prefix*`` to number, as rows; one entry a line, or all in one.
+
+    Lines are read on their own, so a large file needs no task that holds it.
+    """
+    entry = F.concat(F.lit("{"), F.regexp_replace("value", r"^[{,\s]+|[},\s]+$", ""), F.lit("}"))
+    raw = spark.read.text(path).select(F.explode(F.from_json(entry, "map<string,bigint>")).alias("query", "n"))
+    return raw.select(F.regexp_replace("query", r"\*$", "").alias("prefix"), "n")
 
 
 def write_counts(counts: DataFrame, path: str) -> None:
-    """Counts (``prefix``, ``n``) as one JSON object, for ``read_counts``; as many as a plan has prefixes."""
-    whole = counts.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat("prefix", F.lit("*")).alias("query"), "n"))))).alias("value"))
-    whole.coalesce(1).write.mode("overwrite").text(path)
+    """Counts (``prefix``, ``n``) as one JSON object in one file, an entry a line, for ``read_counts`` and other programs.
+
+    The rows pass through one task in order, which keeps none of them.
+    """
+    spark = counts.sparkSession
+    keyed = counts.select(F.concat("prefix", F.lit("*")).alias("query"), "n")
+    first = keyed.agg(F.min("query").alias("first"))  # one row
+    entry = F.regexp_replace(F.to_json(F.create_map("query", "n")), r"^\{|\}$", "")
+    lines = keyed.crossJoin(F.broadcast(first)).select(F.lit(1).alias("part"), "query", F.concat(F.when(F.col("query") == F.col("first"), "").otherwise(","), entry).alias("value"))
+    ends = spark.createDataFrame([(0, "", "{"), (2, "", "}")], "part int, query string, value string")
+    lines.unionByName(ends).repartition(1).sortWithinPartitions("part", "query").select("value").write.mode("overwrite").text(path)
 
 
 def count_key(query: str, fields: Mapping[str, object] | None = None) -> str:
-    """The name under which a count is kept: the query, and the sorted form fields if there are any."""
+    """The name under which a count is kept (a fixed form): the query, and the sorted form fields if there are any."""
     return f"{query}__FORM__{sorted(fields.items())}" if fields else query
 
 
