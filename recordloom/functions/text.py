@@ -129,10 +129,13 @@ def identifier(text: Column) -> Column:
     return F.regexp_replace(F.when(~F.lower(bare).isin(*NULL_LIKE), bare), f"{WS}+", "")
 
 
+#: How a page states the number of its results.
+TOTALS = (r"총\s*([0-9,]+)\s*건", r"(?:검색결과|결과)\s*([0-9,]+)\s*건")
+
+
 def total_count(text: Column) -> Column:
     """The number of results a page states; null if it states none."""
-    first = F.regexp_extract(text, r"총\s*([0-9,]+)\s*건", 1)
-    second = F.regexp_extract(text, r"(검색결과|결과)\s*([0-9,]+)\s*건", 2)
+    first, second = (F.regexp_extract(text, pattern, 1) for pattern in TOTALS)
     return F.replace(F.when(first != "", first).otherwise(second), F.lit(","), F.lit("")).try_cast("bigint")
 
 

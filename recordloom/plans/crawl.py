@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import total_count
 from ..operators.validate import ValidationError
+from ..sources import fetch
 from ..sources import html as pages_html
-from .prefixes import page_count, pages
+from ..sources.counts import CountLog
+from ..sources.pages import register
+from ..sources.store import landed
+from .frontier import search_counts, split_plan_by_asking
+from .prefixes import ALPHABET, DEPTH, LIMIT, first_queries, page_count, pages
 
 
 def further_pages(first: DataFrame, page: str = "page_id", html: str = "html", guess: int = 10) -> DataFrame:
@@ -55,3 +62,78 @@ def collection_stats(collected: DataFrame, plan: DataFrame) -> DataFrame:
     planned = plan.agg(of("final").alias("final_query_count"), of("oversized").alias("oversized_query_count"))
     got = collected.agg(F.count_distinct("query_text", "page").alias("raw_page_count"), F.count("*").alias("raw_result_count"))
     return planned.crossJoin(got)  # one row each
+
+
+@dataclass(frozen=True)
+class Crawl:
+    """The pages as they came, and one row of statistics."""
+
+    pages: DataFrame
+    stats: DataFrame
+
+
+def crawl_registry(spark: SparkSession, url: str, folder: str | None = None, **options: object) -> tuple[Crawl, DataFrame]:
+    """All pages of a registry, from the first one on, and the rows on them (page, row and six fields).
+
+    Pages land in ``folder`` (or scratch) once, so nothing is asked twice.  ``options`` are those of the
+    ``registry_pages`` source.  Statistics: the total that the first page states, and the rows collected.
+    """
+    register(spark)
+    source = spark.read.format("registry_pages").options(url=url, **{k: str(v) for k, v in options.items()})
+    found = landed(source.load(), folder)
+    rows = pages_html.table_rows(found, "page", strict=True)
+    stated = found.where("page = 1").select(total_count(F.col("html")).alias("total_expected"))  # one row
+    return Crawl(found, stated.crossJoin(rows.agg(F.count("*").alias("total_collected")))), rows
+
+
+@dataclass(frozen=True)
+class Search:
+    """A search service and how it is asked."""
+
+    url: str
+    api_key: str
+    user_agent: str
+    field: str = "inciName"
+    item_type: str | None = "ingredient"
+    extra: tuple[dict, ...] = ()
+    page_size: int = 100
+    how: fetch.Patience = fetch.SEARCHING
+
+    def answers(self, queries: DataFrame, size: str | None = None) -> DataFrame:
+        """``queries`` (query_text, page) with the ``payload`` of each."""
+        wanted = fetch.search_requests(queries, self.url, self.api_key, F.col(size) if size else self.page_size, self.user_agent, self.field, self.item_type, self.extra)
+        return fetch.responses(wanted, self.how, "payload").select("query_text", "page", "payload")
+
+
+def collect_search(queries: DataFrame, service: Search, folder: str | None = None, batch: int = 50) -> DataFrame:
+    """``query_text``, ``page`` and ``payload`` of every page of every query.
+
+    First pages are asked for and land, then what they promise, in tasks of ``batch`` requests.
+    """
+    below = lambda name: folder and f"{folder}/{name}"
+    dealt = lambda rows, n: rows.repartition(max(1, -(-n // batch)), "query_text", "page")
+    asked = queries.select("query_text", F.lit(1).cast("bigint").alias("page"))
+    first = landed(service.answers(dealt(asked, asked.count())), below("first"))
+    said = lambda name: F.coalesce(F.get_json_object("payload", f"$.{name}").try_cast("bigint"), F.lit(0))
+    sized = first.select("query_text", said("totalResults").alias("total"), F.coalesce(F.nullif(said("pageSize"), F.lit(0)), F.lit(service.page_size)).alias("size"))
+    more = pages(sized.withColumn("pages", page_count(F.col("total"), F.col("size"))), "pages").where("page > 1")
+    rest = landed(service.answers(dealt(more, more.count()), "size"), below("rest"))
+    return first.unionByName(rest)
+
+
+def extract_search(
+    service: Search, log: CountLog, limit: int = LIMIT, depth: int = DEPTH, seeds: str = ALPHABET, following: str = ALPHABET, max_seeds: int | None = None, max_queries: int | None = None, folder: str | None = None
+) -> Crawl:
+    """A whole extraction under a row limit: plan by asking, no oversized query, every page of every query.
+
+    The pages are for ``payload.bronze``.  Statistics: final and oversized queries, pages and results.
+    """
+    ask = search_counts(service.url, service.api_key, service.user_agent, service.field, service.item_type, service.extra, service.how)
+    plan = require_whole(landed(split_plan_by_asking(ask, log, limit, depth, seeds, following, max_seeds), folder and f"{folder}/plan"))
+    final = plan.where("status = 'final'") if max_queries is None else first_queries(plan, max_queries)
+    queries = final.select(F.concat("prefix", F.lit("*")).alias("query_text"))
+    found = collect_search(queries, service, folder)
+    results = F.coalesce(F.json_array_length(F.get_json_object("payload", "$.results")), F.lit(0))
+    got = found.agg(F.count("*").alias("raw_page_count"), F.coalesce(F.sum(results), F.lit(0)).cast("bigint").alias("raw_result_count"))
+    counted = queries.agg(F.count("*").alias("final_query_count")).withColumn("oversized_query_count", F.lit(0).cast("bigint"))
+    return Crawl(found, counted.crossJoin(got))  # one row each

@@ -569,10 +569,9 @@ FLAT = {
     "cas_no": "role", "annex_no": "concat(role, ' | ', role)", "substance_id": "turn::VARCHAR", "source": "'b'", "ingest_date": f"'{DATE}'", "batch_id": f"'b_{DATE}'",
     "raw_metadata": """to_json(struct_pack(inciName := [text], itemType := 'ingredient', functionName := string_split(text, ' '), status := role, casNo := [concat(role, ' '), 'x'], annexNo := [role, role], otherRestrictions := []::VARCHAR[], substanceId := turn::VARCHAR))::VARCHAR""",
 }
-FLAT_COLUMNS = ("query_text", *payload.ENVELOPE, *payload.ITEM, *payload.FIRST, *payload.JOINED, "function_count", "raw_metadata", "source", "ingest_date", "batch_id")
 
 
-@query("SELECT " + ", ".join(FLAT.get(c, "cast(null as varchar)") + f' AS "{c}"' for c in FLAT_COLUMNS) + f" FROM ({TURNS})")
+@query("SELECT " + ", ".join(FLAT.get(c, "cast(null as varchar)") + f' AS "{c}"' for c in payload.COLUMNS) + f" FROM ({TURNS})")
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload.bronze(conversation_pages(spark, sf_dir), "b", DATE)
 

@@ -117,17 +117,29 @@ def search_body(text: str, field: str, item_type: str | None = None, extra: tupl
     return {"bool": {"must": [*words, *kind, *extra]}}
 
 
-def search_requests(queries: DataFrame, url: str, api_key: str, page_size: int, user_agent: str, field: str, item_type: str | None = None, extra: tuple[dict, ...] = ()) -> DataFrame:
-    """Requests for (``query_text``, ``page``): the query as a JSON part of a form."""
+def search_form(
+    text: str, page: int, page_size: int, api_key: str, user_agent: str, field: str, item_type: str | None = None, extra: tuple[dict, ...] = (), edge: str = ""
+) -> tuple[dict[str, str], dict[str, str], bytes]:
+    """Parameters, headers and body of one search: the query as a JSON part of a form."""
+    edge = edge or uuid.uuid4().hex
+    part = f'--{edge}\r\nContent-Disposition: form-data; name="query"; filename="blob"\r\nContent-Type: application/json\r\n\r\n'
+    body = (part + json.dumps(search_body(text, field, item_type, extra), ensure_ascii=False) + f"\r\n--{edge}--\r\n").encode()
+    headers = {"Accept": "application/json, text/plain, */*", "User-Agent": user_agent, "Content-Type": f"multipart/form-data; boundary={edge}"}
+    return {"apiKey": api_key, "text": text, "pageSize": str(page_size), "pageNumber": str(page)}, headers, body
+
+
+def search_requests(
+    queries: DataFrame, url: str, api_key: str, page_size: int | Column, user_agent: str, field: str, item_type: str | None = None, extra: tuple[dict, ...] = ()
+) -> DataFrame:
+    """Requests for (``query_text``, ``page``)."""
     edge = uuid.uuid4().hex
 
     @F.pandas_udf(T.BinaryType())
     def form(text: pd.Series) -> pd.Series:
-        part = f'--{edge}\r\nContent-Disposition: form-data; name="query"; filename="blob"\r\nContent-Type: application/json\r\n\r\n'
-        return text.map(lambda t: (part + json.dumps(search_body(t, field, item_type, extra), ensure_ascii=False) + f"\r\n--{edge}--\r\n").encode())
+        return text.map(lambda t: search_form(t, 1, 1, "", "", field, item_type, extra, edge)[2])
 
-    texts = {"apiKey": F.lit(api_key), "text": F.col("query_text"), "pageSize": F.lit(str(page_size)), "pageNumber": F.col("page").cast("string")}
-    headers = {"Accept": "application/json, text/plain, */*", "User-Agent": user_agent, "Content-Type": f"multipart/form-data; boundary={edge}"}
+    texts = {"apiKey": F.lit(api_key), "text": F.col("query_text"), "pageSize": (page_size if isinstance(page_size, Column) else F.lit(page_size)).cast("string"), "pageNumber": F.col("page").cast("string")}
+    headers = search_form("", 1, 1, "", user_agent, field, edge=edge)[1]
     return queries.withColumns({
         "url": F.lit(url), "params": F.create_map(*[x for k, v in texts.items() for x in (F.lit(k), v)]),
         "headers": F.create_map(*[F.lit(x) for kv in headers.items() for x in kv]), "body": form("query_text"),

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import as_of_date
+from ..functions.text import TOTALS, as_of_date
 
 #: Words of a result table's header; the two lists differ in one word.
 TABLE_MARKS = ("성분코드", "국문명", "영문명", "INCI", "코드", "CAS No", "구명칭")
@@ -81,6 +81,21 @@ def read_page(html: str) -> tuple[str, list[list[str]] | None]:
     return title, chosen and [[one_line(c.text()) for c in row.all("td", "th")] for row in chosen.all("tr")]
 
 
+def count_records(html: str) -> int:
+    """Rows of a page's result table that ``record`` takes, for a crawl that has one page to plan by."""
+    _, rows = read_page(html)
+    return sum(bool(cells and re.fullmatch(r"\d+", cells[0].replace(",", "")) and not any(m in " ".join(cells) for m in HEADER_MARKS)) for cells in rows or ())
+
+
+def stated_total(html: str) -> int | None:
+    """What ``total_count`` gives, for the same."""
+    for pattern in TOTALS:
+        if found := re.search(pattern, html, re.A):
+            digits = found[1].replace(",", "")
+            return int(digits) if digits else None
+    return None
+
+
 def record(cells: Column) -> Column:
     """The six fields of a row of cells; null for a row that is no record: a header, or one without a number in front."""
     code = F.replace(F.get(cells, F.lit(0)), F.lit(","), F.lit(""))

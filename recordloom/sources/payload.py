@@ -30,6 +30,15 @@ JOINED = {
     "maximum_concentration": "maximumConcentration", "annex_no": "annexNo", "identified_ingredient": "identifiedIngredient",
 }
 
+#: The columns of the flattened table in their order; files of it are read by place.
+COLUMNS = (
+    "reference_uuid", "database", "database_label", "language", "content_type", "weight", "substance_id", "inci_name", "common_ingredient_name", "inn_name",
+    "inci_usa_name", "chemical_name", "chemical_description", "cas_no", "ec_no", "function_names", "function_count", "cosmetic_restriction", "other_restrictions",
+    "maximum_concentration", "annex_no", "identified_ingredient", "classification_information", "item_type", "status", "official_journal_publication", "perfuming",
+    "ph_eur_name", "es_ingest_date", "es_queue_date", "current_version", "corporate_search_version", "raw_metadata",
+    "query_text", "api_version", "terms", "response_time", "page_number", "page_size", "total_results", "sort", "source", "ingest_date", "batch_id",
+)
+
 
 def results(pages: DataFrame, payload: str = "payload", query: str = "query_text") -> DataFrame:
     """One row a result: query, envelope fields, and the result as JSON text.  Pages without results give none."""
@@ -54,8 +63,8 @@ def flatten(rows: DataFrame, null_text: str | None = None, scalar_length: bool =
 
 def bronze(pages: DataFrame, source: str, ingest_date: str, payload: str = "payload", query: str = "query_text") -> DataFrame:
     """44 columns: the flattened result with its page and its lineage."""
-    flat = flatten(results(pages, payload, query))
-    return flat.withColumns({"source": F.lit(source), "ingest_date": F.lit(ingest_date), "batch_id": F.lit(f"{source}_{ingest_date}")})
+    flat = flatten(results(pages, payload, query).withColumnRenamed(query, "query_text"))
+    return flat.withColumns({"source": F.lit(source), "ingest_date": F.lit(ingest_date), "batch_id": F.lit(f"{source}_{ingest_date}")}).select(*COLUMNS)
 
 
 def search_predicate(text: str | None, field: str, item_type: str | None = None, kind: str = "item_type", extra: tuple = ()):
