@@ -17,8 +17,10 @@ A token that many classes show does not give all pairs.  Its classes are first p
 one pivot, the most central of them; verified links join into components, and classes that
 are in one component already need no link between them.  ``PIVOTS`` other pivots follow for
 tokens that still show several components; what is left after that is paired across
-components.  The places of the shared token bound the overlap of every pair.  No pair that
-can link is dropped, so the components are exact.
+components.  The places of the shared token bound the overlap of every pair, and in the last
+turn so do sketches: each bit says whether an odd number of a class's tokens falls on it, so two
+classes differ in at least as many tokens as their sketches differ in bits.  No pair that can
+link is dropped, so the components are exact.
 
 Defined results: null or blank text has an empty set, links with nothing and is its own
 component.  Fewer words than ``width`` make one n-gram.  Repeated rows and copies get the
@@ -44,6 +46,7 @@ ship(__name__)
 
 PIVOTS = 4
 MOST_BYTES = 32 << 20
+SKETCH = 16  # words of 64 bits
 NOWHERE = -(2**63)  # stands for a null doc_id in joins
 
 
@@ -267,6 +270,24 @@ def _may_link(link: Link, n, at, other_n, other_at):
     return sizes & (most * (link.num + link.den) >= link.num * (n + other_n))
 
 
+def _sketches(classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id``, ``alone`` and the words ``w0`` ... of some classes' sketches: the parities of the shared tokens that fall on each bit."""
+    each = classes.join(ids, "id", "left_semi").select("id", "alone", F.explode("tokens").alias("token")).withColumn("h", F.xxhash64("token", F.lit(7)))
+    spot = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    words = [F.expr(f"bit_xor(CASE WHEN shiftright(h, 6) & {SKETCH - 1} = {k} THEN spot ELSE 0L END)").alias(f"w{k}") for k in range(SKETCH)]
+    return each.withColumn("spot", spot).groupBy("id", "alone").agg(*words)
+
+
+def _sketches_may_link(link: Link, n, alone, words, other_n, other_alone, other_words):
+    """Whether two sets can differ in as few tokens as a link allows: those of one class alone, and one at least for each bit."""
+    differing = alone + other_alone
+    for a, b in zip(words, other_words):
+        differing = differing + F.bit_count(a.bitwiseXOR(b))
+    # intersection and union from the sum of sizes and the difference
+    both = n + other_n
+    return link.den * (both - differing) >= link.num * (both + differing)
+
+
 def linked_components(classes: DataFrame, link: Link) -> DataFrame:
     """(node, root) over the classes of ``_ordered``; classes without links are not listed."""
     shown = classes.select("id", "n", "alone", "mass", F.posexplode("p0").alias("at", "token"))
@@ -287,9 +308,13 @@ def linked_components(classes: DataFrame, link: Link) -> DataFrame:
             other = several.select("token", F.explode("pivots").alias("p")).selectExpr("token", "p.id AS other", "p.comp AS other_comp", "p.n AS other_n", "p.at AS other_at")
             apart = F.col("comp") != F.col("other_comp")
         else:
-            now = materialize(now.join(several.select("token"), "token", "left_semi"))
-            other = now.selectExpr("token", "id AS other", "comp AS other_comp", "n AS other_n", "at AS other_at")
+            left = materialize(now.join(several.select("token"), "token", "left_semi"))
+            now = materialize(left.join(_sketches(classes, left.select("id").distinct()), "id"))
+            discard(left)
+            words = [f"w{k}" for k in range(SKETCH)]
+            other = now.selectExpr("token", "id AS other", "comp AS other_comp", "n AS other_n", "at AS other_at", "alone AS other_alone", *[f"{w} AS other_{w}" for w in words])
             apart = F.col("comp") < F.col("other_comp")
+            apart = apart & _sketches_may_link(link, F.col("n"), F.col("alone"), [F.col(w) for w in words], F.col("other_n"), F.col("other_alone"), [F.col(f"other_{w}") for w in words])
         near = _may_link(link, F.col("n"), F.col("at"), F.col("other_n"), F.col("other_at"))
         met = now.join(other, (now["token"] == other["token"]) & apart & near)
         pairs = materialize(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct())
