@@ -6,6 +6,9 @@ universe that the first lets through; the third the listed keys that the second
 through, and so on until a level lets nothing wrong through.  Over that universe the
 cascade then answers membership exactly, and pages are judged without a join.
 
+The first level lets about as many others through as there are listed keys, every later one a
+quarter of what it should stop: with more hashes the levels were fewer, but larger together.
+
 The filters are broadcast.  Their size is foretold from the keys that are listed and the
 share of the others that pass by chance: where it would pass ``MOST_BYTES``, the keys are
 split by hash into shards with a cascade each, which judge the pages one after the other.
@@ -16,6 +19,7 @@ fits an empty host, and the method allows it.  Repeated rows repeat their verdic
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +36,12 @@ ship(__name__)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 MOST_BYTES = 64 << 20
-BITS, HASHES = 10, 7
+#: Hashes of the first level at least and at most (a key passes by chance with one half to their power), and of later ones.
+FIRST, LATER = (1, 10), 2
+#: Bits for a key and hash, for filters that are half full.
+FULL = 1 / math.log(2)
+#: Bits of all levels for each listed key, or each thousandth other one, at most.
+BITS = 20
 
 
 @dataclass(frozen=True)
@@ -70,28 +79,28 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def spots(hashes: np.ndarray, level: int, size: int) -> np.ndarray:
-    """Bit positions of 64-bit hashes in a level of ``size`` bits, HASHES for each."""
+def spots(hashes: np.ndarray, level: int, size: int, probes: int) -> np.ndarray:
+    """Bit positions of 64-bit hashes in a level of ``size`` bits, ``probes`` for each."""
     base = mix(hashes ^ np.uint64((level * 0x9E3779B97F4A7C15 + 1) % 2**64))
     step = mix(base) | np.uint64(1)
     with np.errstate(over="ignore"):
-        return (base[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]) % np.uint64(size)
+        return (base[:, None] + np.arange(probes, dtype=np.uint64) * step[:, None]) % np.uint64(size)
 
 
 @dataclass
 class Cascade:
-    """``levels``: the bits of each level as bytes, with its size in bits."""
+    """``levels``: the bits of each level as bytes, with its size in bits and its hashes."""
 
-    levels: list[tuple[np.ndarray, int]]
+    levels: list[tuple[np.ndarray, int, int]]
 
     def passed(self, hashes: np.ndarray, first: int = 0) -> np.ndarray:
         """How many levels in a row let each hash through."""
         out = np.zeros(len(hashes), np.int64)
         alive = np.arange(len(hashes))
-        for level, (bits, size) in enumerate(self.levels):
+        for level, (bits, size, probes) in enumerate(self.levels):
             if not len(alive):
                 break
-            at = spots(hashes[alive], level, size)
+            at = spots(hashes[alive], level, size, probes)
             inside = ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(1)
             alive = alive[inside]
             out[alive] = level + 1
@@ -101,13 +110,13 @@ class Cascade:
         return self.passed(hashes) % 2 == 1
 
 
-def _level(hashed: DataFrame, level: int, n: int) -> tuple[np.ndarray, int]:
+def _level(hashed: DataFrame, level: int, n: int, probes: int) -> tuple[np.ndarray, int, int]:
     """A filter of the ``n`` hashes in ``hashed``; the words of its bits are combined on the executors."""
-    size = max(64, n * BITS)
+    size = max(64, math.ceil(n * probes * FULL))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(spots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), level, size))
+            at = np.unique(spots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), level, size, probes))
             word, begin = np.unique(at >> np.uint64(6), return_index=True)
             bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), begin) if len(at) else at
             yield pa.RecordBatch.from_arrays([pa.array(word.astype(np.int64)), pa.array(bits.view(np.int64))], names=["word", "bits"])
@@ -115,13 +124,16 @@ def _level(hashed: DataFrame, level: int, n: int) -> tuple[np.ndarray, int]:
     rows = hashed.mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(-(-size // 64), np.int64)
     out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return out.view(np.uint8), size
+    return out.view(np.uint8), size, probes
 
 
 def build_cascade(universe: DataFrame, most: int = 64) -> Cascade:
     """From distinct keys: columns ``hash`` (64 bits) and ``listed``."""
     spark = universe.sparkSession
     cascade = Cascade([])
+    sizes = universe.agg(F.count_if("listed").alias("listed"), F.count("*").alias("all")).first()
+    stops = round(math.log2(max(1, sizes.all - sizes.listed) / max(1, sizes.listed)))
+    first = min(max(stops, FIRST[0]), FIRST[1])
     for level in range(most):
         side = F.col("listed") if level % 2 == 0 else ~F.col("listed")
         if level == 0:
@@ -135,10 +147,10 @@ def build_cascade(universe: DataFrame, most: int = 64) -> Cascade:
                     yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(shared.value.passed(hashes) == level))], names=["hash"])
 
             wrong = universe.where(side).select("hash").mapInArrow(through, "hash long")
-        n = wrong.count()
+        n = sizes.listed if level == 0 else wrong.count()
         if n == 0 and level:
             return cascade
-        cascade = Cascade([*cascade.levels, _level(wrong, level, n)])
+        cascade = Cascade([*cascade.levels, _level(wrong, level, n, LATER if level else first)])
     raise ValueError("two keys share a 64-bit hash; no cascade can tell them apart")
 
 
@@ -159,7 +171,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str
     parts = pages.select(own.alias("own"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     judged = parts.withColumns({"blocked": F.lit(False), "keys": F.transform(keys_of(F.col("host")), lambda k: F.xxhash64(k))})
     sizes = universe.agg(F.count_if("listed").alias("listed"), F.count("*").alias("all")).first()
-    shards = max(1, -(-max(sizes.listed, sizes.all // 100) * BITS // 8 // MOST_BYTES))
+    shards = max(1, -(-max(sizes.listed, sizes.all // 1000) * BITS // 8 // MOST_BYTES))
     for shard in range(shards):
         mine = universe.where(F.pmod("hash", F.lit(shards)) == shard) if shards > 1 else universe
         shared = pages.sparkSession.sparkContext.broadcast(build_cascade(mine))

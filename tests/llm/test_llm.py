@@ -204,11 +204,14 @@ def test_urls(spark):
     }
 
 
-def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
-    monkeypatch.setattr(urlfilter, "BITS", 3)  # many false positives, so several levels
-    universe = spark.range(4000).select(F.xxhash64("id").alias("hash"), (F.col("id") % 7 == 0).alias("listed"))
+@pytest.mark.parametrize("share,levels", [(7, 4), (2, 4), (400, 3), (1, 1), (10**6, 1)])
+def test_cascade_is_exact_over_its_universe(spark, share, levels):
+    universe = spark.range(1, 4001).select(F.xxhash64("id").alias("hash"), (F.col("id") % share == 0).alias("listed"))
     cascade = urlfilter.build_cascade(universe)
-    assert len(cascade.levels) > 2
+    assert len(cascade.levels) >= levels
+    # later levels are smaller, together with the first they stay within the bits that shards are made by
+    bits = [size for _, size, _ in cascade.levels]
+    assert sum(b for b in bits if b > 64) <= urlfilter.BITS * max(4000 // share, 4)
     rows = universe.toPandas()
     assert (cascade.listed(rows["hash"].to_numpy().view(np.uint64)) == rows["listed"].to_numpy()).all()
 
