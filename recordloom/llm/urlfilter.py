@@ -40,8 +40,8 @@ MOST_BYTES = 64 << 20
 FIRST, LATER = (1, 10), 2
 #: Bits for a key and hash, for filters that are half full.
 FULL = 1 / math.log(2)
-#: Bits of all levels for each listed key, or each thousandth other one, at most.
-BITS = 20
+#: Bits of all levels for each listed key, or each thousandth other one: twice what is expected.
+BITS = 30
 
 
 @dataclass(frozen=True)
