@@ -16,6 +16,7 @@ from .functions.similarity import similarity
 from .functions.values import count_items, first_or_none, flag, join_list, run_date
 from .operators import match, project
 from .operators.dedupe import first_by_key
+from .operators.search import search_many
 from .operators.validate import ValidationError, count_verdict
 from .plans import crawl, frontier, prefixes, publish
 from .plans.reconcile import Reconciliation, publish_pages, publish_payloads, reconcile, run_and_save
@@ -670,3 +671,31 @@ def alias_schema_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT conv_id, turn FROM conversations WHERE role = 'user' AND len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: starts_with(w, 'th'))) > 0")
 def search_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").where(payload.search_predicate("th*", "text", "user", "role")).select("conv_id", "turn")
+
+
+#: A query for each conversation: the first word of its first text, and the beginning of the next one.
+ASKED = """SELECT DISTINCT concat(w[1], ' ', {left}(w[2], 2), '*') AS query_text FROM (SELECT {words} AS w FROM conversations WHERE turn = 0 AND text IS NOT NULL) WHERE {size}(w) > 1 AND w[1] <> '' AND w[2] <> ''"""
+WORDS_SQL = "regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')"
+
+
+@query(f"""WITH q AS ({ASKED.format(words=WORDS_SQL, left='left', size='len')} UNION SELECT '*'), r AS (SELECT DISTINCT conv_id * 1000 + turn AS id, {WORDS_SQL} AS w FROM conversations)
+SELECT q.query_text, r.id FROM q JOIN r ON q.query_text = '*' OR (list_contains(r.w, string_split(q.query_text, ' ')[1]) AND len(list_filter(r.w, lambda x: starts_with(x, rtrim(string_split(q.query_text, ' ')[2], '*')))) > 0)""")
+def search_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns that each of many queries of two words finds, the second by its beginning; and one query that finds all."""
+    rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "turn")
+    first = rows.where("turn = 0 AND text IS NOT NULL").select(F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("w")).where("size(w) > 1 AND w[0] <> '' AND w[1] <> ''")
+    asked = first.select(F.concat(F.col("w")[0], F.lit(" "), F.left(F.col("w")[1], F.lit(2)), F.lit("*")).alias("query_text"))
+    return search_many(rows, asked.union(spark.createDataFrame([("*",)], "query_text string")), "id", "text")
+
+
+@query("""WITH t AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS c, count(DISTINCT conv_id) FILTER (conv_id % 7 = 0) AS odd FROM conversations WHERE text IS NOT NULL)
+SELECT unnest(['page', 'page', 'page', 'page', 'page', 'page', 'result', 'result', 'result', 'result', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata']) AS level,
+  unnest(['apiVersion', 'totalResults', 'pageNumber', 'pageSize', 'results', 'tookMs', 'reference', 'database', 'weight', 'metadata', 'inciName', 'itemType', 'functionName', 'status', 'casNo', 'annexNo', 'otherRestrictions', 'substanceId']) AS field,
+  unnest([true, true, true, true, true, false, true, true, true, true, true, true, true, true, true, true, true, true]) AS known,
+  unnest([c, c, c, c, c, odd, n, n, n, n, n, n, n, n, n, n, n, n]) AS n,
+  unnest(['STRING', 'BIGINT', 'BIGINT', 'BIGINT', 'ARRAY', 'BIGINT', 'STRING', 'STRING', 'DECIMAL', 'OBJECT', 'ARRAY', 'STRING', 'ARRAY', 'STRING', 'ARRAY', 'ARRAY', 'ARRAY', 'STRING']) AS kinds FROM t""")
+def payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of all search pages by level, one of them unknown and only on some pages."""
+    pages = conversation_pages(spark, sf_dir)
+    extra = F.when(F.col("query_text").cast("bigint") % 7 == 0, F.regexp_replace("payload", r"^\{", '{"tookMs":3,')).otherwise(F.col("payload"))
+    return payload.field_report(pages.withColumn("payload", extra))

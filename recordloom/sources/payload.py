@@ -67,6 +67,29 @@ def bronze(pages: DataFrame, source: str, ingest_date: str, payload: str = "payl
     return flat.withColumns({"source": F.lit(source), "ingest_date": F.lit(ingest_date), "batch_id": F.lit(f"{source}_{ingest_date}")}).select(*COLUMNS)
 
 
+def field_report(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Every field that occurs, by ``level`` (page, result, metadata): how often, its kinds, and whether the flattened table knows it.
+
+    A page is parsed once, to a variant, and its levels are unfolded from there.  Drift shows as
+    rows that are not ``known``.  Pages that are no JSON objects count under no field.
+    """
+    tvf = pages.sparkSession.tvf
+
+    def unfolded(rows: DataFrame, value: str) -> DataFrame:
+        fields = rows.lateralJoin(tvf.variant_explode(F.col(value).outer())).where("key IS NOT NULL")
+        return fields.select(F.col("key").alias("field"), F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0).alias("kind"))
+
+    page = pages.select(F.try_parse_json(payload).alias("v"))
+    item = page.select(F.explode(F.try_variant_get("v", "$.results", "array<variant>")).alias("v"))
+    meta = item.select(F.try_variant_get("v", "$.metadata", "variant").alias("v"))
+    known = {"page": {*ENVELOPE.values(), "results"}, "result": {*ITEM.values(), "metadata"}, "metadata": {*FIRST.values(), *JOINED.values()}}
+    out = None
+    for level, rows in (("page", page), ("result", item), ("metadata", meta)):
+        seen = unfolded(rows, "v").select(F.lit(level).alias("level"), "field", "kind", F.col("field").isin(*known[level]).alias("known"))
+        out = seen if out is None else out.unionByName(seen)
+    return out.groupBy("level", "field", "known").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("kind")), " ").alias("kinds"))
+
+
 def search_predicate(text: str | None, field: str, item_type: str | None = None, kind: str = "item_type", extra: tuple = ()):
     """A conjunction: every word of ``text`` in ``field`` (a trailing ``*`` asks for a prefix of some word), the type, and more."""
     condition = F.lit(True)
