@@ -63,18 +63,67 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out).where(known, None).astype("Float64")
 
 
-def similarity_native(a: Column, b: Column) -> Column:
-    """The same score as a fold over both texts inside the JVM; for checking and for short texts."""
-    letters = F.split(b, "")
-    start = F.transform(F.concat(F.array(F.lit("")), letters), lambda _: F.lit(0))
+#: Places of a text in a word: with carries a sum of two words still fits 64 bits, signed.
+BITS = 62
 
-    def row(prior: Column, c: Column) -> Column:
-        def cell(acc: Column, i: Column) -> Column:
-            grown = F.get(prior, i - 1) + 1
-            return F.concat(acc, F.array(F.when(F.get(letters, i - 1) == c, grown).otherwise(F.greatest(F.get(prior, i), F.element_at(acc, -1)))))
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(letters)), F.array(F.lit(0)), cell)
+def places(text: Column) -> Column:
+    """For each character of a text the places where it stands, as words of ``BITS`` bits; made once a text, for many pairs."""
+    letters = F.filter(F.split(text, ""), lambda c: c != "")
 
-    lcs = F.element_at(F.aggregate(F.split(a, ""), start, row), -1)
-    both = F.char_length(a) + F.char_length(b)
-    return (1 - (both - 2 * lcs) / both) * 100
+    def words(c: Column, all_letters: Column) -> Column:
+        spots = F.filter(F.sequence(F.lit(0), F.size(all_letters) - 1), lambda j: F.get(all_letters, j) == c)
+        bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(j, F.lit(BITS)))
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(all_letters) - 1) / BITS).cast("int")),
+            lambda w: F.aggregate(F.filter(spots, lambda j: F.floor(j / BITS) == w), F.lit(0).cast("bigint"), lambda acc, j: acc.bitwiseOR(bit(j))),
+        )
+
+    entries = F.transform(F.array_distinct(letters), lambda c: F.struct(c.alias("key"), words(c, letters).alias("value")))
+    return F.when(F.size(letters) > 0, F.map_from_entries(entries)).otherwise(F.create_map().cast("map<string,array<bigint>>"))
+
+
+def common_length(a: Column, b: Column, spots: Column) -> Column:
+    """Length of the longest common subsequence, with ``spots`` as ``places(b)`` gives them.
+
+    A row of the usual table is a word of bits, a zero where it grows; each character of ``a``
+    turns one row into the next by an addition, whose carries run along the words.
+    """
+    n = F.char_length(b)
+    full = lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.greatest(F.least(k, F.lit(BITS)), F.lit(0))) - 1
+    letters = F.filter(F.split(a, ""), lambda c: c != "")
+    zeros = lambda row, k: F.least(k, F.lit(BITS)) - F.bit_count(row)
+
+    def step(row: Column, met: Column, most: Column) -> Column:
+        same = row.bitwiseAND(met)
+        return (row + same).bitwiseOR(row - same).bitwiseAND(most)
+
+    one = F.aggregate(letters, full(n), lambda row, c: F.coalesce(step(row, F.get(F.try_element_at(spots, c), F.lit(0)), full(n)), row))
+
+    # several words: (words so far, carry) along each row
+    size = lambda w: n - w * BITS
+    numbers = F.sequence(F.lit(0), F.floor((n - 1) / BITS).cast("int"))
+    start = F.transform(numbers, lambda w: full(size(w)))
+
+    def row_after(row: Column, c: Column) -> Column:
+        met = F.try_element_at(spots, c)
+
+        def word(acc: Column, w: Column) -> Column:
+            old = F.get(row, w)
+            same = old.bitwiseAND(F.get(met, w))
+            total = old + same + acc["carry"]
+            new = total.bitwiseOR(old - same).bitwiseAND(full(size(w)))
+            return F.struct(F.concat(acc["row"], F.array(new)).alias("row"), F.shiftright(total, BITS).alias("carry"))
+
+        none = F.struct(F.array().cast("array<bigint>").alias("row"), F.lit(0).cast("bigint").alias("carry"))
+        return F.when(met.isNull(), row).otherwise(F.aggregate(numbers, none, word, lambda acc: acc["row"]))
+
+    rows = F.aggregate(letters, start, row_after)
+    many = F.aggregate(F.transform(rows, lambda x, w: zeros(x, size(w))), F.lit(0), lambda acc, x: acc + x)
+    return F.when(n == 0, 0).when(n <= BITS, zeros(one, n)).otherwise(many)
+
+
+def similarity_of(a: Column, b: Column, spots: Column) -> Column:
+    """The score of two texts inside the JVM, with ``spots`` as ``places(b)`` gives them; null if either is null."""
+    both = (F.char_length(a) + F.char_length(b)).cast("double")
+    return F.when(both > 0, (1 - (both - 2 * common_length(a, b, spots)) / both) * 100).when(both == 0, 100.0)

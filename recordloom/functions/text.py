@@ -6,13 +6,10 @@ key matches nothing.
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: White space as Python sees it: Java's Unicode class and the four separators it leaves out.
 WS = r"(?U)[\s\x1c-\x1f]"
@@ -56,15 +53,10 @@ def nullify(value: Column) -> Column:
     return F.when(~F.lower(text).isin(*NULL_LIKE), text)
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
-
-
 def nfkc(text: Column) -> Column:
-    """Unicode compatibility form; ASCII text stays in the JVM and crosses to Python as null."""
-    plain = text.rlike(r"^\p{ASCII}*$")
-    return F.coalesce(_nfkc(F.when(~plain, text)), text)
+    """Unicode compatibility form, by the Unicode library that Spark's collations use; ASCII text is left as it is."""
+    folded = F.java_method(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    return F.when(text.rlike(r"^\p{ASCII}*$") | text.isNull(), text).otherwise(folded)
 
 
 def apply_alias(name: Column, aliases: Mapping[str, str] = ALIASES) -> Column:

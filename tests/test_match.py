@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from recordloom.functions import similarity as sim
-from recordloom.functions.similarity import common_lengths, indel_similarity, similarity, similarity_native
+from recordloom.functions.similarity import common_length, common_lengths, indel_similarity, places, similarity, similarity_of
 from recordloom.operators import fuzzy, match, project
 from recordloom.queries import left_registry, right_registry
 
@@ -46,11 +46,17 @@ def test_score_of_known_pairs():
     assert indel_similarity("a" * 9 + "b", "a" * 9 + "c") == 90.0
 
 
-def test_native_score_equals_arrow_score(spark):
+def test_scores_of_the_jvm_equal_those_in_arrow(spark):
+    """Texts within a word of bits, at its edges, and of several words."""
     rng = random.Random(5)
-    pairs = [("".join(rng.choices("abcd ", k=rng.randint(1, 9))), "".join(rng.choices("abcd ", k=rng.randint(1, 9)))) for _ in range(60)]
-    rows = spark.createDataFrame(pairs, "a string, b string").select(similarity("a", "b").alias("x"), similarity_native(F.col("a"), F.col("b")).alias("y")).collect()
-    assert all(r.x == r.y for r in rows)
+    text = lambda: "".join(rng.choices("abcd é😀", k=rng.choice([0, 1, 2, 9, 30, 61, 62, 63, 64, 123, 124, 125, 186, 200])))
+    pairs = [(text(), text()) for _ in range(250)] + [("a" * 62, "a" * 62), ("a" * 124, "a" * 125), ("ab" * 90, "ba" * 90), (None, "a"), ("a", None)]
+    pairs += [(a, a[: k // 2] + "x" + a[k // 2 + 1 :]) for a, _ in pairs[:80] if (k := len(a)) > 2]
+    rows = spark.createDataFrame(pairs, "a string, b string").withColumn("p", places(F.col("b")))
+    got = rows.select("a", "b", common_length(F.col("a"), F.col("b"), F.col("p")).alias("n"), similarity("a", "b").alias("x"), similarity_of(F.col("a"), F.col("b"), F.col("p")).alias("y")).collect()
+    for r in got:
+        assert r.x == r.y, (r.a, r.b)
+        assert r.a is None or r.b is None or r.n == lcs_table(r.a, r.b)
 
 
 @pytest.mark.parametrize("cutoff", [80, 90, 95])
@@ -131,6 +137,14 @@ def test_fuzzy_ties_go_to_the_first_candidate(spark):
     assert match.best_fuzzy(left, right, 90).first().candidate.endswith("y")
 
 
+def test_best_matches_with_and_without_python(spark, sf_dir):
+    left, right = registries(spark, sf_dir)
+    left, right = left.withColumnRenamed("a", "key"), right.select(F.col("b").alias("key"), F.xxhash64("b").alias("_ord"))
+    a, b = (sorted(tuple(r) for r in match.best_fuzzy(left, right, 90, python).collect()) for python in (True, False))
+    assert a == b and len(a) > 20
+    assert "similarity(" not in match.best_fuzzy(left, right, 90, False)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_every_row_has_one_route(spark, sf_dir):
     left, right = match.with_keys(left_registry(spark, sf_dir), "std_name_en", "cas_no"), match.with_keys(right_registry(spark, sf_dir), "inci_name", "cas_no")
     rows = match.routed(left, right, "inci_name", project.PAYLOAD)

@@ -1,5 +1,9 @@
 """Keys against values worked out by hand from the rules."""
 
+import random
+import unicodedata
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +67,19 @@ def test_scalar_or_list(spark, raw, first, joined, n):
 
 def test_null_item_can_be_written(spark):
     assert spark.createDataFrame([('["x",null]',)], "t string").select(join_list(F.col("t"), null_text="None")).first()[0] == "x | None"
+
+
+def test_compatibility_form_of_every_character(spark):
+    """Every assigned character, alone and in random company, in parts that combine and reorder."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    rng = random.Random(4)
+    parts = [c for c in every if unicodedata.combining(c) or unicodedata.decomposition(c)]
+    texts = every + ["".join(rng.choices(every, k=6)) for _ in range(5000)] + ["".join(rng.choices(parts, k=6)) for _ in range(5000)] + ["", None]
+    rows = spark.createDataFrame(pd.DataFrame({"t": texts})).select("t", tx.nfkc(F.col("t")).alias("n")).toPandas()
+    want = rows["t"].map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+    assert [t for t, n, w in zip(rows["t"], rows["n"], want) if n != w] == []
+    assert "Python" not in rows_plan(spark)
+
+
+def rows_plan(spark):
+    return spark.createDataFrame([("x",)], "t string").select(tx.basic(F.col("t")))._jdf.queryExecution().executedPlan().toString()
