@@ -56,6 +56,28 @@ def _payload(right: DataFrame, name: str, payload: Sequence[str], out: str) -> D
     return right.select(F.col("_ord").alias("_right_ord"), whole.alias(out))
 
 
+def spread(rows: DataFrame, *kept: Column | str, stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
+    """``kept`` columns with a row for each (``stage``, ``key``) that is not null."""
+    order = F.array(*[F.struct(F.lit(i).alias("stage"), F.col(k).alias("key")) for i, (k, _) in enumerate(stages)])
+    return rows.select(*kept, F.explode(order).alias("s")).select("*", "s.stage", "s.key").drop("s").where("key IS NOT NULL")
+
+
+def first_holders(right: DataFrame, name: str, stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
+    """The first row of each key: ``stage``, ``key``, ``_right_ord`` and whether it is ``named``; it decides, and only then its name is looked at."""
+    first = spread(right, F.struct("_ord", F.col(name).isNotNull().alias("named")).alias("first"), stages=stages).groupBy("stage", "key").agg(F.min("first").alias("f"))
+    return first.select("stage", "key", F.col("f._ord").alias("_right_ord"), "f.named")
+
+
+def first_hits(spread_left: DataFrame, holders: DataFrame) -> DataFrame:
+    """``_ord``, ``stage`` and ``_right_ord`` of the first stage that has a named hit."""
+    met = spread_left.join(holders.where("named").drop("named"), ["stage", "key"])
+    return least_hits(met.select("_ord", "stage", "_right_ord"))
+
+
+def least_hits(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("_ord").agg(F.min(F.struct("stage", "_right_ord")).alias("b")).select("_ord", "b.stage", "b._right_ord")
+
+
 def cascade_keys(left: DataFrame, right: DataFrame, name: str, stages: Sequence[tuple[str, str]] = STAGES) -> DataFrame:
     """``_ord`` of each left row that an exact stage matches, its first such ``stage`` and the ``_right_ord`` that it hits.
 
@@ -63,13 +85,7 @@ def cascade_keys(left: DataFrame, right: DataFrame, name: str, stages: Sequence[
     one equi-join; the least stage with a named hit wins.  Only keys and order numbers travel.
     Keys that many rows share are left to the adaptive skew join.  Left rows are told apart by ``_ord``.
     """
-    order = F.array(*[F.struct(F.lit(i).alias("stage"), F.col(k).alias("key")) for i, (k, _) in enumerate(stages)])
-    spread_left = left.select("_ord", F.explode(order).alias("s")).select("_ord", "s.stage", "s.key").where("key IS NOT NULL")
-    spread_right = right.select(F.struct("_ord", F.col(name).isNotNull().alias("named")).alias("first"), F.explode(order).alias("s")).select("first", "s.stage", "s.key").where("key IS NOT NULL")
-    # the first row of a key decides, and only then its name is looked at
-    first = spread_right.groupBy("stage", "key").agg(F.min("first").alias("f")).where("f.named").select("stage", "key", F.col("f._ord").alias("_right_ord"))
-    best = spread_left.join(first, ["stage", "key"]).groupBy("_ord").agg(F.min(F.struct("stage", "_right_ord")).alias("b"))
-    return best.select("_ord", "b.stage", "b._right_ord")
+    return first_hits(spread(left, "_ord", stages=stages), first_holders(right, name, stages))
 
 
 def _label(stages: Sequence[tuple[str, str]]) -> Column:
@@ -118,11 +134,20 @@ def routed(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str],
     """``left`` with one ``status`` a row - matched, review or unmatched - and its hit, label and score.
 
     The exact cascade goes first; one fuzzy pass over distinct keys of what is left decides
-    the rest.  Both give order numbers of the right side, and its payload is joined once at the end.
+    the rest.
     """
     exact = cascade_keys(left, right, name)
     rest = left.join(exact, "_ord", "left_anti").select(F.col("key_full").alias("key"))
-    near = best_fuzzy(rest, right.select(F.col("key_full").alias("key"), "_ord"), limits.cutoff).withColumnRenamed("_right_ord", "_near_ord")
+    near = best_fuzzy(rest, right.select(F.col("key_full").alias("key"), "_ord"), limits.cutoff)
+    return assembled(left, right, exact, near, name, payload, limits)
+
+
+def assembled(left: DataFrame, right: DataFrame, exact: DataFrame, near: DataFrame, name: str, payload: Sequence[str], limits: Thresholds = Thresholds()) -> DataFrame:
+    """The routed rows from exact hits (of ``cascade_keys``) and fuzzy ones (of ``best_fuzzy``).
+
+    Both give order numbers of the right side, and its payload is joined once at the end.
+    """
+    near = near.withColumnRenamed("_right_ord", "_near_ord")
     joined = left.join(exact, "_ord", "left").join(near, (F.col("key_full") == F.col("key")) & F.col("stage").isNull(), "left").drop("key")
     found, auto, review = F.col("stage").isNotNull(), F.col("score") >= limits.auto, F.col("score") >= limits.review
     joined = joined.withColumns({

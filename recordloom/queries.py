@@ -23,6 +23,7 @@ from .plans.reconcile import Reconciliation, publish_pages, publish_payloads, re
 from .sources import fetch, html, payload, tables
 from .sources.counts import CountLog
 from .sources.store import landed, scratch
+from .streaming.incremental import Standing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,6 +296,17 @@ def fuzzy_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed(spark, sf_dir).select("ingredient_code", "status", "match_type", "candidate_score")
 
 
+@query(f"{FUZZY} SELECT ingredient_code, route AS status, coalesce(match_type, CASE WHEN score >= 95 THEN 'fuzzy_auto' END) AS match_type, CASE WHEN route = 'review' THEN score END AS candidate_score, r.substance_id FROM routed x LEFT JOIN r ON r._ord = coalesce(x.o, CASE WHEN route <> 'unmatched' THEN x.fo END)")
+def incremental_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same routes from three arrivals: the right side by ranges of its order, the left side mixed."""
+    left, right, standing = left_registry(spark, sf_dir), right_registry(spark, sf_dir), Standing(spark, scratch(spark))
+    last = right.agg(F.max("_ord")).first()[0]
+    for k in range(3):
+        standing.arrive(k, left.where(F.col("_ord") % 3 == k), right.where((F.col("_ord") * 3 > k * last) & (F.col("_ord") * 3 <= (k + 1) * last)))
+    rows = standing.routed(project.PAYLOAD)
+    return rows.select("ingredient_code", "status", "match_type", "candidate_score", F.col("hit.substance_id").alias("substance_id"))
+
+
 #: Where the summary says its inputs come from.
 INPUTS = {"left_source_mode": "local", "left_input_path": "part", "left_store_key": "", "right_source_mode": "store", "right_input_path": "in/part", "right_store_key": "part"}
 
