@@ -135,7 +135,3 @@ def as_of_date(cells: Column, first: int = 6) -> Column:
     """The first cell from the sixth on that holds a date, dots written as hyphens; the whole cell."""
     rest = F.slice(cells, first, F.greatest(F.size(cells), F.lit(1)))
     return F.replace(F.get(F.filter(rest, lambda c: c.rlike(r"\d{4}[-.]\d{2}[-.]\d{2}")), F.lit(0)), F.lit("."), F.lit("-"))
-
-
-def batch_id(source: str, date: Column) -> Column:
-    return F.concat_ws("_", F.lit(source), date)

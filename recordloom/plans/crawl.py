@@ -42,7 +42,7 @@ def require_whole(plan: DataFrame) -> DataFrame:
 def collect_by_plan(rows: DataFrame, row_id: str, tokens: str, plan: DataFrame, longest: int, most: int | None = None, page_size: int = 100) -> DataFrame:
     """The rows that the final prefixes of a plan find, with ``query_text``, ``page`` and ``nth`` in it.
 
-    A row comes once for each query that finds it, as with repeated searches.  ``most`` takes
+    The plan is read twice: a table, or a landed frame.  A row comes once for each query that finds it, as with repeated searches.  ``most`` takes
     the first queries in order.  A query holds no more rows than the plan's limit, so the
     order within it is a small sort.
     """
