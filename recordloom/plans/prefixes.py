@@ -46,6 +46,12 @@ def split_plan(counts: DataFrame, limit: int = LIMIT, depth: int = DEPTH, seeds:
     return reached.select("prefix", "n", status.alias("status")).where("status IS NOT NULL")
 
 
+def residual(counts: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """Prefixes over the limit with the rows that their children do not add up to: at least so many a split loses."""
+    children = counts.groupBy(F.expr("left(prefix, char_length(prefix) - 1)").alias("prefix")).agg(F.sum("n").alias("below"))
+    return counts.where(F.col("n") > limit).join(children, "prefix", "left").select("prefix", "n", F.greatest(F.col("n") - F.coalesce("below", F.lit(0)), F.lit(0)).alias("residual"))
+
+
 def first_queries(plan: DataFrame, most: int) -> DataFrame:
     """The first ``most`` final prefixes in order."""
     return plan.where("status = 'final'").orderBy("prefix").limit(most)

@@ -412,6 +412,14 @@ def prefix_split_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixes.split_plan(landed(document_prefixes(spark, sf_dir)), limit)  # read twice
 
 
+@query(f"""WITH c AS MATERIALIZED ({PREFIX_COUNTS}) SELECT c.prefix, c.n, greatest(c.n - coalesce(d.below, 0), 0)::BIGINT AS residual FROM c LEFT JOIN (SELECT prefix[1:length(prefix) - 1] AS prefix, sum(n) AS below FROM c GROUP BY 1) d ON d.prefix = c.prefix
+WHERE c.n > (SELECT count(*) FROM documents) // 10""")
+def split_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a split of each prefix over the limit loses at least: rows with a word that ends there, and no longer one."""
+    limit = table(spark, sf_dir, "documents").count() // 10
+    return prefixes.residual(landed(document_prefixes(spark, sf_dir)), limit)
+
+
 def counting_service(spark: SparkSession, sf_dir: str) -> frontier.Ask:
     """Answers as a search service would: for each prefix that is asked the documents that have a word with it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.lower("text"), r"[^a-z0-9]+")).alias("tokens"))

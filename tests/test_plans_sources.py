@@ -48,7 +48,7 @@ def test_plan_edges(spark):
     counts = spark.createDataFrame([("a", 10), ("aa", 10), ("b", 11), ("ba", 4), ("c", 0)], "prefix string, n long")
     assert {r.prefix for r in prefixes.split_plan(counts, 10).collect()} == {"a", "ba"}
     assert {r.prefix for r in prefixes.split_plan(counts, 10, max_seeds=1).collect()} == {"a"}
-    assert prefixes.residual(counts, None, 10).first().residual == 7
+    assert prefixes.residual(counts, 10).first().residual == 7
 
 
 PAGE = """<html><head><title> T&amp;x </title></head><table><tr><td>menu</td></tr></table>
