@@ -7,7 +7,9 @@ the window bound where it can lie in the document; the words of the candidate st
 then compared one by one with the window's.
 
 The prefix table is broadcast only after its size is measured (``MOST_WINDOWS`` rows, checked
-on the table itself); a larger one joins by shuffle, with the same result.
+on the table itself); a larger one joins by shuffle, with the same result.  Then only words that
+can be prefixes are shuffled, with the words around them: a filter of ``FILTER`` bits, one for
+the hash of each prefix word, is broadcast and lets the others go where they stand.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text after lower-casing A-Z.
 Defined results: null text has no words and no hits; items without words or with null text
@@ -26,6 +28,8 @@ from .common import discard, materialize
 WINDOW = 10
 MOST_WINDOWS = 400_000
 SALTS = 8
+#: Bits of the filter: 8 MB as words of 64.
+FILTER = 1 << 26
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -88,11 +92,28 @@ def occurrences(docs: DataFrame, prefix: DataFrame, small: bool) -> DataFrame:
     return kept.select("doc_id", "row", "n_words", F.when(real, start).alias("start"), F.when(real, F.col("size")).alias("size"), "items")
 
 
-def _far_occurrences(rows: DataFrame, prefix: DataFrame) -> DataFrame:
-    """The same by a join of two shuffled sides: a word travels with the words that a window around it can reach."""
+def _prefix_bits(prefix: DataFrame, bits: int) -> DataFrame:
+    """One row ``filter``: words of 64 bits, with one set for the hash of each prefix word."""
+    spot = F.pmod(F.xxhash64("prefix"), F.lit(bits))
+    words = prefix.select(spot.alias("spot")).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(spot & 63 as int)))").alias("set"))
+    every = prefix.sparkSession.range(bits // 64).withColumnRenamed("id", "word").join(words, "word", "left").select("word", F.coalesce("set", F.lit(0)).alias("set"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "set"))), lambda x: x["set"]).alias("filter"))
+
+
+def _may_be_prefix(word: Column, bits: int) -> Column:
+    spot = F.pmod(F.xxhash64(word), F.lit(bits))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), spot.bitwiseAND(63).cast("int"))
+    return F.get("filter", F.shiftright(spot, 6).cast("int")).bitwiseAND(one) != 0
+
+
+def _far_occurrences(rows: DataFrame, prefix: DataFrame, bits: int = FILTER) -> DataFrame:
+    """The same by a join of two shuffled sides: a word that may be a prefix travels with the words that a window around it can reach."""
     reach = prefix.agg(F.coalesce(F.max("size"), F.lit(1)).alias("n")).first().n - 1
     begin = F.greatest(F.col("at") - reach, F.lit(0))
-    each = rows.select("doc_id", "row", "n_words", "said", F.posexplode("said").alias("at", "prefix"))
+    # the places are chosen before rows are made of them, so that the filter does not travel along
+    places = F.filter(F.sequence(F.lit(0), F.col("n_words") - 1), lambda i: _may_be_prefix(F.get("said", i), bits))
+    marked = rows.where("n_words > 0").join(F.broadcast(_prefix_bits(prefix, bits))).select("doc_id", "row", "n_words", "said", places.alias("places"))
+    each = marked.select("doc_id", "row", "n_words", "said", F.explode("places").alias("at")).withColumn("prefix", F.get("said", F.col("at")))
     each = each.select("doc_id", "row", "n_words", "at", "prefix", begin.alias("begin"), F.slice("said", begin + 1, F.col("at") - begin + reach + 1).alias("near"))
     start = F.col("at") - F.col("offset")
     fits = (start >= 0) & (start + F.col("size") <= F.col("n_words"))

@@ -320,9 +320,10 @@ def test_fingerprints_by_hand(spark):
 # 6 ----------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("bound", [decontaminate.MOST_WINDOWS, 0])
-def test_decontamination(spark, bound, monkeypatch):
+@pytest.mark.parametrize("bound,bits", [(decontaminate.MOST_WINDOWS, 64), (0, decontaminate.FILTER), (0, 1024), (0, 64)])
+def test_decontamination(spark, bound, bits, monkeypatch):
     monkeypatch.setattr(decontaminate.prefixes, "__defaults__", (bound,))
+    monkeypatch.setattr(decontaminate._far_occurrences, "__defaults__", (bits,))
     rows = awkward()
     texts = dict(rows)
     items = [(1, texts[30].split("\n")[1]), (2, "one two, three"), (3, None), (4, " -- "), (5, "ONE"), (6, texts[33][:200]), (6, texts[33][:200]), (7, "never seen words"), (None, "one")]
@@ -347,6 +348,19 @@ def test_decontamination(spark, bound, monkeypatch):
     assert any(w[2] for w in want)
 
 
+def test_only_words_that_may_be_prefixes_are_shuffled(spark):
+    rows = frame(spark, awkward()).select("doc_id", decontaminate.words_of(F.col("text")).alias("said"), F.monotonically_increasing_id().alias("row")).withColumn("n_words", F.size("said"))
+    prefix = spark.createDataFrame([("one", 0, 1, ["one"], ["1"]), ("e5", 0, 1, ["e5"], ["2"])], "prefix string, offset int, size int, words array<string>, items array<string>")
+    plain = rows.select(F.explode("said").alias("w"))
+    bits = decontaminate._prefix_bits(prefix, 1 << 16)
+    (row,) = bits.collect()
+    assert len(row["filter"]) == 1 << 10 and sum(bin(x & (2**64 - 1)).count("1") for x in row["filter"]) == 2
+    passed = plain.join(F.broadcast(bits)).where(decontaminate._may_be_prefix(F.col("w"), 1 << 16))
+    assert {r.w for r in passed.select("w").collect()} == {"one", "e5"}
+    found = decontaminate._far_occurrences(rows, prefix, 1 << 16).where("start IS NOT NULL")
+    assert found.count() == plain.where("w IN ('one', 'e5')").count() > 3
+
+
 def test_decontamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.decontaminate(empty(spark), none).count() == 0
