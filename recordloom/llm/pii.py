@@ -2,7 +2,7 @@
 
 Base spans follow fixed patterns and checks and always stay.  Candidates are the matches of
 the same patterns that fail their checks, and of looser patterns: addresses with "at" and
-"dot" written out, other notations of network addresses, national and unpunctuated phone
+"dot" written out in four languages, other notations of network addresses, national and unpunctuated phone
 numbers, card numbers in other groupings, and credentials (``secret``, a kind that has
 candidates only).  Four labelers vote on every span, yes, no or not at all:
 
@@ -10,7 +10,7 @@ candidates only).  Four labelers vote on every span, yes, no or not at all:
 * checksum - Luhn for cards, the sense of the parts of an address, the variety of digits;
 * gazetteer - issuer ranges for cards, assigned country codes for phones, top-level domains
   for email, reserved blocks for network addresses, prefixes of issued credentials;
-* context - the words beside the span: words that name its kind vote yes, code-like
+* context - the words beside the span: words that name its kind, in English, French, German or Spanish, vote yes, code-like
   neighbours (version, price, digits that go on) vote no.
 
 Expectation-maximisation over the counts of votes (at most 3 ** 4 patterns a kind) estimates
@@ -58,18 +58,22 @@ LINEAR = {
     "phone": PATTERNS["phone"],
 }
 #: Looser forms, for candidates only.
-AT, DOT = r"(?: ?(?:\(at\)|\[at\]|\{at\}) ?| at )", r"(?: ?(?:\(dot\)|\[dot\]|\{dot\}) ?| dot )"
+AT_WORDS, DOT_WORDS = "(?:at|arobase|arroba|ät)", "(?:dot|point|punto|punkt)"
+AT, DOT = (rf"(?: ?(?:\({w}\)|\[{w}\]|\{{{w}\}}) ?| {w} )" for w in (AT_WORDS, DOT_WORDS))
 HEX = "[0-9A-Fa-f]{1,4}"
 LOOSE = {
     "email": rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{AT}[A-Za-z0-9-]++(?:{DOT}[A-Za-z0-9-]++)++",
-    "ip": rf"(?<![0-9A-Za-z:.])(?:(?:{HEX}:){{7}}{HEX}|(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}|[0-9]{{1,3}}(?:(?:\[\.\]|\(\.\))[0-9]{{1,3}}){{3}})(?![0-9A-Za-z:])",
-    "card": r"(?<![0-9])[0-9]{4}([._/]|\x{a0}|  |--)[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])",
-    "phone": r"(?<![0-9+(./-])(?:00[1-9][0-9 ().-]{7,16}[0-9]|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[0-9]{1,4}[ /-][0-9]{3,4}[ -]?[0-9]{3,5})(?![0-9])",
+    "ip": rf"(?i)(?<![0-9A-Za-z:.])(?:(?:{HEX}:){{7}}{HEX}|(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}|[0-9]{{1,3}}(?:(?:\[\.\]|\(\.\)|{DOT})[0-9]{{1,3}}){{3}})(?![0-9A-Za-z:])",
+    "card": r"(?<![0-9])[0-9]{4}([._/]|\x{a0}|  |--)(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{6}\1[0-9]{5})(?![0-9])",
+    "phone": r"(?<![0-9+(./-])(?:00[1-9][0-9 ().-]{7,16}[0-9]|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|0[0-9]{1,4}[ /-][0-9]{3,4}[ -]?[0-9]{3,5}|0[1-9](?:([ .-])[0-9]{2})(?:\1[0-9]{2}){3}|[679][0-9]{2}(?:([ .-])[0-9]{2}(?:\2[0-9]{2}){2}| [0-9]{3} [0-9]{3}))(?![0-9]|[.-][0-9])",
     "secret": r"(?<![A-Za-z0-9+/_=.-])(?:[A-Z]{4}[0-9A-Z]{16}|[0-9a-fA-F]{32,128}|[A-Za-z0-9+/_-]{24,128}={0,2})(?![A-Za-z0-9+/_=-])",
 }
 #: A text without a match of this cannot match the pattern.
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{2}|[0-9][ -][0-9]", "phone": r"\+[0-9]"}
-LOOSE_GUARDS = {"email": r"(?i)[ (\[{]dot[ )\]}]", "ip": r":[0-9A-Fa-f]{0,4}:|[0-9][\[(]\.", "card": r"[0-9]{4}(?:[._/]|\x{a0}|  |--)[0-9]{4}", "phone": "[0-9]{2}[0-9)][ ./-]?[0-9]{3}", "secret": "[A-Za-z0-9+/_-]{20}"}
+LOOSE_GUARDS = {
+    "email": rf"(?i)[ (\[{{]{DOT_WORDS}[ )\]}}]", "ip": rf"(?i):[0-9A-F]{{0,4}}:|[0-9] ?[\[({{ ](?:\.|{DOT_WORDS})", "card": r"[0-9]{4}(?:[._/]|\x{a0}|  |--)[0-9]{4}", "phone": "[0-9]{2}[0-9)][ ./-]?[0-9]{3}|[0-9]{2}[ .-][0-9]{2}[ .-][0-9]{2}",
+    "secret": "[A-Za-z0-9+/_-]{20}",
+}
 #: The gazetteers.  Country codes as assigned, two-letter domains as a rule, generic
 #: ones by name; blocks of addresses that are reserved; ranges of card issuers; prefixes of credentials.
 GENERIC = "com|org|net|edu|gov|mil|int|arpa|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|tel|cat|asia|post|app|dev|page|blog|shop|online|site|cloud|email|tech|xyz"
@@ -81,12 +85,18 @@ COUNTRY_CODES = (
 RESERVED_BLOCKS = r"(?:0|10|127|22[4-9]|23[0-9]|24[0-9]|25[0-5])\.|100\.(?:6[4-9]|[789][0-9]|1[01][0-9]|12[0-7])\.|169\.254\.|172\.(?:1[6-9]|2[0-9]|3[01])\.|192\.0\.[02]\.|192\.168\.|198\.1[89]\.|198\.51\.100\.|203\.0\.113\."
 ISSUERS = "4[0-9]{12}(?:[0-9]{3}){0,2}|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}|3[47][0-9]{13}|3(?:0[0-5]|[68][0-9])[0-9]{11}|6(?:011|5[0-9]{2}|4[4-9][0-9])[0-9]{12}|35(?:2[89]|[3-8][0-9])[0-9]{12}|62[0-9]{14,17}"
 ISSUED = r"^(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[0-9A-Za-z-]{10,}|glpat-[0-9A-Za-z_-]{20})$"
-#: Words that name a kind, at the end of what stands before a span, and words that name something else.
+#: How numbers of a country are written at home: ten digits from 0 in pairs, nine digits, an area code and the rest.
+NATIONAL = r"^(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?:[ .-][0-9]{2}){3}|[679][0-9]{2} [0-9]{3} [0-9]{3}|0[1-9][0-9]{1,3}[ /-][0-9 -]{5,9})$"
+#: Words that name a kind in four languages, at the end of what stands before a span (little words may follow), and words that name something else.
+LITTLE = r"(?:\W+(?:is|at|on|to|me|us|ist|an|unter|auf|est|le|la|au|sur|es|al|en|el|de))?\W*$"
 NAMING = {
-    "email": r"(?i)(e-?mail|mail|contact|write|reply|address)\W*$", "ip": r"(?i)(ip|ipv[46]|host|server|address|client|from|login)\W*$", "card": r"(?i)(card|visa|mastercard|amex|credit|debit|pan|cc)\W*$",
-    "phone": r"(?i)(phone|tel|telephone|call|mobile|cell|fax|contact|dial|sms)\W*$", "secret": r"(?i)(token|secret|passwo?r?d|key|auth|bearer|credentials?|api_?key)[\W_]*$",
+    "email": r"(?i)(?<![\p{L}])(e-?mail|mail|contact|write|reply|address|courriel|adresse|écri\w*|contactez|kontakt|schreib\w*|correo|dirección|contacto|escrib\w*)" + LITTLE,
+    "ip": r"(?i)(?<![\p{L}])(ip|ipv[46]|host|server|address|client|from|login|serveur|adresse|hôte|rechner|servidor|dirección|cliente|equipo)" + LITTLE,
+    "card": r"(?i)(?<![\p{L}])(card|visa|mastercard|amex|credit|debit|pan|cc|carte|crédit|débit|\w*karte|tarjeta|crédito|débito)" + LITTLE,
+    "phone": r"(?i)(?<![\p{L}])(phone|tel|telephone|call|mobile|cell|fax|contact|dial|sms|tél|téléphone|portable|appel\w*|telefon\w*|handy|ruf\w*|anruf\w*|teléfono|móvil|llam\w*)" + LITTLE,
+    "secret": r"(?i)(token|secret|passwo?r?d|key|auth|bearer|credentials?|api_?key|jeton|clé|mot de passe|schlüssel|kennwort|passwort|clave|contraseña)[\W_]*$",
 }
-CODE = r"(?i)(version|v|ver|section|chapter|figure|isbn|issn|\$|€|£|#|no|nr|id|order|invoice|sha|commit|checksum|md5)[\W_]*$"
+CODE = r"(?i)(version|v|ver|section|chapter|figure|isbn|issn|\$|€|£|#|no|nr|id|order|invoice|sha|commit|checksum|md5|commande|facture|chapitre|bestellung|rechnung|kapitel|pedido|factura|capítulo)[\W_]*$"
 
 
 def _digits(found: Column) -> Column:
@@ -161,6 +171,7 @@ def voted(found: DataFrame) -> DataFrame:
     kind, text, digits, left, right = F.col("kind"), F.col("found"), F.col("digits"), F.col("left"), F.col("right")
     rows = found.withColumn("digits", _digits(text)).withColumn("n", F.length("digits")).withColumn("base", F.col("strict") & _passes(kind, text))
     varied = F.size(F.array_distinct(F.split(digits, ""))) > 2
+    mixed = F.size(F.array_distinct(F.split(digits, ""))) > F.when(F.col("n") > 8, 3).otherwise(2)
     plain = F.lower(F.regexp_replace(F.regexp_replace(text, f"(?i){AT}", "@"), f"(?i){DOT}|\\[\\.\\]|\\(\\.\\)", "."))
     rows = rows.withColumn("plain", plain)
     plain, last, n = F.col("plain"), F.regexp_extract("plain", "([a-z0-9-]+)$", 1), F.col("n")
@@ -171,12 +182,12 @@ def voted(found: DataFrame) -> DataFrame:
     form = _of(kind, {k: _vote(F.col("base"), F.col("strict")) for k in KINDS} | {"secret": _vote((hexed & lettered) | text.rlike(ISSUED), ~lettered)})
     checksum = _of(kind, {
         "email": _vote(plain.rlike(r"^[a-z0-9][a-z0-9._%+-]*+@(?:[a-z0-9-]++\.)++[a-z]{2,}+$") & ~plain.rlike(r"\.\.|@-|-\.|\.-|\.@"), plain.rlike(r"\.\.|@-|-\.|\.@")), "ip": _vote(plain.contains(":") & (F.length(plain) > 8) | octets & varied, ~octets & ~plain.contains(":")),
-        "card": _vote(luhn(digits) & varied & n.between(13, 19), F.lit(True)), "phone": _vote(varied & n.between(10, 13), ~varied | (n < 7) | (n > 15)), "secret": _vote(lettered & (kinds_of >= 10), kinds_of < 8),
+        "card": _vote(luhn(digits) & varied & n.between(13, 19), F.lit(True)), "phone": _vote(mixed & n.between(10, 13), ~mixed | (n < 7) | (n > 15)), "secret": _vote(lettered & (kinds_of >= 10), kinds_of < 8),
     })
     dialled = F.regexp_replace(digits, "^00", "")
     gazetteer = _of(kind, {
         "email": _vote(last.rlike(f"^(?:{GENERIC}|[a-z]{{2}})$"), last.rlike(f"[0-9]|^(?:{RESERVED_DOMAINS})$")), "ip": _vote(~plain.rlike(f"^(?:{RESERVED_BLOCKS})") & ~plain.rlike("^(?:::|fe80:|f[cd])"), F.lit(True)),
-        "card": _vote(digits.rlike(f"^(?:{ISSUERS})$"), F.lit(True)), "phone": _vote(text.rlike(r"^(?:\+|00)") & dialled.rlike(f"^(?:{COUNTRY_CODES})") | text.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-]+[2-9][0-9]{2}"), text.rlike(r"^(?:\+|00)")),
+        "card": _vote(digits.rlike(f"^(?:{ISSUERS})$"), F.lit(True)), "phone": _vote(text.rlike(r"^(?:\+|00)") & dialled.rlike(f"^(?:{COUNTRY_CODES})") | text.rlike(r"^\(?[2-9][0-9]{2}\)?[ .-]+[2-9][0-9]{2}") | text.rlike(NATIONAL), text.rlike(r"^(?:\+|00)")),
         "secret": _vote(text.rlike(ISSUED), F.lit(False)),
     })
     joined = left.rlike("[A-Za-z0-9_]$") | right.rlike("^[A-Za-z0-9_@]")
