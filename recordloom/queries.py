@@ -570,25 +570,39 @@ def json_array_first_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", first_or_none(raw).alias("first_k"), join_list(raw).alias("joined_k"), count_items(raw).cast("int").alias("n_k"))
 
 
+#: Fields of the search pages besides those that ``conversation_pages`` spells out: the name and the role of the turn.
+PLAIN = [v for v in (*payload.FIRST.values(), *payload.JOINED.values()) if v not in ("inciName", "itemType", "functionName", "status", "casNo", "annexNo", "otherRestrictions", "substanceId")]
+LABELS = [v for v in payload.ITEM.values() if v not in ("reference", "database", "weight")]
+
+
+def _named(field: str) -> str:
+    return f"concat('{field} ', role)"
+
+
 def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A JSON search page for each conversation: its turns as results, the words of a text as functions."""
+    """A JSON search page for each conversation: its turns as results, the words of a text as functions, every field filled."""
     meta = {
         "inciName": F.array("text"), "itemType": F.lit("ingredient"), "functionName": F.split("text", " "), "status": F.col("role"), "casNo": F.array(F.concat("role", F.lit(" ")), F.lit("x")),
         "annexNo": F.array("role", "role"), "otherRestrictions": F.array().cast("array<string>"), "substanceId": F.col("turn").cast("string"),
-    }
-    item = F.struct(F.concat_ws("-", "conv_id", "turn").alias("reference"), F.col("role").alias("database"), F.lit(1.5).alias("weight"), F.struct(*[v.alias(k) for k, v in meta.items()]).alias("metadata"))
+    } | {v: F.expr(_named(v)) for v in PLAIN}
+    labels = [F.expr(_named(v)).alias(v) for v in LABELS]
+    item = F.struct(F.concat_ws("-", "conv_id", "turn").alias("reference"), F.col("role").alias("database"), F.lit(1.5).alias("weight"), *labels, F.struct(*[v.alias(k) for k, v in meta.items()]).alias("metadata"))
     pages = table(spark, sf_dir, "conversations").where("text IS NOT NULL").groupBy("conv_id").agg(F.collect_list(item).alias("results"))
-    page = F.struct(F.lit("1.0").alias("apiVersion"), F.size("results").alias("totalResults"), F.lit(1).alias("pageNumber"), F.lit(100).alias("pageSize"), F.col("results"))
+    page = F.struct(
+        F.lit("1.0").alias("apiVersion"), F.concat(F.col("conv_id").cast("string"), F.lit("*")).alias("terms"), F.lit(12).alias("responseTime"), F.size("results").alias("totalResults"), F.lit(1).alias("pageNumber"),
+        F.lit(100).alias("pageSize"), F.lit("asc").alias("sort"), F.col("results"),
+    )
     return pages.select(F.col("conv_id").cast("string").alias("query_text"), F.to_json(page).alias("payload"))
 
 
 TURNS = rf"SELECT conv_id, turn, role, text, list_filter(list_transform(string_split(text, ' '), lambda w: regexp_replace(w, '^{SPACE}+|{SPACE}+$', '', 'g')), lambda w: w <> '') AS f, len(string_split(text, ' ')) AS k FROM conversations WHERE text IS NOT NULL"
-#: Every one of the 44 columns; those not named here are null in these pages.
-FLAT = {
-    "query_text": "conv_id::VARCHAR", "api_version": "'1.0'", "page_number": "'1'", "page_size": "'100'", "total_results": "count(*) OVER (PARTITION BY conv_id)", "reference_uuid": "concat_ws('-', conv_id, turn)",
-    "database": "role", "weight": "'1.5'", "inci_name": f"nullif({_stripped('text')}, '')", "function_names": "nullif(array_to_string(f, ' | '), '')", "function_count": "k::INT", "item_type": "'ingredient'", "status": "role",
-    "cas_no": "role", "annex_no": "concat(role, ' | ', role)", "substance_id": "turn::VARCHAR", "source": "'b'", "ingest_date": f"'{DATE}'", "batch_id": f"'b_{DATE}'",
-    "raw_metadata": """to_json(struct_pack(inciName := [text], itemType := 'ingredient', functionName := string_split(text, ' '), status := role, casNo := [concat(role, ' '), 'x'], annexNo := [role, role], otherRestrictions := []::VARCHAR[], substanceId := turn::VARCHAR))::VARCHAR""",
+#: Every one of the 44 columns; the one not named here is null in these pages, whose list is empty.
+FLAT = {c: _named(v) for c, v in (*payload.FIRST.items(), *payload.JOINED.items(), *payload.ITEM.items()) if v in (*PLAIN, *LABELS)} | {
+    "query_text": "conv_id::VARCHAR", "api_version": "'1.0'", "terms": "concat(conv_id, '*')", "response_time": "'12'", "page_number": "'1'", "page_size": "'100'", "sort": "'asc'", "total_results": "count(*) OVER (PARTITION BY conv_id)",
+    "reference_uuid": "concat_ws('-', conv_id, turn)", "database": "role", "weight": "'1.5'", "inci_name": f"nullif({_stripped('text')}, '')", "function_names": "nullif(array_to_string(f, ' | '), '')", "function_count": "k::INT",
+    "item_type": "'ingredient'", "status": "role", "cas_no": "role", "annex_no": "concat(role, ' | ', role)", "substance_id": "turn::VARCHAR", "source": "'b'", "ingest_date": f"'{DATE}'", "batch_id": f"'b_{DATE}'",
+    "raw_metadata": "to_json(struct_pack(inciName := [text], itemType := 'ingredient', functionName := string_split(text, ' '), status := role, casNo := [concat(role, ' '), 'x'], annexNo := [role, role], otherRestrictions := []::VARCHAR[], substanceId := turn::VARCHAR, "
+    + ", ".join(f'"{v}" := {_named(v)}' for v in PLAIN) + "))::VARCHAR",
 }
 
 
@@ -708,12 +722,16 @@ def search_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_many(rows, asked.union(spark.createDataFrame([("*",)], "query_text string")), "id", "text")
 
 
-@query("""WITH t AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS c, count(DISTINCT conv_id) FILTER (conv_id % 7 = 0) AS odd FROM conversations WHERE text IS NOT NULL)
-SELECT unnest(['page', 'page', 'page', 'page', 'page', 'page', 'result', 'result', 'result', 'result', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata', 'metadata']) AS level,
-  unnest(['apiVersion', 'totalResults', 'pageNumber', 'pageSize', 'results', 'tookMs', 'reference', 'database', 'weight', 'metadata', 'inciName', 'itemType', 'functionName', 'status', 'casNo', 'annexNo', 'otherRestrictions', 'substanceId']) AS field,
-  unnest([true, true, true, true, true, false, true, true, true, true, true, true, true, true, true, true, true, true]) AS known,
-  unnest([c, c, c, c, c, odd, n, n, n, n, n, n, n, n, n, n, n, n]) AS n,
-  unnest(['STRING', 'BIGINT', 'BIGINT', 'BIGINT', 'ARRAY', 'BIGINT', 'STRING', 'STRING', 'DECIMAL', 'OBJECT', 'ARRAY', 'STRING', 'ARRAY', 'STRING', 'ARRAY', 'ARRAY', 'ARRAY', 'STRING']) AS kinds FROM t""")
+#: (level, field, known, how many, kinds) of the fields of ``conversation_pages`` and one more.
+FIELDS = [("page", f, True, "c", k) for f, k in (("apiVersion", "STRING"), ("terms", "STRING"), ("responseTime", "BIGINT"), ("totalResults", "BIGINT"), ("pageNumber", "BIGINT"), ("pageSize", "BIGINT"), ("sort", "STRING"), ("results", "ARRAY"))]
+FIELDS += [("page", "tookMs", False, "odd", "BIGINT"), *[("result", f, True, "n", k) for f, k in (("reference", "STRING"), ("database", "STRING"), ("weight", "DECIMAL"), ("metadata", "OBJECT"), *[(v, "STRING") for v in LABELS])]]
+FIELDS += [("metadata", f, True, "n", "ARRAY") for f in ("inciName", "functionName", "casNo", "annexNo", "otherRestrictions")] + [("metadata", f, True, "n", "STRING") for f in ("itemType", "status", "substanceId", *PLAIN)]
+
+
+@query(
+    "WITH t AS (SELECT count(*) AS n, count(DISTINCT conv_id) AS c, count(DISTINCT conv_id) FILTER (conv_id % 7 = 0) AS odd FROM conversations WHERE text IS NOT NULL) "
+    + " UNION ALL ".join(f"SELECT '{level}' AS level, '{field}' AS field, {known} AS known, {n} AS n, '{kinds}' AS kinds FROM t" for level, field, known, n, kinds in FIELDS)
+)
 def payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of all search pages by level, one of them unknown and only on some pages."""
     pages = conversation_pages(spark, sf_dir)
