@@ -29,7 +29,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -139,14 +138,23 @@ def _asked_grams(data: np.ndarray, at: np.ndarray, learn: np.ndarray) -> tuple[n
     return _summed(np.concatenate(names), np.concatenate(counts))
 
 
-def _scores(data: np.ndarray, at: np.ndarray, names: np.ndarray, log10: np.ndarray) -> np.ndarray:
-    """The sum of ``log10`` over the codes of each text; ``names`` has all of them."""
-    out, table = np.zeros(len(at) - 1), pa.array(names)
-    for a, b in slices(at, 4 << 20):
-        spot = pc.index_in(pa.array(codes(data, at[a : b + 1])), value_set=table).to_numpy()
-        each = np.append(0, np.cumsum(log10[spot]))
-        out[a:b] = each[at[a + 1 : b + 1] - at[a]] - each[at[a:b] - at[a]]
-    return out
+class _Codes:
+    """The codes of texts as numbers of distinct ones, so that what is known of these gives every text's sum."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray) -> None:
+        self.at, self.parts = at, []
+        for a, b in slices(at, 1 << 18):
+            names, spot = np.unique(codes(data, at[a : b + 1]), return_inverse=True)
+            self.parts.append((a, b, names, spot.astype(np.uint32)))
+        self.names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(p[2] for p in self.parts)]))
+
+    def sums(self, log10: np.ndarray) -> np.ndarray:
+        """The sum of ``log10``, given for ``names``, over the codes of each text."""
+        out = np.zeros(len(self.at) - 1)
+        for a, b, names, spot in self.parts:
+            each = np.append(0, np.cumsum(log10[np.searchsorted(self.names, names)][spot]))
+            out[a:b] = each[self.at[a + 1 : b + 1] - self.at[a]] - each[self.at[a:b] - self.at[a]]
+        return out
 
 
 def gram_log10(asked: DataFrame, blocks: int) -> DataFrame:
@@ -186,17 +194,24 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     groups = blocks = block_count(spark, text_bytes(docs), 2)
     rows = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
 
-    def ask(key: tuple, group: pa.Table) -> pa.Table:
+    def said(column: pa.Array) -> list[np.ndarray]:
+        """The words of each text and its end."""
         words = WordHash()
-        found, learn = [], group["learn"].to_pylist()
-        for text in texts(group["text"]):
-            found.append(np.append(words.of(text.lower().split()), np.uint64(words[END])))
-        h = np.concatenate(found)
-        used = np.repeat(np.array(learn), [len(x) for x in found])
-        said = _summed(h, used)
-        data, at = utf8(group["text"])
+        return [np.append(words.of(text.lower().split()), np.uint64(words[END])) for text in texts(column)]
+
+    def told(names: np.ndarray, by: np.ndarray, answers: dict[int, bytes], kind: type) -> np.ndarray:
+        """The answers to ``names``, which were asked block by block in the order of ``deal``."""
+        out = np.zeros(len(names), kind)
+        order, runs = deal(by, blocks)
+        for block, x, y in runs:
+            out[order[x:y]] = np.frombuffer(answers[block], kind)
+        return out
+
+    def ask(key: tuple, group: pa.Table) -> pa.Table:
+        found, learn = said(group["text"]), np.array(group["learn"].to_pylist())
+        words = _summed(np.concatenate(found), np.repeat(learn, [len(x) for x in found]))
         out: dict[int, list[bytes]] = {}
-        for k, (names, n) in enumerate((said, _asked_grams(data, at, np.array(learn)))):
+        for k, (names, n) in enumerate((words, _asked_grams(*utf8(group["text"]), learn))):
             order, runs = deal(_key(names) if k else names, blocks)
             names, n = names[order], n[order].astype("<u4")
             for block, x, y in runs:
@@ -205,7 +220,7 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
         return pa.table({"block": pa.array(list(out), pa.int32()), "grp": pa.array([key[0].as_py()] * len(out), pa.int32()), "a": a, "b": b, "c": c, "d": d})
 
     def meet(key: tuple, group: pa.Table, grams: pa.Table) -> pa.Table:
-        asked, who, sought = group["a"].to_pylist(), group["grp"].to_pylist(), group["c"].to_pylist()
+        asked, who, wanted = group["a"].to_pylist(), group["grp"].to_pylist(), group["c"].to_pylist()
         names, spot = np.unique(np.frombuffer(b"".join(asked), np.uint64), return_inverse=True)
         n = np.frombuffer(b"".join(group["b"].to_pylist()), "<u4")
         total = np.zeros(len(names), np.int64)
@@ -215,17 +230,18 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
         code, log10 = grams["code"].to_numpy().view(np.uint64), grams["log10"].to_numpy()
         order = np.argsort(code)
         code, log10 = code[order], log10[order]
-        judged = [log10[np.searchsorted(code, np.frombuffer(x, np.uint64))].tobytes() for x in sought]
+        judged = [log10[np.searchsorted(code, np.frombuffer(x, np.uint64))].tobytes() for x in wanted]
         none = len(replies)
         return pa.table({
-            "grp": pa.array([*who, -1], pa.int32()), "a": pa.array([*asked, b""], pa.binary()), "b": pa.array([*replies, b""], pa.binary()), "c": pa.array([*sought, b""], pa.binary()), "d": pa.array([*judged, b""], pa.binary()),
+            "grp": pa.array([*who, -1], pa.int32()), "block": pa.array([key[0].as_py()] * (none + 1), pa.int32()), "b": pa.array([*replies, b""], pa.binary()), "d": pa.array([*judged, b""], pa.binary()),
             "tokens": pa.array([0] * none + [int(total.sum())], pa.int64()), "kinds": pa.array([0] * none + [int((total > 0).sum())], pa.int64()),
         })
 
     asked = materialize(rows.groupBy("grp").applyInArrow(ask, "block int, grp int, a binary, b binary, c binary, d binary"))
     release(spark)
     judged = gram_log10(asked, blocks)
-    met = asked.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(meet, "grp int, a binary, b binary, c binary, d binary, tokens long, kinds long")
+    # answers come without what they answer: a group knows what it has asked a block, in which order
+    met = asked.drop("d").groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(meet, "grp int, block int, b binary, d binary, tokens long, kinds long")
     replies = materialize(met)
     discard(met)
     del asked, judged, met
@@ -234,17 +250,16 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
     total, kinds = int(sums.n), int(sums.v)
 
     def judge(key: tuple, group: pa.Table, got: pa.Table) -> pa.Table:
-        words = WordHash()
-        names = np.frombuffer(b"".join(got["a"].to_pylist()), np.uint64)
-        n = np.frombuffer(b"".join(got["b"].to_pylist()), np.int64)
-        order = np.argsort(names)
-        names, n = names[order], n[order]
+        counted, judged = (dict(zip(got["block"].to_pylist(), got[c].to_pylist())) for c in "bd")
+        grams = _Codes(*utf8(group["text"]))
+        trie = grams.sums(told(grams.names, _key(grams.names), judged, np.float64))
+        found = said(group["text"])
+        names = np.unique(np.concatenate(found))
+        n = told(names, names, counted, np.int64)
         weight = np.log10(n + 0.5)
-        data, at = utf8(group["text"])
-        trie = _scores(data, at, np.frombuffer(b"".join(got["c"].to_pylist()), np.uint64), np.frombuffer(b"".join(got["d"].to_pylist()), np.float64))
         tokens, known, base = [], [], []
-        for text in texts(group["text"]):
-            spot = np.searchsorted(names, np.append(words.of(text.lower().split()), np.uint64(words[END])))
+        for text in found:
+            spot = np.searchsorted(names, text)
             tokens.append(len(spot))
             known.append(int((n[spot] > 0).sum()))
             base.append(float(weight[spot].sum() - len(spot) * np.log10(total + 0.5 * (kinds + 1))))
@@ -252,4 +267,4 @@ def score_documents(docs: DataFrame, training: Column) -> DataFrame:
 
     fields = [T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(c, T.DoubleType()) for c in ("base_score", "score")]
     own = rows.select("grp", "doc_id", "text").groupBy("grp")
-    return own.cogroup(replies.where("grp >= 0").select("grp", "a", "b", "c", "d").groupBy("grp")).applyInArrow(judge, T.StructType([docs.schema["doc_id"], *fields]))
+    return own.cogroup(replies.where("grp >= 0").select("grp", "block", "b", "d").groupBy("grp")).applyInArrow(judge, T.StructType([docs.schema["doc_id"], *fields]))
