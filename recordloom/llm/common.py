@@ -7,6 +7,7 @@ import ctypes
 import gc
 import re
 import sys
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -83,10 +84,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that nothing refers to any more.
 
     It does so when the driver's garbage is collected, which may otherwise be long after the
-    next phase has written its own.
+    next phase has written its own.  One collection is not enough: what it takes away lets go of
+    the shuffles only for the next one, and they are deleted beside it.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def fold(column: Column, modulus: int) -> Column:
