@@ -282,8 +282,8 @@ def match_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{FUZZY} SELECT a AS key, candidate, score FROM best")
 def fuzzy_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left, right = keyed_left(spark, sf_dir), keyed_right(spark, sf_dir)
-    rest = match.cascade(left, right, "inci_name", project.PAYLOAD).where("hit IS NULL").select(F.col("key_full").alias("key"))
+    left, right = keyed_left(spark, sf_dir), landed(keyed_right(spark, sf_dir))  # read by each step
+    rest = left.join(match.cascade_keys(left, right, "inci_name"), "_ord", "left_anti").select(F.col("key_full").alias("key"))
     return match.best_fuzzy(rest, right.select(F.col("key_full").alias("key"), "_ord"), 90).drop("_right_ord")
 
 
