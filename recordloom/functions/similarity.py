@@ -21,10 +21,27 @@ def _codes(texts: list[str], blank: int) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
+#: Characters of a text whose row of the table is one word.
+WORD = 64
+
+
+def _word_lengths(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Lengths for codes of texts of at most ``WORD`` characters: a row of the table is a word of bits, a zero where it grows."""
+    if max(left.max(initial=0), right.max(initial=0)) < 254:  # most texts; a byte a character compares faster
+        left, right = left.astype(np.uint8), right.astype(np.uint8)  # blanks become 255 and 254
+    right = np.ascontiguousarray(right.T)
+    row, met = np.full(len(left), ~np.uint64(0)), np.zeros((len(left), WORD), bool)
+    for letters in right:
+        np.equal(left, letters[:, None], out=met[:, : left.shape[1]])
+        same = row & np.packbits(met, axis=1, bitorder="little").view("<u8")[:, 0]
+        row = (row + same) | (row - same)
+    return np.bitwise_count(~row).astype(np.int64)
+
+
 def common_lengths(a: list[str], b: list[str]) -> np.ndarray:
     """Lengths of the longest common subsequences of pairs of texts, all pairs of a block in step.
 
-    A row of the usual table grows along it, so a running maximum gives the next one whole.
+    Of long texts a row of the usual table grows along it, so a running maximum gives the next one whole.
     """
     out = np.zeros(len(a), np.int64)
     long = np.fromiter(map(len, a), np.int64, len(a))
@@ -36,6 +53,9 @@ def common_lengths(a: list[str], b: list[str]) -> np.ndarray:
         at += len(block)
         left, size = _codes([a[k] for k in block], -1)
         right, _ = _codes([b[k] for k in block], -2)
+        if left.shape[1] <= WORD:
+            out[block] = _word_lengths(left, right)
+            continue
         row = np.zeros((len(block), left.shape[1] + 1), np.int32)
         for j in range(right.shape[1]):
             met = row[:, :-1] + (left == right[:, j, None])

@@ -10,11 +10,14 @@ much as the characters of its groups; these are dealt by how much each tells the
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.store import landed
+
 #: Groups that a key is made of.
 SHARED = 2
 #: Most groups of characters, so pairs of up to ``MOST - SHARED`` edits are found by them.
@@ -157,14 +160,27 @@ def _piece_sides(left: DataFrame, right: DataFrame, cutoff: int, above: int) ->
     return probes, shown
 
 
-def sides(left: DataFrame, right: DataFrame, cutoff: int) -> list[tuple[DataFrame, DataFrame]]:
-    """Keyed probes (a, sa, d, key) and texts (b, sb, key) that meet on ``key``: by projections, and by pieces where there are texts too long for these."""
+def signed(texts: DataFrame, text: str) -> DataFrame:
+    """Distinct texts that are not empty, with their length (``m`` of ``a``, ``n`` of ``b``) and signature (``sa``, ``sb``)."""
+    to = {"a": "m", "b": "n"}[text]
+    # lengths are aggregates: conditions on them stay above the exchange and do not repeat what made the texts
+    size = texts.groupBy(text).agg(F.max(F.char_length(text)).alias(to)).where(F.col(to) > 0)
+    return _with_signatures(size, text, f"s{text}")
+
+
+def _check(cutoff: int) -> None:
     if not 50 < cutoff <= 100:
         raise ValueError("the cutoff must lie above 50, up to 100")
-    # lengths are aggregates: conditions on them stay above the exchange and do not repeat what made the texts
-    size = lambda rows, text, to: rows.groupBy(text).agg(F.max(F.char_length(text)).alias(to)).where(F.col(to) > 0)
-    a, b = _with_signatures(size(left, "a", "m"), "a", "sa"), _with_signatures(size(right, "b", "n"), "b", "sb")
-    letters, longest = survey(right, "b")
+
+
+def sides(left: DataFrame, right: DataFrame, cutoff: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Keyed probes (a, sa, d, key) and texts (b, sb, key) that meet on ``key``: by projections, and by pieces where there are texts too long for these."""
+    _check(cutoff)
+    return signed_sides(signed(left, "a"), signed(right, "b"), cutoff, *survey(right, "b"))
+
+
+def signed_sides(a: DataFrame, b: DataFrame, cutoff: int, letters: list[tuple[str, float]], longest: int) -> list[tuple[DataFrame, DataFrame]]:
+    """``sides`` of texts as ``signed`` gives them, with the ``survey`` of the right ones."""
     # groups that hold no telling character would let everything through
     most = max(min(MOST, len(letters)) - SHARED, 0)
     out = [keyed_sides(a, b, cutoff, most, letters)]
@@ -181,14 +197,47 @@ def candidate_pairs(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame
     Texts that share a key must also pass two bounds inside the join, on signatures: an edit
     changes one character of the text and at most three pairs of characters.
     """
+    return _near_pairs(sides(left, right, cutoff))
+
+
+def _near_pairs(both: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     out = None
-    for probes, shown in sides(left, right, cutoff):
+    for probes, shown in both:
         near = (_differing("sa", "sb", "l") <= F.col("d")) & (_differing("sa", "sb", "p") <= 3 * F.col("d"))
         met = probes.join(shown, (probes["key"] == shown["key"]) & near).select("a", "b")
         out = met if out is None else out.unionByName(met)
     return out.distinct()
 
 
+#: Up to this many pairs of texts one round takes less than three.
+FEW = 1 << 27
+
+
+def rounds(cutoff: int) -> list[int]:
+    """Cutoffs that fall to the one asked for, by thirds of the way from 100."""
+    return sorted({100 - (100 - cutoff) * k // 3 for k in (1, 2, 3)}, reverse=True)
+
+
+def best_of_rounds(left: DataFrame, right: DataFrame, cutoff: int, best: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """The rows that ``best`` makes of candidate pairs (a, b) and a cutoff, one at most for each text ``a``, in rounds of falling cutoffs.
+
+    A text that has a partner under a high cutoff has its best one there, since all pairs that
+    reach the cutoff are candidates.  Only texts without one go on, so the many pairs that barely
+    reach the last cutoff are made for few texts.  Small sides go in one round.  Both sides and each round's rows are written once.
+    """
+    _check(cutoff)
+    # few rows that become many: written in as many files as there are shuffle partitions, not in the one that their bytes would fill
+    wide = lambda rows: landed(rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    a, b = wide(signed(left, "a")), wide(signed(right, "b"))
+    told, out = survey(b, "b"), None
+    for at in rounds(cutoff) if a.count() * b.count() > FEW else [cutoff]:
+        found = landed(best(_near_pairs(signed_sides(a, b, at, *told)), at))
+        out = found if out is None else out.unionByName(found)
+        if at > cutoff:
+            a = wide(a.join(found.select("a"), "a", "left_anti"))
+    return out
+
+
 def comparisons(left: DataFrame, right: DataFrame, cutoff: int) -> DataFrame:
     """For each key that both sides have, the pairs that meet under it, before any bound."""
     out = None

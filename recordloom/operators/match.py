@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.similarity import places, similarity, similarity_of
+from ..sources.store import landed
 from .dedupe import first_by_key
-from .fuzzy import candidate_pairs
+from .fuzzy import best_of_rounds
 
 #: (key column, label), best first.
 STAGES: tuple[tuple[str, str], ...] = (
@@ -116,18 +117,21 @@ def best_fuzzy(left_keys: DataFrame, right: DataFrame, cutoff: int, python: bool
     Scores come from Arrow batches, or with ``python`` off from bit-parallel column functions,
     which need no Python workers and about twice the time.
     """
-    b = right.groupBy(F.col("key").alias("b")).agg(F.min("_ord").alias("_ord"))
-    pairs = candidate_pairs(left_keys.select(F.col("key").alias("a")), b.select("b"), cutoff)
-    if python:
-        # not taken for deterministic, or it would move below the distinct and score pairs several times
-        scored = pairs.withColumn("score", similarity.asNondeterministic()("a", "b")).where(F.col("score") >= cutoff).join(b, "b")
-    else:
-        met = pairs.join(b.withColumn("spots", places(F.col("b"))), "b")
-        # as rows of its own the score is computed once, where a condition on it would move into the join and be made again
-        reached = F.filter(F.array(similarity_of(F.col("a"), F.col("b"), F.col("spots"))), lambda s: s >= cutoff)
-        scored = met.select("a", "b", "_ord", F.explode(reached).alias("score"))
-    best = scored.groupBy("a").agg(F.min_by(F.struct("b", "score", "_ord"), F.struct(-F.col("score"), F.col("_ord"))).alias("m"))
-    return best.select(F.col("a").alias("key"), F.col("m.b").alias("candidate"), F.col("m.score").alias("score"), F.col("m._ord").alias("_right_ord"))
+    b = landed(right.groupBy(F.col("key").alias("b")).agg(F.min("_ord").alias("_ord")))
+
+    def best(pairs: DataFrame, least: int) -> DataFrame:
+        if python:
+            # not taken for deterministic, or it would move below the distinct and score pairs several times
+            scored = pairs.withColumn("score", similarity.asNondeterministic()("a", "b")).where(F.col("score") >= least).join(b, "b")
+        else:
+            met = pairs.join(b.withColumn("spots", places(F.col("b"))), "b")
+            # as rows of its own the score is computed once, where a condition on it would move into the join and be made again
+            reached = F.filter(F.array(similarity_of(F.col("a"), F.col("b"), F.col("spots"))), lambda s: s >= least)
+            scored = met.select("a", "b", "_ord", F.explode(reached).alias("score"))
+        return scored.groupBy("a").agg(F.min_by(F.struct("b", "score", "_ord"), F.struct(-F.col("score"), F.col("_ord"))).alias("m"))
+
+    found = best_of_rounds(left_keys.select(F.col("key").alias("a")), b.select("b"), cutoff, best)
+    return found.select(F.col("a").alias("key"), F.col("m.b").alias("candidate"), F.col("m.score").alias("score"), F.col("m._ord").alias("_right_ord"))
 
 
 def routed(left: DataFrame, right: DataFrame, name: str, payload: Sequence[str], limits: Thresholds = Thresholds()) -> DataFrame:

@@ -169,3 +169,27 @@ def test_empty_sides(spark):
     none = match.with_keys(spark.createDataFrame([], shape), "n", "c")
     assert match.routed(some, none, "n", ("c",)).first().status == "unmatched"
     assert match.routed(none, some, "n", ("c",)).count() == 0
+
+
+def test_only_texts_without_a_nearer_partner_reach_the_last_cutoff(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy, "FEW", 0)
+    rng = random.Random(5)
+    right = ["".join(rng.choices("abcdefgh 0123", k=30)) for _ in range(60)]
+    near, far = [t[:7] + t[8:] for t in right[:20]], [t[:5] + t[9:] for t in right[20:40]]  # one and four characters less
+    a, b = (spark.createDataFrame([(t,) for t in texts], f"{c} string") for c, texts in (("a", near + far + ["zzz"]), ("b", right)))
+    met = {}
+
+    def best(pairs, at):
+        met[at] = {r.a for r in pairs.collect()}
+        return pairs.withColumn("score", similarity("a", "b")).where(F.col("score") >= at).groupBy("a").agg(F.max("score").alias("score"))
+
+    got = {r.a: r.score for r in fuzzy.best_of_rounds(a, b, 90, best).collect()}
+    assert fuzzy.rounds(90) == [97, 94, 90] and set(near) <= met[97] and not set(near) & met[90] and set(far) <= met[90]
+    assert got == {x: s for x in near + far if (s := max(indel_similarity(x, y) for y in right)) >= 90} and len(got) == 40
+
+
+def test_common_lengths_at_the_edges_of_a_word():
+    rng = random.Random(6)
+    for letters in ("ab", "abcdefgh 0123", "aé漢😀�\xfd\xfe\xff"):
+        pairs = [["".join(rng.choices(letters, k=rng.choice([0, 1, 30, 63, 64, 65, 100]))) for _ in range(2)] for _ in range(150)]
+        assert common_lengths(*map(list, zip(*pairs))).tolist() == [lcs_table(a, b) for a, b in pairs]
