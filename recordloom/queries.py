@@ -719,7 +719,8 @@ def search_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text", "turn")
     first = rows.where("turn = 0 AND text IS NOT NULL").select(F.split(F.lower("text"), r"[^\p{L}\p{N}]+").alias("w")).where("size(w) > 1 AND w[0] <> '' AND w[1] <> ''")
     asked = first.select(F.concat(F.col("w")[0], F.lit(" "), F.left(F.col("w")[1], F.lit(2)), F.lit("*")).alias("query_text"))
-    return search_many(rows, asked.union(spark.createDataFrame([("*",)], "query_text string")), "id", "text")
+    once = rows.withColumn("w", F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).dropDuplicates(["id", "w"]).select("id", "text")
+    return search_many(once, asked.union(spark.createDataFrame([("*",)], "query_text string")), "id", "text")
 
 
 #: (level, field, known, how many, kinds) of the fields of ``conversation_pages`` and one more.

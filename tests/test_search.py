@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from recordloom.operators import search
 from recordloom.operators.search import search_many
 from recordloom.sources import payload
 
@@ -20,6 +21,26 @@ def test_many_searches_equal_one_at_a_time(spark):
     assert search_many(rows, spark.createDataFrame([], "query_text string"), "id", "name").collect() == []
 
 
+def test_searches_in_many_blocks_shuffle_no_pairs(spark, monkeypatch):
+    for name, value in (("ROWS", 16), ("QUERIES", 2), ("BYTES", 8), ("PAIRS", 16)):
+        monkeypatch.setattr(search, name, value)
+    rows = spark.range(200).select("id", F.concat(F.lit("the "), F.when(F.col("id") % 2 == 0, "then ").otherwise(""), F.concat(F.lit("w"), F.col("id") % 7)).alias("name"))
+    texts = {r.id: r.name.split() for r in rows.collect()}
+    queries = ["the th*", "the then", "w1 the", "w* then", "*", "no the"]
+    out = search_many(rows, spark.createDataFrame([(q,) for q in queries], "query_text string"), "id", "name")
+    met = lambda w, ws: any(x.startswith(w[:-1]) for x in ws) if w.endswith("*") else w in ws
+    want = sorted((q, k) for q in queries for k, ws in texts.items() if q == "*" or all(met(w, ws) for w in q.split()))
+    assert sorted((r.query_text, r.id) for r in out.collect()) == want
+    # rows and queries meet in their blocks: no join whose rows are pairs is shuffled
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    rows = spark.createDataFrame([(1, "red ball"), (1, "blue bat")], "id long, name string")
+    asked = spark.createDataFrame([("red bat",), ("b*",)], "query_text string")
+    assert sorted((r.query_text, r.id) for r in search_many(rows, asked, "id", "name").collect()) == [("b*", 1), ("b*", 1)]
+
+
 def test_unknown_fields_are_listed(spark):
     pages = [
         json.dumps({"apiVersion": "1", "new": {"a": 1}, "results": [{"reference": "r", "score": 2, "metadata": {"inciName": ["x"], "odd field": None}}, {"metadata": {"inciName": "y", "odd field": 1}}]}),
