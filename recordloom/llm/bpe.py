@@ -187,7 +187,7 @@ class Encoder:
     #: Bytes that an entry of a dictionary takes besides its text and ids.
     ENTRY = 200
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 48 << 20) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = 24 << 20) -> None:
         import re
 
         import regex
@@ -233,8 +233,8 @@ def _vocabulary(ranks: dict[bytes, int]) -> list[bytes]:
     return tokens
 
 
-#: Documents are encoded this many bytes of text at a time.
-BATCH_BYTES = 8 << 20
+#: Documents are encoded this many bytes of text at a time; the parts of a batch take about ten times as much.
+BATCH_BYTES = 2 << 20
 
 
 def _encoded(docs: DataFrame, ranks_path: str, pattern: str, kinds: dict[str, T.DataType], shape) -> DataFrame:

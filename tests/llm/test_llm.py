@@ -872,3 +872,19 @@ def test_stages_on_awkward_tables(spark, sf_dir, k):
         assert all(every[x] == n for x, n in kept.items())
     else:
         assert kept == collections.Counter(want)
+
+
+def test_a_batch_of_bpe_takes_little_memory():
+    import tracemalloc
+
+    import public_tokenizers
+
+    encoder = bpe.Encoder(bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    words = [f"w{k % 997}" for k in range(bpe.BATCH_BYTES // 5)]
+    documents = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+    tracemalloc.start()
+    try:
+        encoder.encode(documents)
+        assert tracemalloc.get_traced_memory()[1] < 50e6  # two workers and a heap share an executor's memory
+    finally:
+        tracemalloc.stop()
