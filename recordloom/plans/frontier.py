@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..sources import fetch
 from ..sources.counts import CountLog
+from ..sources.store import landed
 from ..sources.tables import count_key
 from .prefixes import ALPHABET, DEPTH, LIMIT, split_plan
 
@@ -39,21 +40,24 @@ def ask_frontier(
 ) -> None:
     """Fill the log with the counts that the plan needs; known counts are not asked for.
 
-    A job a level, at most ``depth + 1``.  A prefix without an answer counts as 0.
+    A job a level, at most ``depth + 1``.  A prefix without an answer counts as 0.  Open prefixes
+    land level by level, so a level's plan does not hold those above it.
     """
     chosen = seeds if max_seeds is None else seeds[:max_seeds]
     wanted = log.spark.createDataFrame([(c,) for c in chosen], "prefix string")
     for level in range(depth + 1):
-        missing = wanted.join(recorded(log, fields), "prefix", "left_anti")
+        missing = landed(wanted.join(recorded(log, fields), "prefix", "left_anti"))
         left = missing.count()
         if left:
             missing = missing.repartition(-(-left // batch), "prefix")
             found = ask(missing).select("prefix", F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n"))
             log.append(found.select(log_key(F.col("prefix"), fields).alias("key"), "n"))
-        over = wanted.join(recorded(log, fields), "prefix").where(F.col("n") > limit)
-        if level == depth or over.isEmpty():
+        if level == depth:
+            return
+        over = wanted.join(recorded(log, fields).where(F.col("n") > limit).select("prefix"), "prefix", "left_semi")
+        wanted = landed(over.select(F.explode(F.transform(F.array(*[F.lit(c) for c in following]), lambda c: F.concat("prefix", c))).alias("prefix")))
+        if wanted.isEmpty():
             return
-        wanted = over.select(F.explode(F.transform(F.array(*[F.lit(c) for c in following]), lambda c: F.concat("prefix", c))).alias("prefix"))
 
 
 def split_plan_by_asking(

@@ -20,14 +20,22 @@ DEPTH = 6
 def prefix_counts(rows: DataFrame, row_id: str, tokens: str, longest: int = DEPTH + 1, seeds: str = ALPHABET, following: str = ALPHABET, unique: bool = False) -> DataFrame:
     """``prefix`` and ``n``: distinct rows with some token that begins with it.
 
-    A row's prefixes are made distinct inside the row.  With ``unique`` ids that is all: one
-    aggregation, which counts before it shuffles.
+    A row's prefixes are made distinct inside the row.  With ``unique`` ids each stands at the first
+    of the row's sorted heads (tokens, cut) that has it: a head brings the prefixes longer than what it
+    shares with the head before.  So heads are counted by that length, and only counts are cut up.
     """
-    plain = F.filter(tokens, lambda t: t.rlike(f"^[{seeds}]"))
-    head = F.transform(plain, lambda t: F.regexp_extract(t, f"^[{seeds}][{following}]{{0,{longest - 1}}}", 0))
-    cut = F.flatten(F.transform(F.array_distinct(head), lambda t: F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda k: F.substring(t, F.lit(1), k))))
-    each = rows.select(row_id, F.explode(F.array_distinct(cut)).alias("prefix"))
-    return (each if unique else each.distinct()).groupBy("prefix").agg(F.count("*").alias("n"))
+    head = F.transform(F.array_distinct(F.transform(tokens, lambda t: F.left(t, F.lit(longest)))), lambda t: F.regexp_extract(t, f"^[{seeds}][{following}]{{0,{longest - 1}}}", 0))
+    heads = rows.select(row_id, F.filter(F.array_distinct(head), lambda t: t != "").alias("heads"))
+    if not unique:
+        cut = F.flatten(F.transform("heads", lambda t: F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda k: F.substring(t, F.lit(1), k))))
+        return heads.select(row_id, F.explode(F.array_distinct(cut)).alias("prefix")).distinct().groupBy("prefix").agg(F.count("*").alias("n"))
+    each = heads.select(F.sort_array("heads").alias("heads")).select(F.inline(F.arrays_zip("heads", F.concat(F.array(F.lit("")), "heads")))).toDF("head", "before").where("head IS NOT NULL")
+    shared = F.lit(longest)
+    for k in range(longest, 0, -1):
+        shared = F.when(F.startswith("head", F.left("before", F.lit(k))), shared).otherwise(k - 1)
+    counted = each.groupBy("head", F.least(shared, F.char_length("before")).alias("shared")).agg(F.count("*").alias("n"))
+    brought = F.transform(F.sequence(F.col("shared") + 1, F.char_length("head")), lambda k: F.left("head", k))
+    return counted.select(F.explode(brought).alias("prefix"), "n").groupBy("prefix").agg(F.sum("n").alias("n"))
 
 
 def split_plan(counts: DataFrame, limit: int = LIMIT, depth: int = DEPTH, seeds: str = ALPHABET, max_seeds: int | None = None) -> DataFrame:

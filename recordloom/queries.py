@@ -421,16 +421,12 @@ def split_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counting_service(spark: SparkSession, sf_dir: str) -> frontier.Ask:
-    """Answers as a search service would: for each prefix that is asked the documents that have a word with it."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.split(F.lower("text"), r"[^a-z0-9]+")).alias("tokens"))
-    heads = F.filter(F.array_distinct(F.transform("tokens", lambda t: F.left(t, F.lit(prefixes.DEPTH + 1)))), lambda t: t != "")
-    index = landed(docs.select("doc_id", heads.alias("heads")))
+    """Answers as a search service would: from an index, made once, of how many documents have a word with a prefix."""
+    index = landed(document_prefixes(spark, sf_dir))
 
     def ask(wanted: DataFrame) -> DataFrame:
-        sizes = [r.k for r in wanted.select(F.char_length("prefix").alias("k")).distinct().collect()]  # lengths of prefixes: seven at most
-        cut = F.array_distinct(F.flatten(F.array(*[F.transform(F.filter("heads", lambda t: F.char_length(t) >= k), lambda t: F.left(t, F.lit(k))) for k in sizes])))
-        found = index.select("doc_id", F.explode(cut).alias("prefix")).join(wanted, "prefix", "left_semi").groupBy("prefix").agg(F.count("*").alias("n"))
-        return wanted.join(found, "prefix", "left")
+        # the index is cut to what is asked before it meets it, so it is not shuffled while little is asked
+        return wanted.join(index.join(wanted, "prefix", "left_semi"), "prefix", "left")
 
     return ask
 

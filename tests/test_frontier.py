@@ -12,6 +12,7 @@ import urllib.parse
 import pytest
 from pyspark.sql import functions as F
 
+from recordloom import queries
 from recordloom.plans import frontier, prefixes
 from recordloom.sources import fetch, store, tables
 from recordloom.sources.counts import CountLog
@@ -94,6 +95,27 @@ def test_plan_and_requests_equal_the_recursion(spark, tmp_path):
     assert {r.prefix: (r.n, r.status) for r in few.collect()} == {p: v for p, v in want.items() if p[0] in seeds[:10]}
 
 
+def test_a_level_does_not_hold_those_above_it(spark, tmp_path):
+    seeds, rows = forest(7, 10)
+    counts, sizes = dict(counts_of(rows)), []
+    answer = told(spark, counts, tmp_path / "seen")
+
+    def ask(df):
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        return answer(df)
+
+    frontier.ask_frontier(ask, CountLog(spark, f"file://{tmp_path}/log"), 3, 3, seeds, "abc")
+    assert len(sizes) == 4 and len(set(sizes)) == 1
+
+
+def test_the_counting_service_sends_no_pairs(spark, sf_dir):
+    wanted = spark.createDataFrame([("a",), ("th",), ("the",), ("zzzzzzz",)], "prefix string")
+    found = queries.counting_service(spark, sf_dir)(wanted)
+    assert "doc_id" not in found._jdf.queryExecution().toString()  # counts alone, not documents by prefix
+    words = [set(re.split("[^a-z0-9]+", (r.text or "").lower())) for r in queries.table(spark, sf_dir, "documents").collect()]
+    assert {r.prefix: r.n or 0 for r in found.collect()} == {p: sum(any(w.startswith(p) for w in ws) for ws in words) for p in ("a", "th", "the", "zzzzzzz")}
+
+
 def test_counts_survive_a_run_that_is_killed(spark, tmp_path):
     seeds, rows = forest(6, 40)
     counts = dict(counts_of(rows))

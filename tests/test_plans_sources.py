@@ -2,6 +2,7 @@ import collections
 import http.server
 import json
 import random
+import re
 import threading
 
 import pytest
@@ -74,6 +75,22 @@ def test_further_pages(spark):
         crawl.further_pages(spark.createDataFrame([(1, PAGE)], "page_id long, html string")).collect()
 
 
+def test_prefix_counts_of_odd_tokens(spark):
+    words = ["", "a", "ab", "aba", "abab", "ababab", "abé", "é", "éa", "b\U0001f600a", "\U0001f600", "\U0001f600\U0001f600b", "B", " a", None]
+    rng = random.Random(3)
+    rows = [(i, rng.choices(words, k=rng.randint(0, 9))) for i in range(200)] + [(200, None)]
+    seeds, following = "abé\U0001f600", "ab\U0001f600"
+    want = collections.Counter()
+    for _, tokens in rows:
+        heads = [re.match(f"[{seeds}][{following}]{{0,3}}", t) for t in tokens or () if t is not None]
+        want.update({h[0][:k] for h in heads if h for k in range(1, len(h[0]) + 1)})
+    for unique in (True, False):
+        got = prefixes.prefix_counts(spark.createDataFrame(rows, "id long, tokens array<string>"), "id", "tokens", 4, seeds, following, unique)
+        assert {r.prefix: r.n for r in got.collect()} == want
+    again = prefixes.prefix_counts(spark.createDataFrame(rows + rows, "id long, tokens array<string>"), "id", "tokens", 4, seeds, following)
+    assert {r.prefix: r.n for r in again.collect()} == want
+
+
 def test_collection_stops_at_oversized_queries(spark):
     rows = spark.createDataFrame([(i, ["same"]) for i in range(5)], "id long, tokens array<string>")
     plan = prefixes.split_plan(prefixes.prefix_counts(rows, "id", "tokens"), 3, 3)
